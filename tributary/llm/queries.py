@@ -6,21 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from tributary.llm.common import table
+from tributary.llm.decontaminate import decontaminate
 from tributary.llm.exact_dedup import exact_dedup
 
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = F.array_sort("item_ids")
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"), clean=False).select(
+        F.col("doc.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontaminate": op3_decontaminate,
     "op6_exact_dedup": op6_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_decontaminate": f"""
+        WITH items AS (SELECT item_id, w, least(len(w), 13) AS k FROM (SELECT item_id, regexp_extract_all({LOWERED}, '{ALNUM}') AS w FROM benchmark) WHERE len(w) > 0),
+        wins AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM items)),
+        d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '{ALNUM}') AS w FROM documents),
+        dw AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+               FROM (SELECT d.*, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM wins) AS ks)),
+        occ AS (SELECT doc_id, dw.k, i, item_id FROM dw JOIN wins ON dw.k = wins.k AND dw.g = wins.g),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM occ) GROUP BY doc_id),
+        its AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM occ) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+        FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id""",
     "op6_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({LOWERED}) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
