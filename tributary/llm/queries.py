@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tributary.llm.common import table
 from tributary.llm.decontaminate import decontaminate
 from tributary.llm.exact_dedup import exact_dedup
+from tributary.llm.near_dedup import near_dedup
 
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -28,9 +29,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_near_dedup": op7_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
