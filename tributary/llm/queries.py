@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tributary.llm.common import table
 from tributary.llm.decontaminate import decontaminate
 from tributary.llm.exact_dedup import exact_dedup
+from tributary.llm.lm_score import lm_score
 from tributary.llm.near_dedup import near_dedup
 
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -25,6 +26,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -35,6 +40,7 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
+    "op5_lm_score": op5_lm_score,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_near_dedup": op7_near_dedup,
 }
