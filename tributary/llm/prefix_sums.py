@@ -1,0 +1,26 @@
+"""Ranks and running sums over a whole table in a given order, without bringing it into one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tributary.llm.common import materialize
+
+
+def running(df: DataFrame, order: list[Column], sums: dict[str, Column], name: str = "ordered") -> DataFrame:
+    """df with `place` (1 for the first row) and, for each entry of sums, the sum over this row and all before it.
+
+    The table is range-partitioned by the order and written, so that a row's partition stays what it is; each partition's
+    totals (one row per partition) give its offsets, and a window inside the partition does the rest.
+    """
+    cut = df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()).withColumns(sums)
+    cut = materialize(cut, name)
+    totals = cut.groupBy("part").agg(F.count(F.lit(1)).alias("place_off"), *(F.sum(k).alias(f"{k}_off") for k in sums))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    names = ["place", *sums]
+    totals = totals.select("part", *(F.coalesce(F.sum(f"{k}_off").over(before), F.lit(0)).alias(f"{k}_off") for k in names))
+    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = cut.join(F.broadcast(totals), "part")  # as many rows as partitions
+    out = out.withColumns({"place": F.row_number().over(inside) + F.col("place_off"), **{k: F.sum(k).over(inside) + F.col(f"{k}_off") for k in sums}})
+    return out.drop("part", *(f"{k}_off" for k in names))

@@ -8,16 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from tributary.llm.chat_format import chat_examples, read_back
 from tributary.llm.common import table
 from tributary.llm.decontaminate import decontaminate
 from tributary.llm.exact_dedup import exact_dedup
 from tributary.llm.lm_score import lm_score
+from tributary.llm.mix_sources import mix_sources
 from tributary.llm.near_dedup import near_dedup
+from tributary.llm.url_filter import filter_urls, rules_frame
 
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+#: The rules of the query: verdict, host, path.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), rules_frame(spark, URL_RULES))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     items = F.array_sort("item_ids")
@@ -38,14 +49,72 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).drop("source")
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = "</s>[INST] ok [/INST]"  # another template's control strings
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(both).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read_back(chat_examples(rows)).select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole.cast("binary"), 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"), "formatted_chars"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
     "op3_decontaminate": op3_decontaminate,
     "op5_lm_score": op5_lm_score,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_near_dedup": op7_near_dedup,
+    "op8_mix_sources": op8_mix_sources,
+    "op10_chat_format": op10_chat_format,
 }
 
+WORDS = r"[^\x20\x09-\x0D]+"
+ESCAPED = "replace(replace({0}, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|')"
+RULES_SQL = ", ".join(str(r) for r in URL_RULES)
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": f"""
+        WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+        hp AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                      regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+        r AS (SELECT * FROM (VALUES {RULES_SQL}) AS t(verdict, rh, rp)),
+        k AS (SELECT DISTINCT host, path FROM hp),
+        best AS (SELECT host, path, max_by(rh || rp, length(rh || rp)) AS rule, max_by(verdict, length(rh || rp)) AS verdict
+                 FROM k JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY host, path)
+        SELECT page_id, hp.host, hp.path, rule, coalesce(verdict, 'allow') AS verdict FROM hp LEFT JOIN best ON hp.host = best.host AND hp.path = best.path""",
+    "op8_mix_sources": f"""
+        WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) AS BIGINT) AS size, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+        s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+        r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM s),
+        c AS (SELECT *, 3 * source_size AS cap, [5, 2, 1][(place - 1) % 3 + 1] AS w FROM r),
+        f AS (SELECT *, sum(source_size) OVER () - sum(cap) OVER o + cap AS left_words, sum(w) OVER () - sum(w) OVER o + w AS left_weight
+              FROM c WINDOW o AS (ORDER BY cap / w, place ROWS UNBOUNDED PRECEDING)),
+        g AS (SELECT *, CAST(left_words AS DOUBLE) * w >= CAST(cap AS DOUBLE) * left_weight AS capped FROM f),
+        t AS (SELECT source, source_size, CASE WHEN capped THEN CAST(cap AS DOUBLE) ELSE
+                CAST(w AS DOUBLE) * CAST(sum(source_size) OVER () - coalesce(sum(cap) FILTER (capped) OVER (), 0) AS DOUBLE)
+                / CAST(sum(w) OVER () - coalesce(sum(w) FILTER (capped) OVER (), 0) AS DOUBLE) END AS target FROM g),
+        b AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS budget FROM t),
+        e AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS epochs FROM b),
+        x AS (SELECT doc_id, size, source_size, target, epochs, budget - epochs * source_size AS rest,
+                     sum(size) OVER (PARTITION BY d.source ORDER BY key, size ROWS UNBOUNDED PRECEDING) - size AS before
+              FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+        SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken FROM x""",
+    "op10_chat_format": f"""
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        f AS (SELECT *, length({ESCAPED.format("role")}) + length({ESCAPED.format("text")}) + 23 AS size FROM c),
+        n AS (SELECT *, sum(size) OVER o AS through, row_number() OVER o AS i, count(*) OVER (PARTITION BY conv_id) AS n
+              FROM f WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
+        SELECT conv_id, max(n) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+               CAST(length(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(through) FILTER (role = 'assistant' OR i = n) AS BIGINT) AS formatted_chars
+        FROM n GROUP BY conv_id""",
     "op3_decontaminate": f"""
         WITH items AS (SELECT item_id, w, least(len(w), 13) AS k FROM (SELECT item_id, regexp_extract_all({LOWERED}, '{ALNUM}') AS w FROM benchmark) WHERE len(w) > 0),
         wins AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM items)),
