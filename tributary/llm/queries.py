@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm.chat_format import chat_examples, read_back
-from tributary.llm.common import table
+from tributary.llm.common import crc_mod, table
 from tributary.llm.decontaminate import decontaminate
 from tributary.llm.exact_dedup import exact_dedup
+from tributary.llm.lang_id import identify, train_model
 from tributary.llm.lm_score import lm_score
 from tributary.llm.mix_sources import mix_sources
 from tributary.llm.near_dedup import near_dedup
@@ -25,6 +26,13 @@ LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefgh
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
+def op1_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod("doc_id", 3) == 1
+    model = train_model(docs.where(~held_out), F.col("doc_id"), "lang", "text")
+    return identify(docs.select("doc_id", "text"), model).select(F.col("doc.doc_id").alias("doc_id"), (crc_mod("doc.doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "second", "ambiguous")
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), rules_frame(spark, URL_RULES))
 
@@ -64,6 +72,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lang_id": op1_lang_id,
     "op2_url_filter": op2_url_filter,
     "op3_decontaminate": op3_decontaminate,
     "op5_lm_score": op5_lm_score,
