@@ -13,6 +13,7 @@ from tributary.llm.common import crc_mod, table
 from tributary.llm.decontaminate import decontaminate
 from tributary.llm.exact_dedup import exact_dedup
 from tributary.llm.lang_id import identify, train_model
+from tributary.llm.line_dedup import line_dedup
 from tributary.llm.lm_score import lm_score
 from tributary.llm.mix_sources import mix_sources
 from tributary.llm.near_dedup import near_dedup
@@ -61,6 +62,11 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "lines_removed", "words_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = "</s>[INST] ok [/INST]"  # another template's control strings
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(both).alias("text"))
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_near_dedup": op7_near_dedup,
     "op8_mix_sources": op8_mix_sources,
+    "op9_line_dedup": op9_line_dedup,
     "op10_chat_format": op10_chat_format,
 }
 
@@ -113,6 +120,19 @@ ORACLE_SQL: dict[str, str] = {
                      sum(size) OVER (PARTITION BY d.source ORDER BY key, size ROWS UNBOUNDED PRECEDING) - size AS before
               FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
         SELECT doc_id, size, source_size, target, CAST(epochs * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken FROM x""",
+    "op9_line_dedup": f"""
+        WITH l AS (SELECT doc_id, i, ls[i] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL))),
+        f AS (SELECT *, len(regexp_extract_all(line, '{WORDS}')) AS words, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
+        e AS (SELECT *, words >= 8 OR coalesce(lead(words) OVER o, 0) >= 8 OR (coalesce(lag(h) OVER o, 0) * 31 + h) % 2 = 0 AS ends FROM f WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+        k AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM e),
+        c AS (SELECT doc_id, k, string_agg(line, chr(10) ORDER BY i) AS chunk, sum(words) AS words, count(*) AS lines FROM k GROUP BY doc_id, k),
+        s AS (SELECT *, min(doc_id) OVER g <> max(doc_id) OVER g AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, k) > 1 AS copy FROM c WINDOW g AS (PARTITION BY chunk)),
+        r AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS run FROM s WHERE copy),
+        gone AS (SELECT doc_id, k, lines, words FROM (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS run_words FROM r) WHERE run_words > 50),
+        n AS (SELECT doc_id, CAST(sum(c.lines) AS BIGINT) AS n_lines, CAST(coalesce(sum(gone.lines), 0) AS BIGINT) AS lines_removed, CAST(coalesce(sum(gone.words), 0) AS BIGINT) AS words_removed,
+                     coalesce(string_agg(chunk, chr(10) ORDER BY c.k) FILTER (gone.k IS NULL), '') AS text FROM c LEFT JOIN gone USING (doc_id, k) GROUP BY doc_id)
+        SELECT documents.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(lines_removed, 0) AS lines_removed, coalesce(words_removed, 0) AS words_removed, sha256(coalesce(n.text, '')) AS text_sha256
+        FROM documents LEFT JOIN n USING (doc_id)""",
     "op10_chat_format": f"""
         WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
                    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
