@@ -13,6 +13,7 @@ from tributary.llm.common import crc_mod, table
 from tributary.llm.decontaminate import decontaminate
 from tributary.llm.exact_dedup import exact_dedup
 from tributary.llm.lang_id import identify, train_model
+from tributary.llm.license_scan import license_scan
 from tributary.llm.line_dedup import line_dedup
 from tributary.llm.lm_score import lm_score
 from tributary.llm.mix_sources import mix_sources
@@ -46,6 +47,15 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(table(spark, sf_dir, "documents"))
+    sure = F.filter("notices", lambda x: x["confirmed"])
+    return found.select(
+        "doc_id", "n_paragraphs", F.size("notices").cast("long").alias("n_predicted"), F.size(sure).cast("long").alias("n_confirmed"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))), ",").alias("families"), F.array_max(F.transform(sure, lambda x: x["probability"])).alias("probability"),
+    )
+
+
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score(table(spark, sf_dir, "documents"))
 
@@ -81,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lang_id": op1_lang_id,
     "op2_url_filter": op2_url_filter,
     "op3_decontaminate": op3_decontaminate,
+    "op4_license_scan": op4_license_scan,
     "op5_lm_score": op5_lm_score,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_near_dedup": op7_near_dedup,
