@@ -43,16 +43,16 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     return filled.select("source", "source_size", F.when(F.col("capped"), double(F.col("cap"))).otherwise(fair).alias("target"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS, seed: str = "mix") -> DataFrame:
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS, seed: str = "mix", key_col: str | None = None) -> DataFrame:
     """One row per row of docs: id_col, source, size, source_size, target, taken.
 
     taken counts words with repeats: whole epochs plus, for the documents before the cut, one more time; the document at
     the cut gives the words up to the budget, so each source's sum is its target rounded to a whole number. No document
-    exceeds `most` times its size. Keys are md5 of seed and id: reruns agree; rows that share an id follow each other by
+    exceeds `most` times its size. Keys are md5 of seed and id (or key_col): reruns agree; rows that share an id follow each other by
     size. Null and empty texts have size 0; null is a source of its own, the last; a null id has the key of an empty one.
     Other columns are not read; no rows give no rows.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key_col or id_col).cast("string"), F.lit(""))).cast("binary"))
     rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key")), "sizes")
     targets = materialize(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "targets")
     placed = running(rows, [F.col("source").asc_nulls_last(), F.col("key").asc(), F.col("size").asc()], {"through": F.col("size")}, "mixed")
@@ -73,3 +73,8 @@ def epochs_of(mixed: DataFrame) -> DataFrame:
     times = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1))).cast("int")
     out = mixed.where("taken > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), times - 1)))
     return out.withColumn("words", F.least(F.col("size"), F.col("taken") - F.col("epoch") * F.col("size")))
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its n-th word."""
+    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.lit(1), n.cast("int")), "")

@@ -65,7 +65,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(table(spark, sf_dir, "documents"))
+    return near_dedup(table(spark, sf_dir, "documents"), size=2)
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
