@@ -31,15 +31,13 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     ranked = running(sizes, [F.col("source").asc_nulls_last()], {}, "ranks")
     weight = F.element_at(F.array(*map(F.lit, weights)), ((F.col("place") - 1) % len(weights) + 1).cast("int"))
     caps = ranked.withColumns({"w": weight.cast("long"), "cap": F.col("source_size") * most})
-    total = caps.agg(F.sum("source_size").alias("all_words"), F.sum("w").alias("all_weight"))
+    total = caps.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("w"), F.lit(0))).first()  # two numbers
     filled = running(caps.withColumnRenamed("place", "rank"), [(F.col("cap") / F.col("w")).asc(), F.col("rank").asc()], {"caps": F.col("cap"), "ws": F.col("w")}, "caps")
-    filled = filled.crossJoin(F.broadcast(total))  # one row
     double = lambda c: c.cast("double")
-    left, share = F.col("all_words") - F.col("caps") + F.col("cap"), F.col("all_weight") - F.col("ws") + F.col("w")
+    left, share = F.lit(total[0]) - F.col("caps") + F.col("cap"), F.lit(total[1]) - F.col("ws") + F.col("w")
     filled = filled.withColumn("capped", double(left) * double(F.col("w")) >= double(F.col("cap")) * double(share))
-    rest = filled.where("capped").agg(F.coalesce(F.sum("cap"), F.lit(0)).alias("used"), F.coalesce(F.sum("w"), F.lit(0)).alias("used_w"))
-    filled = filled.crossJoin(F.broadcast(rest))  # one row
-    fair = double(F.col("w")) * double(F.col("all_words") - F.col("used")) / double(F.col("all_weight") - F.col("used_w"))
+    used = filled.where("capped").agg(F.coalesce(F.sum("cap"), F.lit(0)), F.coalesce(F.sum("w"), F.lit(0))).first()
+    fair = double(F.col("w")) * double(F.lit(total[0] - used[0])) / double(F.lit(max(1, total[1] - used[1])))
     return filled.select("source", "source_size", F.when(F.col("capped"), double(F.col("cap"))).otherwise(fair).alias("target"))
 
 
