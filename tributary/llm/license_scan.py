@@ -21,7 +21,7 @@ from tributary.llm.license_templates import NEAR_MISSES, TEMPLATES
 
 BITS = 16
 TRAIN_PARAGRAPHS = 2000
-LONG, STEP = 60, 20  # paragraphs of over LONG words are looked at in windows of 2 * STEP words, one every STEP words
+LONG, STEP = 24, 8  # paragraphs of over LONG words are looked at in windows of 2 * STEP words, one every STEP words
 VARIANTS = 24
 UNKNOWN = "unknown"
 
@@ -76,8 +76,11 @@ class Scanner:
 
     @staticmethod
     def _varied(base: list[bytes], corpus: list[list[bytes]], rng: np.random.Generator) -> list[bytes]:
-        """Some words dropped, a few of the corpus before and after."""
+        """Some words dropped, of a long template often a window only, a few words of the corpus before and after."""
         kept = [w for w in base if len(base) < 8 or rng.random() > 0.08]
+        if len(kept) > LONG and rng.random() < 0.6:
+            at = int(rng.integers(len(kept) - 2 * STEP + 1))
+            return kept[at : at + 2 * STEP]
         extra = corpus[rng.integers(len(corpus))] if corpus else []
         a, b = (int(x) for x in rng.integers(0, 6, 2))
         return [*extra[:a], *kept, *extra[a : a + b]]
