@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.operators.ranking import score_buckets, top_fraction
+from tributary.operators.checks import check_fraction
+from tributary.operators.ranking import ranked, score_buckets
 
 
 def _curve(df: DataFrame, score: str, target: str) -> DataFrame:
@@ -23,21 +26,22 @@ def _curve(df: DataFrame, score: str, target: str) -> DataFrame:
 def ranking_metrics(df: DataFrame, score: str, target: str) -> DataFrame:
     """One row: n, positives, prevalence, roc_auc (ties count half), average_precision (steps), brier."""
     curve = _curve(df, score, target)
+    p, n = (F.coalesce(F.sum(c), F.lit(0)) for c in ("pos", "neg"))
     sums = curve.agg(
-        F.coalesce(F.sum("pos"), F.lit(0)).alias("p"), F.coalesce(F.sum("neg"), F.lit(0)).alias("n"),
-        F.sum(F.col("neg") * (F.col("tp") + F.col("pos") / 2)).alias("wins"),
+        p.alias("p"), n.alias("n"), F.sum(F.col("neg") * (F.col("tp") + F.col("pos") / 2)).alias("wins"),
         F.sum(F.col("pos") * (F.col("tp") + F.col("pos")) / (F.col("tp") + F.col("pos") + F.col("fp") + F.col("neg"))).alias("steps"),
+        F.sum(F.col("pos") * F.pow(F.col("s") - 1, 2) + F.col("neg") * F.pow("s", 2)).alias("errors"),
     )
-    error = df.where(F.col(score).isNotNull() & F.col(target).isNotNull()).agg(F.avg(F.pow(F.col(score) - F.col(target), 2)).alias("brier"))
-    out = sums.join(error, how="inner")  # one row each
-    return out.select((F.col("p") + F.col("n")).alias("n"), F.col("p").alias("positivos"), F.try_divide("p", F.col("p") + F.col("n")).alias("prevalencia"), F.try_divide("wins", F.col("p") * F.col("n")).alias("roc_auc"), F.try_divide("steps", F.col("p")).alias("average_precision"), "brier")
+    rows = F.col("p") + F.col("n")
+    return sums.select(rows.alias("n"), F.col("p").alias("positivos"), F.try_divide("p", rows).alias("prevalencia"), F.try_divide("wins", F.col("p") * F.col("n")).alias("roc_auc"), F.try_divide("steps", F.col("p")).alias("average_precision"), F.try_divide("errors", rows).alias("brier"))
 
 
 def top_metrics(df: DataFrame, score: str, target: str, key: str, fraction: float = 0.1) -> DataFrame:
     """One row: cutoff, selected positives, lift (null without positives), precision, recall (0 without positives)."""
-    rows = df.where(F.col(target).isNotNull())
-    best = top_fraction(rows, score, key, fraction).agg(F.count(F.lit(1)).alias("cutoff"), F.coalesce(F.sum(target), F.lit(0)).cast("long").alias("selecionados"))
-    whole = rows.where(F.col(score).isNotNull()).agg(F.coalesce(F.sum(target), F.lit(0)).alias("p"), F.avg(target).alias("base"))
-    out = best.join(whole, how="inner")  # one row each
+    check_fraction(fraction, "fraction", open_top=False)
+    rows = df.where(F.col(target).isNotNull() & F.col(score).isNotNull())
+    cutoff = max(1, ceil(rows.count() * fraction))
+    best = F.col("posicao") <= cutoff
+    out = ranked(rows, score, key).agg(F.count_if(best).alias("cutoff"), F.coalesce(F.sum(F.when(best, F.col(target))), F.lit(0)).cast("long").alias("selecionados"), F.coalesce(F.sum(target), F.lit(0)).alias("p"), F.avg(target).alias("base"))
     precision = F.try_divide("selecionados", "cutoff")
     return out.select("cutoff", "selecionados", F.when(F.col("base") > 0, precision / F.col("base")).alias("lift"), precision.alias("precision"), F.coalesce(F.try_divide("selecionados", "p"), F.lit(0.0)).alias("recall"))
