@@ -312,11 +312,6 @@ def q_date_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.date_ranges(datasets.establishments(probes.raw_establishments(spark, sf_dir)), ["data_inicio_atividade", "data_situacao_cadastral"])
 
 
-@query("q_schema")
-def q_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.schema_table(driver_table(spark, sf_dir, "orders"))
-
-
 @query("q_systematic_sample")
 def q_systematic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.systematic_sample(driver_table(spark, sf_dir, "events").select("event_id", "user_id", "_metadata"), 1000, 10, 5000).drop("_metadata")
