@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 from tributary.llm.common import WORD, materialize
 
 ALONE, DIVISOR, MIN_WORDS = 8, 2, 50
+BROADCAST_ITEMS = 2_000_000  # chunk numbers; some 50 MB
 _BREAK = "\n\n"  # between chunks; every line gets a space in front, so a line break is followed by a space elsewhere
 
 
-def chunked(text: Column, alone: int = ALONE, divisor: int = DIVISOR) -> Column:
-    """array of chunks; in each, the lines stand behind a space. Null for null."""
-    lines = F.split(text, "\n", -1)
-    facts = F.transform(lines, lambda x: F.struct(x.alias("line"), F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("long").alias("h"), F.regexp_count(x, F.lit(WORD)).alias("words")))
+def line_facts(text: Column) -> Column:
+    """array of (line, h, words). Null for null."""
+    return F.transform(F.split(text, "\n", -1), lambda x: F.struct(x.alias("line"), F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("long").alias("h"), F.regexp_count(x, F.lit(WORD)).alias("words")))
+
+
+def chunked(facts: Column, alone: int = ALONE, divisor: int = DIVISOR) -> Column:
+    """array of chunks from line_facts; in each, the lines stand behind a space."""
     none = F.array(F.lit(None).cast("struct<line:string,h:bigint,words:int>"))
     near = F.arrays_zip(F.concat(none, facts).alias("before"), facts.alias("own"), F.concat(F.slice(facts, F.lit(2), F.size(facts)), none).alias("after"))
     near = F.filter(near, lambda x: x["own"].isNotNull())
@@ -34,6 +38,12 @@ def chunked(text: Column, alone: int = ALONE, divisor: int = DIVISOR) -> Column:
     return F.split(F.array_join(F.transform(near, with_end), ""), _BREAK, -1)
 
 
+def if_small(df: DataFrame, arrays: str) -> DataFrame:
+    """df for a broadcast if it was counted to be small, else as it is: the join then shuffles the documents."""
+    rows, items = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(arrays)), F.lit(0))).first()
+    return F.broadcast(df) if rows + items <= BROADCAST_ITEMS else df
+
+
 def plain(chunks: Column) -> Column:
     """The text of chunks."""
     return F.array_join(F.transform(chunks, lambda c: F.replace(F.substring(c, 2, 2_000_000_000), F.lit("\n "), F.lit("\n"))), "\n")
@@ -48,25 +58,30 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the first in storage order stays. Columns of docs lie in the struct, so names cannot clash. No rows give no rows.
     """
     others = [F.col(c) for c in docs.columns if c != text_col]
-    rows = docs.select((F.struct(*others) if others else F.struct(F.lit(1).alias("none"))).alias("doc"), F.col(id_col).alias("id") if id_col in docs.columns else F.lit(None).alias("id"), F.monotonically_increasing_id().alias("row"), chunked(F.col(text_col).cast("string"), alone, divisor).alias("chunks"))
-    rows = materialize(rows, "lines")
-    exploded = rows.select("id", "row", F.posexplode("chunks").alias("k", "chunk"))
-    hashed = exploded.select("id", "row", "k", F.xxhash64("chunk").alias("h"))
+    named = F.col(id_col) if id_col in docs.columns else F.lit(None)
+    rows = docs.select((F.struct(*others) if others else F.struct(F.lit(1).alias("none"))).alias("doc"), named.alias("id"), F.monotonically_increasing_id().alias("row"), line_facts(F.col(text_col).cast("string")).alias("facts"))
+    rows = rows.withColumn("chunks", chunked(F.col("facts"), alone, divisor)).drop("facts")
+    rows = materialize(rows.withColumn("hs", F.transform("chunks", lambda c: F.xxhash64(c))), "lines")
+    hashed = rows.select("id", "row", F.posexplode("hs").alias("k", "h"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "k"))
     shared = hashed.groupBy("h").agg(F.min("row").alias("low"), F.max("row").alias("high"), first.alias("first")).where("low != high").select("h", F.col("first.row").alias("first_row"), F.col("first.k").alias("first_k"))
-    shared = materialize(shared, "shared")
-    # Only chunks that share a hash with another document's are compared, each with the first.
-    twins = exploded.withColumn("h", F.xxhash64("chunk")).join(shared, "h")
+    # Only chunks that share a hash with another document's are compared byte by byte, each with the first.
     is_first = (F.col("row") == F.col("first_row")) & (F.col("k") == F.col("first_k"))
-    originals = exploded.withColumn("h", F.xxhash64("chunk")).join(shared.select(F.col("first_row").alias("row"), F.col("first_k").alias("k"), "h"), ["row", "k", "h"]).select("h", F.col("chunk").alias("original"))
+    wanted = hashed.join(shared, "h").groupBy("row").agg(F.collect_list(F.struct("k", "h", is_first.alias("is_first"))).alias("wanted"))
+    wanted = materialize(wanted, "wanted")
+    texts = rows.select("row", "chunks").join(if_small(wanted, "wanted"), "row")
+    texts = texts.select("row", F.explode(F.transform("wanted", lambda w: F.struct(w["k"].alias("k"), w["h"].alias("h"), w["is_first"].alias("is_first"), F.get("chunks", w["k"]).alias("chunk")))).alias("w")).select("row", "w.*")
+    texts = materialize(texts, "texts")
+    originals = texts.where("is_first").select("h", F.col("chunk").alias("original"))
     words = F.regexp_count("chunk", F.lit(WORD))
-    copies = twins.where(~is_first).join(originals, "h").where(F.col("chunk") == F.col("original")).select("row", "k", words.alias("words"), F.size(F.split("chunk", "\n")).alias("lines"))
+    copies = texts.where("not is_first").join(originals, "h").where(F.col("chunk") == F.col("original")).select("row", "k", words.alias("words"), F.size(F.split("chunk", "\n")).alias("lines"))
     # Chunks next to each other make a run.
     order = Window.partitionBy("row").orderBy("k")
     run = Window.partitionBy("row", "run")
     copies = copies.withColumn("run", F.col("k") - F.row_number().over(order)).withColumn("run_words", F.sum("words").over(run)).where(F.col("run_words") > min_words)
     gone = copies.groupBy("row").agg(F.collect_list("k").alias("gone"), F.sum("lines").alias("lines"), F.sum("words").alias("words"))
-    out = rows.join(gone, "row", "left")
+    gone = materialize(gone, "gone")
+    out = rows.drop("hs").join(if_small(gone, "gone"), "row", "left")
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("chunks") - 1), F.col("gone")), lambda i: F.get("chunks", i))
     text = F.when(F.col("gone").isNull(), plain(F.col("chunks"))).otherwise(plain(kept))
     lines = F.aggregate("chunks", F.lit(0).cast("long"), lambda n, c: n + 1 + F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit(""))))
