@@ -20,7 +20,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where the session names none (local tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     if not spark.sparkContext.getCheckpointDir():
