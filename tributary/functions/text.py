@@ -18,9 +18,13 @@ SITUATIONS = (("cobran", "irregular"), ("benef", "beneficio_fiscal"), ("negocia"
 OTHER_SITUATION = "outros"
 
 
+#: White space of any script.
+WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
 def trim_all(c: Column) -> Column:
     """Without white space of any script at both ends."""
-    return F.regexp_replace(c.cast("string"), r"(?U)^\s+|\s+$", "")
+    return F.btrim(c.cast("string"), F.lit(WHITE))
 
 
 def clean(c: Column, missing: tuple[str, ...] = MISSING_MARKERS) -> Column:

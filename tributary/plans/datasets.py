@@ -81,7 +81,8 @@ def joined(debt_rows: DataFrame, registry_rows: DataFrame) -> DataFrame:
 
 
 def fiscal_dataset(rows: DataFrame, threshold: int = 0, **kw) -> DataFrame:
-    return fiscal_target(fiscal_features(fiscal_by_root(hash_sample(rows, KEY, threshold))), **kw)
+    """One row per company. The features are persisted (memory, else disk): the percentile and the result both read them."""
+    return fiscal_target(fiscal_features(fiscal_by_root(hash_sample(rows, KEY, threshold))).persist(), **kw)
 
 
 def discontinuity_dataset(rows: DataFrame, threshold: int = 0, prefix: str = "debt_") -> DataFrame:
