@@ -17,6 +17,7 @@ from tributary.llm.mix_sources import epochs_of, first_words, mix_sources
 from tributary.llm.near_dedup import near_dedup
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80
+BROADCAST_ROWS = 2_000_000  # row numbers; some 30 MB
 
 
 def numbered(docs: DataFrame, name: str) -> DataFrame:
@@ -47,8 +48,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near duplicates stays: the one with the least doc_id (null last)."""
     rows = numbered(docs, "near")
     named = rows.select(F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("doc_id"), "row").alias("doc_id"), F.col("doc.text").alias("text"))
-    kept = near_dedup(named, size=NEAR_WORDS, percent=NEAR_PERCENT).where("kept").select(F.col("doc_id.row").alias("row"))
-    return rows.join(kept, "row", "left_semi").select(columns_of(docs, "doc"))
+    near = materialize(near_dedup(named, size=NEAR_WORDS, percent=NEAR_PERCENT).where("not kept").select(F.col("doc_id.row").alias("row")), "copies")
+    few = near.count() <= BROADCAST_ROWS  # else the documents are shuffled
+    return rows.join(F.broadcast(near) if few else near, "row", "left_anti").select(columns_of(docs, "doc"))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
