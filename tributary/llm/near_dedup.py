@@ -1,9 +1,10 @@
 """Near-duplicate detection: SetSketch bands find candidates, a joint likelihood screens them, full sets confirm them.
 
-Copies with the same shingle set collapse to one representative before anything is paired. In every band bucket the
-members are paired with the bucket's first one only (a star). Verified links make components; a second star round and
-then the pairs that still lie in different components of one bucket follow, so that no link is lost while a group of
-near copies, once connected, is never paired out.
+Copies with the same shingle set collapse to one representative before anything is paired. Only bands are kept of all
+documents; registers and full sets are made again for those that share a bucket. Every bucket has a head, its most central
+member, and the members of a head's buckets are its family. First each member is compared with the head alone (a star),
+which connects a group of near copies without pairing it out. Only members that remain outside the head's component are
+then compared with the whole family, block by block inside tasks, so that no link between different components is lost.
 """
 
 from __future__ import annotations
@@ -48,35 +49,52 @@ def shingle_set(words: list[bytes], size: int, cache: WordHashes) -> np.ndarray:
 
 
 def sketcher(size: int):
+    """Bands of every text, or for wanted classes (a fourth column with their keys) what confirmation needs."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for b in batches:
-            n = b.num_rows
-            low, sizes, keys, sets = np.full((n, S.REGISTERS), 0xFFFFFFFF, np.uint32), [], [], []
+            wanted = b.column(3).to_pylist() if b.num_columns > 3 else None
+            low, sizes, keys, sets, own = np.full((b.num_rows, S.REGISTERS), 0xFFFFFFFF, np.uint32), [], [], [], []
             for i, text in enumerate(b.column(2).to_pylist()):
                 s = shingle_set(words_of(text), size, cache)
-                sizes.append(len(s))
+                key = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+                if wanted and key != wanted[i]:
+                    continue
                 if len(s):
-                    low[i] = S.minima(s)
-                sets.append(s.tobytes())
-                keys.append(hashlib.blake2b(sets[-1], digest_size=16).digest())
-            regs = S.registers(low)
-            keys_of = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * S.BANDS, S.BANDS, dtype=np.int32)), pa.array(S.band_keys(regs).ravel()))
-            words = S.bits(regs)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array([r.tobytes() for r in regs], pa.binary()), pa.array(sets, pa.binary()), keys_of, *(pa.array(words[:, i]) for i in range(4))],
-                ["id", "row", "n", "key", "regs", "set", "bands", "s0", "s1", "s2", "s3"],
-            )
+                    low[len(own)] = S.minima(s)
+                own.append(i)
+                sizes.append(len(s))
+                keys.append(key)
+                if wanted:
+                    sets.append(s.tobytes())
+            regs = S.registers(low[: len(own)])
+            ids, n = [b.column(i).take(pa.array(own, pa.int64())) for i in (0, 1)], pa.array(sizes, pa.int64())
+            if wanted is None:
+                bands = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(own) + 1) * S.BANDS, S.BANDS, dtype=np.int32)), pa.array(S.band_keys(regs).ravel()))
+                yield pa.RecordBatch.from_arrays([*ids, n, pa.array(keys, pa.binary()), bands], ["id", "row", "n", "key", "bands"])
+            else:
+                words = S.bits(regs)
+                yield pa.RecordBatch.from_arrays(
+                    [ids[1], n, pa.array([r.tobytes() for r in regs], pa.binary()), pa.array(sets, pa.binary()), *(pa.array(words[:, i]) for i in range(4))],
+                    ["row", "n", "regs", "set", "s0", "s1", "s2", "s3"],
+                )
 
     return run
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), blob(text_col).alias("text"))
-    fields = {"n": T.LongType(), "key": T.BinaryType(), "regs": T.BinaryType(), "set": T.BinaryType(), "bands": T.ArrayType(T.LongType()), **{f"s{i}": T.LongType() for i in range(4)}}
+    fields = {"n": T.LongType(), "key": T.BinaryType(), "bands": T.ArrayType(T.LongType())}
     return rows.mapInArrow(sketcher(size), T.StructType([rows.schema["id"], rows.schema["row"], *(T.StructField(k, t) for k, t in fields.items())]))
 
 
+def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """Registers and sets of the classes wanted(id, row, key), made again from the texts of their first documents."""
+    texts = docs.select(F.col(id_col).alias("id"), blob(text_col).alias("text")).join(wanted, "id").select("id", "row", "text", "key")
+    return texts.mapInArrow(sketcher(size), "row long, n long, regs binary, set binary, s0 long, s1 long, s2 long, s3 long")
+
+
 def confirmer(percent: int):
     """Keeps the pairs whose full sets reach the similarity; sketches whose likelihood estimate is far below it are not compared."""
     least = S.least_estimate(percent / 100)
@@ -114,7 +132,54 @@ def fits(n_a: str, n_b: str, percent: int):
     return (100 * F.least(n_a, n_b)) >= (percent * F.greatest(n_a, n_b))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2, percent: int = 80) -> DataFrame:
+def block_checker(percent: int):
+    """Links between outsiders and members of one pair of blocks: for each outsider one link into each other component."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        outside = rows["outsider"].to_numpy()
+        ids, labels, sizes = (rows[k].to_numpy() for k in ("row", "label", "n"))
+        sets = rows["set"].combine_chunks()
+        own = np.flatnonzero(~outside)
+        a, b = [], []
+        if len(own) and outside.any():
+            joined = np.frombuffer(b"".join(sets[i].as_py() for i in own.tolist()), np.uint64)
+            words, at = np.unique(joined, return_inverse=True)
+            begins = np.cumsum(sizes[own]) - sizes[own]
+            marks = np.zeros(len(words), np.int64)
+            for i in np.flatnonzero(outside).tolist():
+                mine = np.frombuffer(sets[i].as_py(), np.uint64)
+                k = np.minimum(np.searchsorted(words, mine), len(words) - 1)
+                k = k[words[k] == mine]
+                marks[k] = 1
+                both = np.add.reduceat(marks[at], begins)
+                marks[k] = 0
+                near = own[(labels[own] != labels[i]) & (100 * both >= percent * (sizes[own] + sizes[i] - both))]
+                for j in near[np.unique(labels[near], return_index=True)[1]].tolist():
+                    a.append(ids[i])
+                    b.append(ids[j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def family_links(families: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, block: int = 512) -> DataFrame:
+    """Links (a, b) between different components within families(head, row): outsiders against all members, in blocks."""
+    named = labels.withColumnRenamed("node", "row")
+    rows = families.join(named, "row", "left").withColumn("label", F.coalesce("label", "row"))
+    heads = named.select(F.col("row").alias("head"), F.col("label").alias("head_label"))
+    rows = materialize(rows.join(heads, "head", "left").withColumn("outsider", F.col("label") != F.coalesce("head_label", "head")).drop("head_label"), "families")
+    counts = rows.groupBy("head").agg(F.count(F.lit(1)).alias("members"), F.count_if("outsider").alias("outsiders")).where("members > 2 and outsiders > 0")
+    blocks = lambda c: F.ceil(F.col(c) / block).cast("int")
+    rows = rows.join(counts.select("head", blocks("members").alias("js"), blocks("outsiders").alias("is")), "head")
+    i, j = F.pmod(F.hash("row", F.lit(1)), F.col("is")), F.pmod(F.hash("row"), F.col("js"))
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    members = rows.select("head", all_of("is").alias("i"), j.alias("j"), F.lit(False).alias("outsider"), "row", "label")
+    outsiders = rows.where("outsider").select("head", i.alias("i"), all_of("js").alias("j"), F.lit(True).alias("outsider"), "row", "label")
+    tasks = members.unionByName(outsiders).join(nodes.select("row", "n", "set"), "row")
+    return tasks.groupBy("head", "i", "j").applyInArrow(block_checker(percent), "a long, b long")
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of docs: id_col, n_shingles, component_id, kept.
 
     Sets are the distinct runs of `size` words (A-Z lower-cased, split at ASCII white space); a text with fewer words is
@@ -127,26 +192,18 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = sk.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("key").agg(F.min(F.struct("id", "row")).alias("first"))
     classes = materialize(classes.select("key", F.col("first.id").alias("id"), F.col("first.row").alias("row")), "classes")
     bands = sk.select("row", "bands").join(classes.select("row"), "row", "left_semi").select("row", F.explode("bands").alias("band"))
-    buckets = bands.groupBy("band").agg(F.min("row").alias("head"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    buckets = bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     members = materialize(bands.join(buckets, "band"), "members")
-
-    links = materialize(confirmed(members.where("row != head").select(F.col("head").alias("a"), F.col("row").alias("b")).distinct(), sk, percent), "links")
-    labels = connected_components(links)
-    for last in (False, True):
-        placed = members.where("members > 2").join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
-        mixed = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max_by("row", F.struct("label", "row")).alias("other")).where("low != high")
-        mixed = placed.join(mixed, "band")
-        if last:  # all pairs of different components that share a bucket, if sizes and register bits allow a link
-            traits = mixed.join(sk.select("row", "n", *(f"s{i}" for i in range(4))), "row")
-            one, two = (traits.select("band", *(F.col(c).alias(f"{c}_{s}") for c in ("row", "label", "n", "s0", "s1", "s2", "s3"))) for s in "ab")
-            apart = sum(F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(4))
-            pairs = one.join(two, "band").where((F.col("label_a") < F.col("label_b")) & fits("n_a", "n_b", percent) & (apart <= S.most_bits_apart(percent / 100)))
-            pairs = pairs.select(F.col("row_a").alias("a"), F.col("row_b").alias("b")).distinct()
-        else:
-            pairs = mixed.where("label != high").select(F.col("other").alias("a"), F.col("row").alias("b")).distinct()
-        more = confirmed(pairs, sk, percent)
-        links = materialize(links.unionByName(more), "links")
-        labels = connected_components(links)
+    # The head is the member with the most company over all its buckets: in a group of near copies one close to their origin.
+    company = members.groupBy("row").agg(F.sum("members").alias("company"))
+    heads = members.join(company, "row").groupBy("band").agg(F.max_by("row", F.struct("company", "row")).alias("head"))
+    families = materialize(members.join(heads, "band").select("head", "row").distinct(), "stars")
+    nodes = materialize(full_sets(docs, classes.join(company.select("row"), "row"), id_col, text_col, size), "sets")
+
+    star = confirmed(families.where("head != row").select(F.col("head").alias("a"), F.col("row").alias("b")), nodes, percent)
+    links = materialize(star, "links")
+    more = family_links(families, connected_components(links), nodes, percent)
+    labels = connected_components(materialize(links.unionByName(more), "links"))
 
     placed = classes.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
     least = placed.groupBy("label").agg(F.min("id").alias("component_id"))
