@@ -8,7 +8,6 @@ weighs as much as it proved reliable on rows kept aside. Nearly equal losses are
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from itertools import product
 
@@ -22,7 +21,6 @@ BUCKETS = 4096
 TRAIN_ROWS = 6000
 MAX_LANGS = 1000
 UND = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 #: Bytes that are no letters for the trigrams: ASCII other than a-z.
 _SPACED = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 _PIECE = 1 << 20
@@ -183,7 +181,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", close: float
         m: Model = held.value
         for b in batches:
             texts = b.column(1).to_pylist()
-            judged = [i for i, t in enumerate(texts) if m.langs and t is not None and _LETTER.search(t)]
+            judged = [i for i, t in enumerate(texts) if m.langs and t is not None and any(map(str.isalpha, t))]
             lang, score, second, close_by = [UND] * len(texts), np.zeros(len(texts)), [None] * len(texts), np.zeros(len(texts), bool)
             for first in range(0, len(judged), 256):
                 own = judged[first : first + 256]
