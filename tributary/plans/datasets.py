@@ -17,12 +17,58 @@ from tributary.operators.sampling import hash_sample
 REGISTRY_COLUMNS = ["qtd_estabelecimentos", "qtd_ativos", "qtd_inativos", "dt_inicio_min", "dt_inicio_max", "dt_situacao_max", "idade_empresa_dias"]
 DEBT_REQUIRED = ["cpf_cnpj", "tipo_pessoa", "tipo_devedor", "numero_inscricao", "tipo_situacao_inscricao", "situacao_inscricao", "receita_principal", "data_inscricao", "indicador_ajuizado", "valor_consolidado", "unidade_responsavel", "ano", "trimestre"]
 
-FISCAL_FEATURES = ["qtd_inscricoes", "qtd_periodos", "qtd_estabelecimentos", "qtd_ativos", "qtd_inativos", "idade_empresa_dias", "inscricoes_por_periodo"]
-#: What the fiscal target is made from.
-FISCAL_LEAKING = ["divida_total", "divida_media", "divida_max", "pct_ajuizado", "qtd_ajuizado", "divida_por_estabelecimento", "divida_por_estabelecimento_ativo", "proporcao_ajuizada_calculada"]
-#: What the discontinuity target is made from.
+#: What the fiscal model may see, and what its target is made from.
+FISCAL_FEATURES = ["qtd_inscricoes", "qtd_periodos", "qtd_irregular", "qtd_beneficio_fiscal", "qtd_negociacao", "qtd_suspenso_judicial", "qtd_garantia", "qtd_estabelecimentos", "qtd_ativos", "qtd_inativos", "idade_empresa_dias", "inscricoes_por_periodo"]
+FISCAL_LEAKING = ["divida_total", "divida_media", "divida_max", "qtd_ajuizado", "pct_ajuizado", "divida_por_estabelecimento", "divida_por_estabelecimento_ativo", "proporcao_ajuizada_calculada"]
+
+#: What the discontinuity model may see (of debts without their prefix), and what its target is made from.
+DISCONTINUITY_COMPANY = ["qtd_estabelecimentos", "idade_empresa_anos"]
+DISCONTINUITY_DEBT = ["qtd_inscricoes", "divida_media", "divida_max", "qtd_ajuizadas", "pct_ajuizadas", "qtd_receitas_distintas", "qtd_situacoes_distintas", "pct_irregular", "pct_beneficio_fiscal", "pct_negociacao", "pct_suspenso_judicial", "pct_garantia"]
 DISCONTINUITY_LEAKING = ["qtd_ativos", "qtd_inativos", "pct_ativos"]
 
+#: Descriptions of features, of debts without their prefix.
+LABELS = {
+    "qtd_inscricoes": "Quantidade de inscrições",
+    "qtd_periodos": "Quantidade de períodos com registros",
+    "qtd_irregular": "Quantidade de inscrições irregulares",
+    "qtd_beneficio_fiscal": "Quantidade com benefício fiscal",
+    "qtd_negociacao": "Quantidade em negociação",
+    "qtd_suspenso_judicial": "Quantidade suspensa judicialmente",
+    "qtd_garantia": "Quantidade com garantia",
+    "qtd_estabelecimentos": "Quantidade de estabelecimentos",
+    "qtd_ativos": "Quantidade de estabelecimentos ativos",
+    "qtd_inativos": "Quantidade de estabelecimentos inativos",
+    "idade_empresa_dias": "Idade da empresa em dias",
+    "idade_empresa_anos": "Idade da empresa em anos",
+    "inscricoes_por_periodo": "Inscrições por período",
+    "divida_total": "Valor total da dívida",
+    "divida_media": "Valor médio das dívidas",
+    "divida_max": "Maior valor individual em dívida",
+    "qtd_ajuizadas": "Quantidade de inscrições ajuizadas",
+    "pct_ajuizadas": "Proporção de inscrições ajuizadas",
+    "qtd_receitas_distintas": "Diversidade de tipos de receita",
+    "qtd_situacoes_distintas": "Diversidade de situações das inscrições",
+    "pct_irregular": "Proporção de inscrições irregulares",
+    "pct_beneficio_fiscal": "Proporção com benefício fiscal",
+    "pct_negociacao": "Proporção em negociação",
+    "pct_suspenso_judicial": "Proporção suspensa judicialmente",
+    "pct_garantia": "Proporção com garantia",
+}
+
+
+def discontinuity_features_of(prefix: str = "debt_") -> list[str]:
+    return [*DISCONTINUITY_COMPANY, f"log1p_{prefix}divida_total", *(prefix + f for f in DISCONTINUITY_DEBT)]
+
+
+def labels_of(features: list[str], prefix: str = "debt_") -> dict[str, str]:
+    """Descriptions of those features that have one; a logarithm says so."""
+    out = {}
+    for f in features:
+        plain = f.removeprefix("log1p_").removeprefix(prefix)
+        if plain in LABELS:
+            out[f] = LABELS[plain] + " em escala logarítmica" * f.startswith("log1p_")
+    return out
+
 
 def consolidated(ledger: DataFrame) -> DataFrame:
     """A ledger read as text: texts cleaned, amounts as double."""

@@ -422,7 +422,7 @@ def x_linear_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m_train_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fiscal(spark, sf_dir)
     model = models.train_linear(rows, datasets.FISCAL_FEATURES, "y_risco_fiscal", leaking=datasets.FISCAL_LEAKING)
-    return models.coefficient_table(spark, model)
+    return models.coefficient_table(spark, model, datasets.labels_of(datasets.FISCAL_FEATURES))
 
 
 @query("m_train_trees")
@@ -434,6 +434,15 @@ def m_train_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.model_ranking(projections.unify(tables))
 
 
+@query("m_forest_importances")
+def m_forest_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances of a forest on the discontinuity dataset."""
+    rows = datasets.discontinuity_dataset(probes.joined(spark, sf_dir)).persist()
+    features = datasets.discontinuity_features_of()
+    model = models.train_tree(rows.withColumn("y", (F.col("qtd_inativos") > F.col("qtd_ativos")).cast("int")), features, "y", kind="rf", depth=5, leaf=5, trees=20, leaking=datasets.DISCONTINUITY_LEAKING)
+    return models.importance_table(spark, model, datasets.labels_of(features))
+
+
 @query("x_lookup", f"""WITH {_FISCAL}, ask AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN CAST(c_custkey AS VARCHAR) WHEN c_custkey % 10 = 1 THEN lpad(CAST(c_custkey AS VARCHAR), 8, '0') || '000100' ELSE lpad(CAST(c_custkey AS VARCHAR), 8, '0') END AS pedido, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE lpad(CAST(c_custkey AS VARCHAR), 8, '0') END AS raiz FROM customer)
     SELECT pedido, ask.raiz, CASE WHEN ask.raiz IS NULL THEN 'invalid_key' WHEN fiscal.raiz IS NULL THEN 'unavailable' ELSE 'ok' END AS status, qtd_inscricoes, y_risco_fiscal FROM ask LEFT JOIN fiscal ON ask.raiz = fiscal.raiz""")
 def x_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
