@@ -57,6 +57,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pieces(batches, rows: int = 2048):
+    """Record batches of at most `rows` rows: what a task holds as Python objects stays small."""
+    for b in batches:
+        for first in range(0, b.num_rows, rows):
+            yield b.slice(first, rows)
+
+
 def words_of(text: bytes) -> list[bytes]:
     """Lower-cased (A-Z) words between ASCII white space; bytes.split() cuts at exactly \\x20 and \\x09-\\x0D."""
     return text.translate(LOWER_AZ).split()

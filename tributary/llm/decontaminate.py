@@ -1,7 +1,8 @@
 """Benchmark decontamination with a generalised suffix automaton over words.
 
 The items are a stated query set. They are read in blocks of bounded size; each block is broadcast, every Python worker
-builds its automaton once, and all documents stream through it in a narrow stage: documents are never shuffled. While a
+builds its automaton once, and all documents stream through it in a narrow stage: documents are never shuffled. Several
+blocks take a pass each. While a
 document's words pass, the automaton tracks the longest suffix that is a run of item words; a run of `window` words or
 more, or a whole shorter item, is a hit.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.common import ALNUM_RUN, LOWER_AZ
+from tributary.llm.common import ALNUM_RUN, LOWER_AZ, materialize, pieces
 
 WINDOW = 13
 BLOCK_WORDS = 100_000
@@ -213,52 +214,63 @@ def decontaminate(
     names = schema.fieldNames()
     span_type, item_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string())
 
+    def match(b: pa.RecordBatch, sam: SuffixAutomaton) -> tuple[list[list[bytes]], list, list]:
+        """Words, spans and items of each row, with what earlier blocks found."""
+        words, spans, items = [item_words(t) for t in b.column(1).to_pylist()], b.column(2).to_pylist(), b.column(3).to_pylist()
+        for i, w in enumerate(words):
+            hit, found = sam.match(w)
+            if hit:
+                spans[i] = [{"start": s, "end": e} for s, e in merged([*((x["start"], x["end"]) for x in spans[i] or ()), *hit])]
+                items[i] = sorted({*(items[i] or ()), *found})
+        return words, spans, items
+
     def through(key: str, block):
         def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sam = automaton_of(key, block, window)
-            for b in batches:
-                spans, items = b.column(2).to_pylist(), b.column(3).to_pylist()
-                for i, text in enumerate(b.column(1).to_pylist()):
-                    hit, found = sam.match(item_words(text))
-                    if hit:
-                        spans[i] = [{"start": s, "end": e} for s, e in merged([*((x["start"], x["end"]) for x in spans[i] or ()), *hit])]
-                        items[i] = sorted({*(items[i] or ()), *found})
+            for b in pieces(batches):
+                _, spans, items = match(b, sam)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, span_type), pa.array(items, item_type)], names)
 
         return step
 
-    for block in blocks_of(benchmark, item_id, item_text, block_words):
-        cur = cur.mapInArrow(through(uuid.uuid4().hex, sc.broadcast(block)), schema)
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = {"n_words": [], "n_hit": [], "spans": [], "contaminated": [], "clean_text": []}
-            for text, hit in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                hit = [(x["start"], x["end"]) for x in hit or ()]
-                low = (text or b"").translate(LOWER_AZ)
-                n = len(ALNUM_RUN.findall(low))
-                n_hit = sum(e - s for s, e in hit)
-                bad = n_hit > 0 and n_hit >= coverage * n - 1e-9
-                at = [m.span() for m in ALNUM_RUN.finditer(low)] if hit else []
-                cut = [(at[s][0], at[e - 1][1]) for s, e in hit]
-                rows["n_words"].append(n)
-                rows["n_hit"].append(n_hit)
-                rows["spans"].append([{"start": s, "end": e} for s, e in cut])
-                rows["contaminated"].append(bad)
-                if clean and text is not None:
-                    kept, done = [], 0
-                    for (s, e), (x, y) in zip(hit, cut, strict=True):
-                        if bad or e - s > span_limit:
-                            kept.append(text[done:x])
-                            done = y
-                    rows["clean_text"].append((b"".join(kept) + text[done:]).decode() if done else text.decode())
-                else:
-                    rows["clean_text"].append(None)
-            items = pa.array([x or [] for x in b.column(3).to_pylist()], item_type)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(rows["n_words"], pa.int64()), pa.array(rows["n_hit"], pa.int64()), items, pa.array(rows["spans"], span_type), pa.array(rows["contaminated"], pa.bool_()), pa.array(rows["clean_text"], pa.string())],
-                ["doc", "text", "n_words", "n_hit", "item_ids", "spans", "contaminated", "clean_text"],
-            )
+    def last(key: str, block):
+        def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sam = automaton_of(key, block, window)
+            for b in pieces(batches):
+                words, spans, items = match(b, sam)
+                rows = {"n_words": [], "n_hit": [], "spans": [], "contaminated": [], "clean_text": []}
+                for text, n, hit in zip(b.column(1), map(len, words), spans, strict=True):
+                    hit = [(x["start"], x["end"]) for x in hit or ()]
+                    n_hit = sum(e - s for s, e in hit)
+                    bad = n_hit > 0 and n_hit >= coverage * n - 1e-9
+                    text = text.as_py() if hit or clean else None
+                    at = [m.span() for m in ALNUM_RUN.finditer(text.translate(LOWER_AZ))] if hit else []
+                    cut = [(at[s][0], at[e - 1][1]) for s, e in hit]
+                    rows["n_words"].append(n)
+                    rows["n_hit"].append(n_hit)
+                    rows["spans"].append([{"start": s, "end": e} for s, e in cut])
+                    rows["contaminated"].append(bad)
+                    rows["clean_text"].append(without(text, [x for x, (s, e) in zip(cut, hit, strict=True) if bad or e - s > span_limit]) if clean and text is not None else None)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1), pa.array(rows["n_words"], pa.int64()), pa.array(rows["n_hit"], pa.int64()), pa.array([x or [] for x in items], item_type), pa.array(rows["spans"], span_type), pa.array(rows["contaminated"], pa.bool_()), pa.array(rows["clean_text"], pa.string())],
+                    ["doc", "text", "n_words", "n_hit", "item_ids", "spans", "contaminated", "clean_text"],
+                )
 
+        return step
+
+    # One Python worker a task at a time: what one block found is written before the next one's pass.
+    held: list = []
+    for block in blocks_of(benchmark, item_id, item_text, block_words):
+        if held:
+            cur = materialize(cur.mapInArrow(through(uuid.uuid4().hex, sc.broadcast(held)), schema), "block")
+        held = block
     out = T.StructType([cur.schema["doc"], T.StructField("text", T.BinaryType()), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("item_ids", ITEMS), T.StructField("spans", SPANS), T.StructField("contaminated", T.BooleanType()), T.StructField("clean_text", T.StringType())])
-    return cur.mapInArrow(finish, out).withColumn("text", F.col("text").cast("string"))
+    return cur.mapInArrow(last(uuid.uuid4().hex, sc.broadcast(held)), out).withColumn("text", F.col("text").cast("string"))
+
+
+def without(text: bytes, spans: list[tuple[int, int]]) -> str:
+    kept, done = [], 0
+    for s, e in spans:
+        kept.append(text[done:s])
+        done = e
+    return (b"".join(kept) + text[done:]).decode()

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.llm.common import pieces
+
 BUCKETS = 4096
 TRAIN_ROWS = 6000
 MAX_LANGS = 1000
@@ -179,7 +181,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", close: float
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = held.value
-        for b in batches:
+        for b in pieces(batches):
             texts = b.column(1).to_pylist()
             judged = [i for i, t in enumerate(texts) if m.langs and t is not None and any(map(str.isalpha, t))]
             lang, score, second, close_by = [UND] * len(texts), np.zeros(len(texts)), [None] * len(texts), np.zeros(len(texts), bool)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.llm import setsketch as S
-from tributary.llm.common import blob, materialize, words_of
+from tributary.llm.common import blob, materialize, pieces, words_of
 from tributary.llm.components import connected_components
 
 _MAX_CACHE = 1 << 18
@@ -53,7 +53,7 @@ def sketcher(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
-        for b in batches:
+        for b in pieces(batches):
             wanted = b.column(3).to_pylist() if b.num_columns > 3 else None
             low, sizes, keys, sets, own = np.full((b.num_rows, S.REGISTERS), 0xFFFFFFFF, np.uint32), [], [], [], []
             for i, text in enumerate(b.column(2).to_pylist()):
@@ -100,9 +100,7 @@ def confirmer(percent: int):
     least = S.least_estimate(percent / 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in pieces(batches, 1024):
             cols = {k: b.column(i) for i, k in enumerate(("a", "b", "n_a", "n_b", "regs_a", "regs_b", "set_a", "set_b"))}
             regs = [np.frombuffer(b"".join(cols[k].to_pylist()), np.uint16).reshape(-1, S.REGISTERS) for k in ("regs_a", "regs_b")]
             near = S.estimate(*regs, cols["n_a"].to_numpy().astype(float), cols["n_b"].to_numpy().astype(float)) >= least
