@@ -152,3 +152,44 @@ def test_line_dedup_keeps_any_text_without_copies(spark):
     rng = random.Random(4)
     docs = [(i, "".join(rng.choice(["a", " ", "\n", "\n\n", " \n ", "é", "\x01", "word word "]) for _ in range(rng.randrange(80)))) for i in range(80)]
     assert {r.doc.doc_id: r.text for r in line_dedup(frame(spark, docs)).collect()} == dict(docs)
+
+
+def covered(docs, min_words=50):
+    """Per document the numbers of its lines inside a run of whole lines over min_words words that an earlier one has, by brute force."""
+    split, out = {i: t.split("\n") for i, t in docs}, {}
+    for i, own in split.items():
+        out[i] = set()
+        for j, other in split.items():
+            for a in range(len(own)):
+                for c in range(len(other)):
+                    n = 0
+                    while j < i and a + n < len(own) and c + n < len(other) and own[a + n] == other[c + n]:
+                        n += 1
+                    if sum(len(x.split()) for x in own[a : a + n]) > min_words:
+                        worded = [k for k in range(a, a + n) if own[k].split()]
+                        out[i].update(range(worded[0], worded[-1] + 1))
+    return out
+
+
+def test_line_dedup_removes_every_repeated_run_of_short_lines(spark):
+    rng = random.Random(6)
+    short = lambda n: " ".join(f"r{rng.randrange(10**6)}" for _ in range(n))
+    docs = []
+    for k in range(40):
+        size = rng.choice([1, 3, 5, 6, 7])
+        lines = [short(size) for _ in range(-(-rng.choice([45, 51, 54, 60, 72]) // size))]
+        if k % 4 == 0:
+            lines = [lines[0]] * len(lines)  # the same line again and again has either every cut or none
+        if k % 4 == 1:
+            lines[2:2] = ["", " "]
+        for copy in range(2):
+            docs.append((2 * k + copy, "\n".join([short(rng.choice([2, 5])) for _ in range(3)] + lines + [short(rng.choice([2, 5])) for _ in range(3)])))
+    want = covered(docs)
+    assert sum(map(bool, want.values())) > 25
+    got = {r.doc.doc_id: r for r in line_dedup(frame(spark, docs)).collect()}
+    for i, t in docs:
+        kept = [x for k, x in enumerate(t.split("\n")) if k not in want[i]]
+        if i // 2 % 4 == 0:  # here a line's repeats in one document can be copied chunks besides
+            assert got[i].lines_removed >= len(want[i])
+        else:
+            assert (got[i].text, got[i].lines_removed) == ("\n".join(kept), len(want[i]))

@@ -1,9 +1,13 @@
-"""Line deduplication by content-defined chunks, in DataFrame operations only.
+"""Line deduplication by content-defined chunks and by spans of lines, in DataFrame operations only.
 
 A document's lines are cut into chunks where the lines themselves say so: a rolling hash over the hashes of two
 neighbouring lines ends a chunk, and a line of `alone` words or more is a chunk of its own. Insertions elsewhere therefore
-do not shift the cuts. Chunks that stand in several documents are found by hash, compared byte by byte with their first
-occurrence, and removed where such chunks follow each other for more than `min_words` words.
+do not shift the cuts. Chunks that stand in several documents are found by hash, confirmed by SHA-256, and removed where
+such chunks follow each other for more than `min_words` words.
+
+Where lines are short, a passage's first and last lines can share chunks with foreign neighbours. So from every line the
+shortest span of whole lines with more than `min_words` words counts too, forwards and backwards: a repeated run of lines
+above the limit is exactly the union of such spans, whatever stands around it.
 """
 
 from __future__ import annotations
@@ -14,28 +18,49 @@ from pyspark.sql import functions as F
 from tributary.llm.common import WORD, materialize
 
 ALONE, DIVISOR, MIN_WORDS = 8, 2, 50
-BROADCAST_ITEMS = 2_000_000  # chunk numbers; some 50 MB
-_BREAK = "\n\n"  # between chunks; every line gets a space in front, so a line break is followed by a space elsewhere
+BROADCAST_ITEMS = 2_000_000  # pieces or line numbers
+_HIGH = 1 << 32  # a span is one long: first line * _HIGH + last line
 
 
-def line_facts(text: Column) -> Column:
-    """array of (line, h, words). Null for null."""
-    return F.transform(F.split(text, "\n", -1), lambda x: F.struct(x.alias("line"), F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("long").alias("h"), F.regexp_count(x, F.lit(WORD)).alias("words")))
+def line_facts(lines: Column) -> Column:
+    """array of (h, words). Null for null."""
+    return F.transform(lines, lambda x: F.struct(F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("long").alias("h"), F.regexp_count(x, F.lit(WORD)).alias("words")))
 
 
-def chunked(facts: Column, alone: int = ALONE, divisor: int = DIVISOR) -> Column:
-    """array of chunks from line_facts; in each, the lines stand behind a space."""
-    none = F.array(F.lit(None).cast("struct<line:string,h:bigint,words:int>"))
+def chunk_ends(facts: Column, alone: int = ALONE, divisor: int = DIVISOR) -> Column:
+    """array of the numbers of the lines that end a chunk, from line_facts."""
+    none = F.array(F.lit(None).cast("struct<h:bigint,words:int>"))
     near = F.arrays_zip(F.concat(none, facts).alias("before"), facts.alias("own"), F.concat(F.slice(facts, F.lit(2), F.size(facts)), none).alias("after"))
     near = F.filter(near, lambda x: x["own"].isNotNull())
 
-    def with_end(x: Column) -> Column:
+    def end(x: Column, i: Column) -> Column:
         before, own, after = x["before"], x["own"], x["after"]
         rolling = F.coalesce(before["h"], F.lit(0)) * 31 + own["h"]
-        ends = (own["words"] >= alone) | (after["words"] >= alone) | (rolling % divisor == 0)
-        return F.concat(F.lit(" "), own["line"], F.when(after.isNull(), "").when(ends, _BREAK).otherwise("\n"))
+        return F.when(after.isNull() | (own["words"] >= alone) | (after["words"] >= alone) | (rolling % divisor == 0), i).otherwise(-1)
+
+    return F.filter(F.transform(near, end), lambda i: i >= 0)
+
+
+def spans(worded: Column, min_words: int, alone: int) -> Column:
+    """array of the spans from and to every line; worded: (at, words) of the lines that have words.
+
+    Spans without a short line are left out: their lines are chunks. Every line has a word, so no span has over
+    min_words + 1 of them.
+    """
+    most = min_words + 1
+
+    def reach(part: Column) -> Column:
+        none = F.struct(F.lit(0).alias("words"), F.lit(-1).alias("at"), F.lit(False).alias("short"))
+        return F.aggregate(part, none, lambda s, x: F.when(s["words"] > min_words, s).otherwise(F.struct((s["words"] + x["words"]).alias("words"), x["at"].alias("at"), (s["short"] | (x["words"] < alone)).alias("short"))))
+
+    def coded(found: Column, backwards: bool) -> Column:
+        full = F.filter(found, lambda x: (x["s"]["words"] > min_words) & x["s"]["short"])
+        return F.transform(full, lambda x: (x["s"]["at"] * F.lit(_HIGH) + x["own"]) if backwards else (x["own"] * F.lit(_HIGH) + x["s"]["at"]))
 
-    return F.split(F.array_join(F.transform(near, with_end), ""), _BREAK, -1)
+    ahead = F.transform(worded, lambda x, i: F.struct(x["at"].cast("long").alias("own"), reach(F.slice(worded, i + 1, F.lit(most))).alias("s")))
+    back = F.transform(worded, lambda x, i: F.struct(x["at"].cast("long").alias("own"), reach(F.reverse(F.slice(worded, F.greatest(i + 2 - most, F.lit(1)), F.least(i + 1, F.lit(most))))).alias("s")))
+    every = F.array_distinct(F.concat(coded(ahead, False), coded(back, True)))
+    return F.when(F.exists(worded, lambda x: x["words"] < alone), every).otherwise(F.array().cast("array<bigint>"))
 
 
 def if_small(df: DataFrame, arrays: str) -> DataFrame:
@@ -44,46 +69,60 @@ def if_small(df: DataFrame, arrays: str) -> DataFrame:
     return F.broadcast(df) if rows + items <= BROADCAST_ITEMS else df
 
 
-def plain(chunks: Column) -> Column:
-    """The text of chunks."""
-    return F.array_join(F.transform(chunks, lambda c: F.replace(F.substring(c, 2, 2_000_000_000), F.lit("\n "), F.lit("\n"))), "\n")
+def part(lines: Column | str, a: Column, b: Column) -> Column:
+    """Lines a to b."""
+    return F.slice(lines, a + 1, b - a + 1)
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, alone: int = ALONE, divisor: int = DIVISOR) -> DataFrame:
     """One row per row of docs: doc (a struct of its other columns), text, n_lines, lines_removed, words_removed.
 
     The first occurrence of a chunk, by least id (null last), stays; the others go if together with the removed chunks
-    beside them they have more than min_words words, and if the chunk stands in two rows at least. Null texts stay null
-    with no lines; an empty text is one empty line; a text may become empty. Repeated rows count as separate documents:
-    the first in storage order stays. Columns of docs lie in the struct, so names cannot clash. No rows give no rows.
+    beside them they have more than min_words words, and if the chunk stands in two rows at least. Every run of whole lines
+    with more than min_words words that an earlier row has goes too, however it is cut into chunks; empty lines at its edges
+    stay. Null texts stay null with no lines; an empty text is one empty line; a text may become empty. Repeated rows count
+    as separate documents: the first in storage order stays. Columns of docs lie in the struct, so names cannot clash. No
+    rows give no rows.
     """
     others = [F.col(c) for c in docs.columns if c != text_col]
     named = F.col(id_col) if id_col in docs.columns else F.lit(None)
-    rows = docs.select((F.struct(*others) if others else F.struct(F.lit(1).alias("none"))).alias("doc"), named.alias("id"), F.monotonically_increasing_id().alias("row"), line_facts(F.col(text_col).cast("string")).alias("facts"))
-    rows = rows.withColumn("chunks", chunked(F.col("facts"), alone, divisor)).drop("facts")
-    rows = materialize(rows.withColumn("hs", F.transform("chunks", lambda c: F.xxhash64(c))), "lines")
-    hashed = rows.select("id", "row", F.posexplode("hs").alias("k", "h"))
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "k"))
-    shared = hashed.groupBy("h").agg(F.min("row").alias("low"), F.max("row").alias("high"), first.alias("first")).where("low != high").select("h", F.col("first.row").alias("first_row"), F.col("first.k").alias("first_k"))
-    # Only chunks that share a hash with another document's are compared byte by byte, each with the first.
-    is_first = (F.col("row") == F.col("first_row")) & (F.col("k") == F.col("first_k"))
-    wanted = hashed.join(shared, "h").groupBy("row").agg(F.collect_list(F.struct("k", "h", is_first.alias("is_first"))).alias("wanted"))
+    rows = docs.select((F.struct(*others) if others else F.struct(F.lit(1).alias("none"))).alias("doc"), named.alias("id"), F.monotonically_increasing_id().alias("row"), F.split(F.col(text_col).cast("string"), "\n", -1).alias("lines"))
+    rows = rows.withColumn("facts", line_facts(F.col("lines")))
+    worded = F.filter(F.transform("facts", lambda x, i: F.struct(i.alias("at"), x["words"].alias("words"))), lambda x: x["words"] > 0)
+    rows = rows.select("doc", "id", "row", "lines", chunk_ends(F.col("facts"), alone, divisor).alias("ends"), worded.alias("worded"), F.transform("lines", lambda x: F.xxhash64(x)).alias("hs"))
+    rows = materialize(rows, "lines")
+    # Pieces are chunks, numbered k, and spans, whose k is null; both are lines a to b.
+    piece = lambda k, a, b: F.struct(k.cast("int").alias("k"), a.cast("int").alias("a"), b.cast("int").alias("b"), F.xxhash64(k.isNull(), part("hs", a.cast("int"), b.cast("int"))).alias("h"))
+    chunks = F.transform("ends", lambda b, k: piece(k, F.when(k == 0, 0).otherwise(F.get("ends", k - 1) + 1), b))
+    wide = F.transform(spans(F.col("worded"), min_words, alone), lambda s: piece(F.lit(None), F.shiftright(s, 32), s % _HIGH))
+    hashed = materialize(rows.select("id", "row", F.explode(F.concat(chunks, wide)).alias("p")).select("id", "row", "p.*"), "pieces")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "a"))
+    shared = hashed.groupBy("h").agg(F.min("row").alias("low"), F.max("row").alias("high"), first.alias("first")).where("low != high").select("h", F.col("first.row").alias("first_row"), F.col("first.a").alias("first_a"))
+    # Only pieces that share a hash with another document's are compared by digest, each with the first; a span only with other documents'.
+    is_first = (F.col("row") == F.col("first_row")) & (F.col("a") == F.col("first_a"))
+    used = F.col("k").isNotNull() | is_first | (F.col("row") != F.col("first_row"))
+    wanted = hashed.join(shared, "h").where(used).groupBy("row").agg(F.collect_list(F.struct("k", "a", "b", "h", is_first.alias("is_first"))).alias("wanted"))
     wanted = materialize(wanted, "wanted")
-    texts = rows.select("row", "chunks").join(if_small(wanted, "wanted"), "row")
-    texts = texts.select("row", F.explode(F.transform("wanted", lambda w: F.struct(w["k"].alias("k"), w["h"].alias("h"), w["is_first"].alias("is_first"), F.get("chunks", w["k"]).alias("chunk")))).alias("w")).select("row", "w.*")
+    texts = rows.select("row", "lines").join(if_small(wanted, "wanted"), "row")
+
+    def digest(w: Column) -> Column:
+        lines = part("lines", w["a"], w["b"])
+        words = F.when(w["k"].isNotNull(), F.aggregate(lines, F.lit(0), lambda n, x: n + F.regexp_count(x, F.lit(WORD))))
+        return F.struct(w["k"].alias("k"), w["a"].alias("a"), w["b"].alias("b"), w["h"].alias("h"), w["is_first"].alias("is_first"), F.unhex(F.sha2(F.array_join(lines, "\n").cast("binary"), 256)).alias("digest"), words.alias("words"))
+
+    texts = texts.select("row", F.explode(F.transform("wanted", digest)).alias("w")).select("row", "w.*")
     texts = materialize(texts, "texts")
-    originals = texts.where("is_first").select("h", F.col("chunk").alias("original"))
-    words = F.regexp_count("chunk", F.lit(WORD))
-    copies = texts.where("not is_first").join(originals, "h").where(F.col("chunk") == F.col("original")).select("row", "k", words.alias("words"), F.size(F.split("chunk", "\n")).alias("lines"))
-    # Chunks next to each other make a run.
-    order = Window.partitionBy("row").orderBy("k")
+    originals = texts.where("is_first").select("h", F.col("digest").alias("original"))
+    copies = texts.where("not is_first").join(originals, "h").where(F.col("digest") == F.col("original")).select("row", "k", "a", "b", "words")
+    # Chunks next to each other make a run; a span is one by itself.
+    order = Window.partitionBy("row", F.col("k").isNull()).orderBy("k")
     run = Window.partitionBy("row", "run")
-    copies = copies.withColumn("run", F.col("k") - F.row_number().over(order)).withColumn("run_words", F.sum("words").over(run)).where(F.col("run_words") > min_words)
-    gone = copies.groupBy("row").agg(F.collect_list("k").alias("gone"), F.sum("lines").alias("lines"), F.sum("words").alias("words"))
+    copies = copies.withColumn("run", F.col("k") - F.row_number().over(order)).withColumn("run_words", F.sum("words").over(run)).where(F.col("k").isNull() | (F.col("run_words") > min_words))
+    gone = copies.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("a", "b")))).alias("gone"))
     gone = materialize(gone, "gone")
-    out = rows.drop("hs").join(if_small(gone, "gone"), "row", "left")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("chunks") - 1), F.col("gone")), lambda i: F.get("chunks", i))
-    text = F.when(F.col("gone").isNull(), plain(F.col("chunks"))).otherwise(plain(kept))
-    lines = F.aggregate("chunks", F.lit(0).cast("long"), lambda n, c: n + 1 + F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit(""))))
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    return out.select("doc", text.alias("text"), zero(lines).alias("n_lines"), zero(F.col("lines")).alias("lines_removed"), zero(F.col("words")).alias("words_removed"))
+    out = rows.select("doc", "row", "lines").join(if_small(gone, "gone"), "row", "left")
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone")), lambda i: F.get("lines", i))
+    text = F.array_join(F.when(F.col("gone").isNull(), F.col("lines")).otherwise(kept), "\n")
+    words = F.aggregate("gone", F.lit(0).cast("long"), lambda n, i: n + F.regexp_count(F.get("lines", i), F.lit(WORD)))
+    count = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.size(c)), F.lit(0)).cast("long")
+    return out.select("doc", text.alias("text"), count("lines").alias("n_lines"), count("gone").alias("lines_removed"), F.coalesce(words, F.lit(0)).cast("long").alias("words_removed"))
