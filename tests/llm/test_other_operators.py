@@ -4,12 +4,14 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tributary.llm import gru
+from tributary.llm import lm_score as lm
 from tributary.llm.chat_format import chat_examples, read_back
 from tributary.llm.decontaminate import SuffixAutomaton, decontaminate, item_words
 from tributary.llm.lang_id import codewords, identify, train_model
@@ -182,6 +184,30 @@ def test_scores_do_not_depend_on_company_or_windows():
         assert gru.score(p, d, np.array([len(d)]), 100, window=500)[0] == pytest.approx(s, abs=1e-3)
 
 
+@pytest.mark.parametrize("sizes", [[0, 1, 3, 700, 5, 90_000], [2], [400] * 50, []])
+def test_blocks_hold_every_token_once(sizes):
+    docs, at = [], 1
+    for n in sizes:
+        docs.append(np.append(np.arange(at, at + n), 0))
+        at += n
+    blocks = list(gru.blocks_of(docs, 32, 8, 5000))
+    targets = np.concatenate([b[:, 1:].ravel() for b in blocks] or [np.zeros(0, np.int64)])
+    assert sorted(targets) == sorted(np.concatenate(docs or [np.zeros(0, np.int64)]))
+    assert all((b[:, 1:] == b[:, :-1] + 1)[(b[:, :-1] > 0) & (b[:, 1:] > 0)].all() for b in blocks)  # order is kept
+
+
+def test_lm_score_learns_from_late_documents(spark):
+    n = 40
+    docs = [("q " * 20_000).encode()] * n + [b"a b " * 10_000] * n + [b"z y " * 400_000]  # over 900,000 tokens before the last one
+    rows = spark.createDataFrame([(d, i) for i, d in enumerate(docs)], "text binary, row long").coalesce(1)
+    tokens = [d.split() for d in docs]
+    counts = Counter(w for t in tokens for w in t) + Counter({lm.END: len(docs)})
+    v = lm.Vocabulary(list(counts), list(counts.values()), sum(counts.values()), len(counts), 0, 0)
+    p = gru.shaped(lm.fit(rows, v, hidden=4), v.n_head, 4)
+    text = np.array([v.words.index(w) for w in [b"z", b"y"] * 100] + [0])
+    assert gru.score(p, text, np.array([len(text)]), v.n_head)[0] / len(text) > -1.2  # ln(1 / 6) = -1.8 by counts alone
+
+
 def test_lm_score(spark):
     rng = random.Random(2)
     rows = [(i, prose(rng.choice(list(WORDS)), rng.randrange(0, 60), rng), "s") for i in range(300)] + [(1000, None, "s"), (1001, "", "s"), (1002, "Kala unseen-word", "s"), (None, "tam", "s"), (5, "tam", "s")]

@@ -193,40 +193,66 @@ def score(p: dict[str, np.ndarray], tokens: np.ndarray, sizes: np.ndarray, n_hea
     return total
 
 
-def lanes_of(docs: Iterable[np.ndarray], lanes: int) -> np.ndarray:
-    """The documents one after the other, cut into equal lanes: [lanes, steps]."""
-    stream = np.concatenate([np.zeros(1, np.int64), *docs])
-    steps = (len(stream) - 1) // lanes
-    return np.stack([stream[i * steps : i * steps + steps + 1] for i in range(lanes)]) if steps else np.zeros((lanes, 1), np.int64)
+def blocks_of(docs: Iterable[np.ndarray], lanes: int, window: int, most: int) -> Iterator[np.ndarray]:
+    """The documents one after the other, cut into [lanes, steps + 1]: every token is a target exactly once.
 
+    Blocks have about `most` tokens. Few tokens get few lanes, so that they make some windows; what doesn't fill the lanes
+    goes to the next block, and at the end into ever fewer lanes.
+    """
 
-def train(p: dict[str, np.ndarray], docs: list[np.ndarray], n_head: int, lanes: int = 128, window: int = 24, rate: float = 0.015) -> dict[str, np.ndarray]:
-    """One pass of truncated backpropagation with Adam over the documents; the state is carried from window to window."""
+    def cut(stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(stream) - 1
+        k = max(1, min(lanes, n // (16 * window))) if n >= 16 * window else max(1, n // window)
+        steps = n // k
+        return np.stack([stream[i * steps : i * steps + steps + 1] for i in range(k)]), stream[k * steps :]
+
+    held, size = [np.zeros(1, np.int64)], 0
+    for doc in docs:
+        for part in np.split(doc, range(most, len(doc), most)):
+            held.append(part)
+            size += len(part)
+            if size >= most:
+                block, rest = cut(np.concatenate(held))
+                yield block
+                held, size = [rest], len(rest) - 1
+    rest = np.concatenate(held)
+    while len(rest) > 1:
+        block, rest = cut(rest)
+        yield block
+
+
+def train(p: dict[str, np.ndarray], docs: Iterable[np.ndarray], n_head: int, lanes: int = 256, window: int = 24, rate: float = 0.015, most: int = 400_000) -> tuple[dict[str, np.ndarray], int]:
+    """One pass of truncated backpropagation with Adam over all documents, and the number of tokens; the state is carried
+    from window to window in a block, Adam's over all of them. A window counts by its tokens."""
     n_hidden = p["u"].shape[0]
     all_p = flat(p)
     p = views(all_p, n_head, n_hidden)
-    data = lanes_of(docs, lanes)
     m1, m2, work = np.zeros_like(all_p), np.zeros_like(all_p), np.zeros_like(all_p)
-    h = np.zeros((lanes, n_hidden), F32)
-    for i, t0 in enumerate(range(0, data.shape[1] - 1, window), 1):
-        part = data[:, t0 : t0 + window + 1]
-        grad, h = gradient(p, part[:, :-1], part[:, 1:], h, n_head)
-        g = flat(grad)
-        np.clip(g, -1, 1, out=g)
-        m1 *= F32(0.9)
-        np.multiply(g, F32(0.1), out=work)
-        m1 += work
-        m2 *= F32(0.99)
-        g *= g
-        g *= F32(0.01)
-        m2 += g
-        np.multiply(m2, F32(1 / (1 - 0.99**i)), out=work)
-        np.sqrt(work, out=work)
-        work += F32(1e-6)
-        np.divide(m1, work, out=work)
-        work *= F32(rate / (1 + 0.002 * i) / (1 - 0.9**i))
-        all_p -= work
-    return {k: v.copy() for k, v in p.items()}
+    i, seen, widest = 0, 0, 1
+    for data in blocks_of(docs, lanes, window, most):
+        h = np.zeros((len(data), n_hidden), F32)
+        for t0 in range(0, data.shape[1] - 1, window):
+            part = data[:, t0 : t0 + window + 1]
+            size, i = part.shape[0] * (part.shape[1] - 1), i + 1
+            seen, widest = seen + size, max(widest, size)
+            grad, h = gradient(p, part[:, :-1], part[:, 1:], h, n_head)
+            g = flat(grad)
+            np.clip(g, -1, 1, out=g)
+            g *= F32(size / widest)
+            m1 *= F32(0.9)
+            np.multiply(g, F32(0.1), out=work)
+            m1 += work
+            m2 *= F32(0.99)
+            g *= g
+            g *= F32(0.01)
+            m2 += g
+            np.multiply(m2, F32(1 / (1 - 0.99**i)), out=work)
+            np.sqrt(work, out=work)
+            work += F32(1e-6)
+            np.divide(m1, work, out=work)
+            work *= F32(rate / (1 + 0.002 * i) / (1 - 0.9**i))
+            all_p -= work
+    return {k: v.copy() for k, v in p.items()}, seen
 
 
 def gradient(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, n_head: int) -> tuple[dict[str, np.ndarray], np.ndarray]:

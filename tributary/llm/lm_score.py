@@ -1,5 +1,5 @@
-"""Language-model scoring: corpus counts by shuffle, a gated recurrent model fitted in rounds of averaged shards, and one
-pass that scores every whole document.
+"""Language-model scoring: corpus counts by shuffle, a gated recurrent model fitted to every training token in rounds of
+averaged shards, and one pass that scores every whole document.
 
 Words outside the head are predicted as a class by the network; inside the class a word has its discounted share of the
 corpus counts, and one further outcome stands for every word the training documents lack. The commonest words (a bounded
@@ -15,6 +15,7 @@ from math import log, log10
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +29,7 @@ KNOWN_WORDS = 131_072
 KNOWN_BYTES = 64
 HIDDEN = 24
 ROUNDS = 3
-SHARDS = 256
-SHARD_TOKENS = 300_000
+FAN = 64
 _FLUSH = 200_000
 
 
@@ -78,56 +78,51 @@ def vocabulary(counts: DataFrame, known: int = KNOWN_WORDS, head: int = HEAD_WOR
 
 
 def mean_block(rows: pa.Table) -> pa.Table:
-    """Mean of one block of weights, weighted by tokens."""
-    w = rows["w"].to_numpy()
-    total = sum(int(k) * np.array(v, np.int64) for k, v in zip(w, rows["v"].to_pylist(), strict=True))
-    return pa.table({"at": rows["at"][:1], "v": pa.array([total / (int(w.sum()) * (1 << 20))], pa.list_(pa.float64()))})
+    """Mean of one block of some shards' weights, weighted by tokens; whole numbers, so that reruns agree."""
+    w = rows["w"].to_pylist()
+    less = max(0, sum(w).bit_length() - 32)  # the sums stay below 2^63
+    parts = [max(1, k >> less) for k in w]
+    total = sum(k * np.array(v, np.int64) for k, v in zip(parts, rows["v"].to_pylist(), strict=True))
+    return pa.table({"at": rows["at"][:1], "shard": pa.array([rows["shard"][0].as_py() // FAN], pa.int64()), "w": pa.array([sum(w)], pa.int64()), "v": pa.array([total // sum(parts)], pa.list_(pa.int64()))})
 
 
-def fit(train: DataFrame, vocab: Vocabulary, hidden: int = HIDDEN, rounds: int = ROUNDS, shards: int = SHARDS, shard_tokens: int = SHARD_TOKENS) -> np.ndarray:
-    """Weights of the network. train: one column of bytes.
+def fit(train: DataFrame, vocab: Vocabulary, hidden: int = HIDDEN, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights of the network. train: text (bytes) and row, a number.
 
-    A documented bound: in each of `rounds` rounds each of at most `shards` tasks goes through at most shard_tokens tokens
-    of its own documents, other ones in every round, starting from the common weights; the weights are then averaged,
-    weighted by tokens, as whole numbers so that reruns agree.
+    Every token of every row is learned from once. The rows are dealt over `rounds` rounds by their number; in a round each
+    task goes through all tokens of its rows of that round, starting from the common weights, and the weights are then
+    averaged, weighted by tokens, FAN shards at a time. There are as many shards as the table has partitions.
     """
     weights = gru.flat(gru.initial(vocab.head_counts, vocab.other_total, hidden)).astype(np.float64)
     if not vocab.total:
         return weights
     sc = train.sparkSession.sparkContext
     n_head, head_words = vocab.n_head, sc.broadcast({w: i for i, w in enumerate(vocab.words[: vocab.n_head])})
-    source = train.coalesce(shards)
+    kind = "at long, shard long, w long, v array<long>"
     for turn in range(rounds):
         now = sc.broadcast(weights.copy())
 
-        def shard(batches: Iterator[pa.RecordBatch], turn: int = turn, now=now) -> Iterator[pa.RecordBatch]:
-            ids, other = head_words.value, n_head
-            first, own, seen, got = [], [], 0, 0
-            for b in batches:
-                for text in b.column(0).to_pylist():
-                    words = words_of(text)
-                    seen += len(words) + 1
-                    if turn and seen > shard_tokens and seen <= turn * shard_tokens:
-                        continue
-                    doc = np.append(np.fromiter(map(ids.get, words, repeat(other)), np.int64, len(words)), 0)
-                    if seen <= shard_tokens:
-                        first.append(doc)
-                    if seen > turn * shard_tokens and got < shard_tokens:
-                        doc = doc[: shard_tokens - got]
-                        own.append(doc)
-                        got += len(doc)
-                if got >= shard_tokens:
-                    break
-            if own := own or first:
-                got = sum(map(len, own))
-                out = gru.flat(gru.train(gru.shaped(now.value, n_head, hidden), own, n_head))
-                whole = np.rint(np.clip(out, -500, 500) * (1 << 20)).astype(np.int64)
-                for i in range(0, len(whole), 4096):
-                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([got], pa.int64()), pa.array([whole[i : i + 4096].tolist()], pa.list_(pa.int64()))], ["at", "w", "v"])
+        def shard(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            ids, other, number = head_words.value, n_head, TaskContext.get().partitionId()
+
+            def docs() -> Iterator[np.ndarray]:
+                for b in batches:
+                    for text in b.column(0):
+                        words = words_of(text.as_py())
+                        yield np.append(np.fromiter(map(ids.get, words, repeat(other)), np.int64, len(words)), 0)
 
-        parts = source.mapInArrow(shard, "at long, w long, v array<long>")
-        for row in parts.groupBy("at").applyInArrow(mean_block, "at long, v array<double>").toLocalIterator():  # at most `shards` rows a group; together one value per weight
-            weights[row["at"] : row["at"] + len(row["v"])] = row["v"]
+            out, got = gru.train(gru.shaped(now.value, n_head, hidden), docs(), n_head)
+            if got:
+                whole = np.rint(np.clip(gru.flat(out), -500, 500) * (1 << 20)).astype(np.int64)
+                for i in range(0, len(whole), 4096):
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([number], pa.int64()), pa.array([got], pa.int64()), pa.array([whole[i : i + 4096].tolist()], pa.list_(pa.int64()))], ["at", "shard", "w", "v"])
+
+        parts = train.where(F.pmod("row", F.lit(rounds)) == turn).select("text").mapInArrow(shard, kind)
+        left = train.rdd.getNumPartitions()
+        while left > FAN:
+            parts, left = parts.groupBy("at", F.floor(F.col("shard") / FAN)).applyInArrow(mean_block, kind), -(-left // FAN)
+        for row in parts.groupBy("at").applyInArrow(mean_block, kind).toLocalIterator():  # at most FAN rows a group; together one value per weight
+            weights[row["at"] : row["at"] + len(row["v"])] = np.array(row["v"]) / (1 << 20)
     return weights
 
 
@@ -170,7 +165,7 @@ def scorer(vocab, weights, hidden: int, most: int = 2_000_000):
     return run
 
 
-def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_out: int = 2, hidden: int = HIDDEN, known: int = KNOWN_WORDS, head: int = HEAD_WORDS, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_out: int = 2, hidden: int = HIDDEN, known: int = KNOWN_WORDS, head: int = HEAD_WORDS) -> DataFrame:
     """One row per row of docs: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words (A-Z lower-cased, split at ASCII white space) and one end. Rows whose crc32(id) % folds is
@@ -179,10 +174,10 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
     Without training rows the score is that of an untrained network. Repeated rows are scored each. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), blob(text_col).alias("text"), (crc_mod(id_col, folds) == held_out).alias("held_out"))
-    train = rows.where(~F.col("held_out")).select("text")
-    counts = materialize(train.mapInArrow(count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "counts")
+    train = rows.where(~F.col("held_out")).select("text", "row")
+    counts = materialize(train.select("text").mapInArrow(count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "counts")
     vocab = vocabulary(counts, known, head)
-    weights = fit(train, vocab, hidden, shard_tokens=shard_tokens)
+    weights = fit(train, vocab, hidden)
 
     sc = docs.sparkSession.sparkContext
     schema = rows.select("id", "row", "held_out").schema
