@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary.llm import gru
+from tributary.llm import lang_id as li
 from tributary.llm import lm_score as lm
 from tributary.llm.chat_format import chat_examples, read_back
 from tributary.llm.decontaminate import SuffixAutomaton, decontaminate, item_words
@@ -56,6 +57,15 @@ def test_language_id_with_few_labels(spark):
     assert identify(frame(spark, []), one).count() == 0
 
 
+def test_rare_language_gets_its_share_of_the_training_rows(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, prose(lang, 300, rng), lang) for i, lang in enumerate(["aa"] * 2000 + ["bb"] * 1960 + ["cc"] * 40)]
+    seen = []
+    monkeypatch.setattr(li, "fit", lambda x, y, aside, langs: seen.append(np.bincount(y, minlength=3)))
+    train_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.col("doc_id"), "lang", "text", train_rows=270)
+    assert seen[0].tolist() == [90, 90, 90]
+
+
 def test_codewords_are_apart():
     assert codewords(4).shape == (4, 7)
     for n in (2, 5, 20):

@@ -13,7 +13,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,9 +161,11 @@ def train_model(labelled: DataFrame, key: Column, lang_col: str, text_col: str,
     if len(langs) < 2:
         return fit(np.zeros((0, BUCKETS), np.float32), np.zeros(0, int), np.zeros(0, bool), langs)
     each = max(1, train_rows // (3 * len(langs)))  # up to three histograms a row
-    # about that many of each language, by the hash; the limit makes it a bound
-    cut = F.coalesce(*(F.when(F.col("lang") == r["lang"], F.lit(min(1.0, 1.3 * each / r["count"]))) for r in known)) * float(1 << 63)
-    picked = rows.where(F.col("order") < cut).mapInArrow(train_histograms, "lang string, order long, at binary, h binary").orderBy("order", "lang", "at", "h").limit(train_rows).collect()
+    # some more of each language by the hash, so that few rows are ranked; the rank inside the language makes it a bound
+    cut = F.coalesce(*(F.when(F.col("lang") == r["lang"], F.lit(min(1.0, (2 * each + 20) / r["count"]))) for r in known)) * float(1 << 63)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))
+    chosen = rows.where(F.col("order") < cut).withColumn("rank", rank).where(F.col("rank") <= each).drop("rank")
+    picked = chosen.mapInArrow(train_histograms, "lang string, order long, at binary, h binary").orderBy("order", "lang", "at", "h").limit(train_rows).collect()
     x, number = np.zeros((len(picked), BUCKETS), np.float32), {v: i for i, v in enumerate(langs)}
     for i, r in enumerate(picked):
         x[i, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["h"], np.float32)
