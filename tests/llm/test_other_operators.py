@@ -157,6 +157,13 @@ def test_license_scan(spark):
     assert license_scan(frame(spark, [])).count() == 0
 
 
+def test_license_scan_finds_every_family_of_a_long_line():
+    rng = random.Random(5)
+    scanner = Scanner([item_words(prose("aa", 12, rng)) for _ in range(200)])
+    line = " ".join([prose("aa", 100, rng), "Licensed under the Apache License, Version 2.0.", prose("aa", 100, rng), "This work is licensed under the GNU General Public License, version 3.", prose("aa", 100, rng)])
+    assert {"apache-2.0", "gpl"} <= {f for _, f, _, _, sure in scanner.scan(line.encode()) if sure}
+
+
 def test_gradient_is_right(monkeypatch):
     monkeypatch.setattr(gru, "F32", np.float64)
     rng = np.random.default_rng(0)

@@ -127,7 +127,7 @@ class Scanner:
         return len(a & b) / max(1, min(len(a), len(b)))
 
     def scan(self, text: bytes) -> list[tuple[int, str, float, float, bool]]:
-        """(paragraph, family, probability, likeness, confirmed) for each paragraph that isn't unknown."""
+        """(paragraph, family, probability, likeness, confirmed) for each family that a paragraph is given to, unknown aside."""
         pieces: list[tuple[int, list[bytes]]] = []
         for k, line in enumerate(text.split(b"\n")):
             words = words_in(line)
@@ -135,7 +135,7 @@ class Scanner:
                 pieces += [(k, words[i : i + 2 * STEP]) for i in range(0, len(words) - STEP, STEP)]
             elif words:
                 pieces.append((k, words))
-        found: dict[int, tuple[int, str, float, float, bool]] = {}
+        found: dict[tuple[int, str], tuple[int, str, float, float, bool]] = {}
         for first in range(0, len(pieces), 512):
             part = pieces[first : first + 512]
             sizes = np.array([len(w) for _, w in part])
@@ -153,8 +153,9 @@ class Scanner:
                 family, own = self.families[best[i]], bigrams(words)
                 like = max(self.alike(own, t) for t in self.templates[family])
                 new = (k, family, float(p[i, best[i]]), like, like >= self.confirm)
-                if k not in found or (new[4], new[2]) > (found[k][4], found[k][2]):
-                    found[k] = new
+                at = (k, family)
+                if at not in found or (new[4], new[2]) > (found[at][4], found[at][2]):
+                    found[at] = new
         return [found[k] for k in sorted(found)]
 
 
@@ -174,8 +175,8 @@ def corpus_paragraphs(docs: DataFrame, text_col: str, rows: int) -> list[list[by
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_paragraphs: int = TRAIN_PARAGRAPHS, scanner: Scanner | None = None) -> DataFrame:
     """One row per row of docs: id_col, n_paragraphs, notices.
 
-    notices: array of (paragraph, family, probability, likeness, confirmed), one for each paragraph (line) that the
-    classifier gives to a family; confirmed if a template of it agrees. Null and empty texts have no notices; long lines are
+    notices: array of (paragraph, family, probability, likeness, confirmed), one for each family that the
+    classifier gives a paragraph (line) or a window of it to; confirmed if a template of it agrees. Null and empty texts have no notices; long lines are
     looked at in overlapping windows, all of them; repeated rows are scanned each; null ids are kept. Other columns are not
     read; no rows give no rows.
     """
