@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tributary.llm import exact_dedup as X
 from tributary.llm import setsketch as S
@@ -14,6 +15,7 @@ from tributary.llm.line_dedup import line_dedup
 from tributary.llm.near_dedup import near_dedup
 
 DOCS = "doc_id long, text string, lang string, keep_id string, kept string, row string, doc string"
+OFF = 10**6  # no chunk has so many lines: passages only
 EMPTY = [(1, None), (2, ""), (3, "  \n\t")]
 
 
@@ -146,12 +148,75 @@ def test_line_dedup_repeats_and_no_rows(spark):
     assert got == [("", 1), ("", 1), (LONG, 0)]
     text = f"{LONG}\nx\n{LONG}"
     assert line_dedup(frame(spark, [(1, text)])).first().text == text  # in one document only
+    many = "\n".join(f"{LONG} {i}" for i in range(3000))  # 180,000 words
+    got = {r.doc.doc_id: r for r in line_dedup(frame(spark, [(1, many), (2, f"{many}\nown"), (3, " ".join([LONG] * 3000))])).collect()}
+    assert got[1].lines_removed == 0 and (got[2].text, got[2].lines_removed) == ("own", 3000) and got[3].lines_removed == 0
+
+
+def brute_pieces(text, min_words=50, min_lines=2):
+    """Chunks and spans of a text as (first line, last line), by the rules' words."""
+    lines = text.split("\n")
+    words = [len(x.split()) for x in lines]
+    h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
+    out, a = set(), 0
+    for b in range(len(lines)):
+        rolling = sum(31**k * h[b - k] for k in range(4) if b >= k)
+        if rolling % 4 == 0 or b == len(lines) - 1:
+            if sum(w > 0 for w in words[a : b + 1]) >= min_lines:
+                out.add((a, b))
+            a = b + 1
+    for i in range(len(lines)):
+        for ends in (range(i, len(lines)), range(i, -1, -1)):
+            n = 0
+            for j in ends:
+                n += words[j]
+                if words[i] and n > min_words:
+                    out.add((min(i, j), max(i, j)))
+                    break
+    return out
+
+
+def test_line_dedup_matches_brute_force(spark):
+    """A third of all lines is one line; passages are shared, shifted and cut; ids are null or repeat."""
+    rng = random.Random(8)
+    pool = [" ".join(f"p{rng.randrange(40)}" for _ in range(rng.choice([1, 3, 9, 30, 60]))) for _ in range(60)] + ["", " "]
+    docs = []
+    for i in range(120):
+        at = rng.randrange(50)
+        lines = [rng.choice([*pool, pool[0], f"own {rng.random()}"]) for _ in range(rng.randrange(4))] + pool[at : at + rng.randrange(12)] + [pool[0]] * rng.randrange(3) + [f"own {rng.random()}"] * rng.randrange(2)
+        docs.append((i, "\n".join(lines)))
+    first: dict[str, int] = {}
+    cut = lambda t, p: "\n".join(t.split("\n")[p[0] : p[1] + 1])
+    for i, t in docs:
+        for p in brute_pieces(t):
+            first.setdefault(cut(t, p), i)
+    want = {}
+    for i, t in docs:
+        gone = {k for p in brute_pieces(t) if first[cut(t, p)] != i for k in range(p[0], p[1] + 1)}
+        want[i] = ("\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone), len(gone))
+    assert sum(n > 0 for _, n in want.values()) > 60
+    assert {r.doc.doc_id: (r.text, r.lines_removed) for r in line_dedup(frame(spark, docs, 7)).collect()} == want
+
+
+def test_line_dedup_cuts_alike_after_an_insertion(spark):
+    """A line put in front, or changed, moves no cut but those beside it."""
+    from tributary.llm.line_dedup import chunk_ends, line_facts
+
+    rng = random.Random(9)
+    lines = [f"line {rng.random()}" for _ in range(200)]
+    texts = [lines, ["new", *lines], [*lines[:100], "changed", *lines[101:]]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i long, lines array<string>")
+    ends = {r.i: r.e for r in df.select("i", line_facts(F.col("lines")).alias("f")).select("i", chunk_ends(F.col("f")).alias("e")).collect()}
+    assert 25 < len(ends[0]) < 80
+    assert {e - 1 for e in ends[1] if e > 4} == {e for e in ends[0] if e > 3}
+    assert {e for e in ends[2] if not 100 <= e <= 103} == {e for e in ends[0] if not 100 <= e <= 103}
 
 
 def test_line_dedup_keeps_any_text_without_copies(spark):
     rng = random.Random(4)
     docs = [(i, "".join(rng.choice(["a", " ", "\n", "\n\n", " \n ", "é", "\x01", "word word "]) for _ in range(rng.randrange(80)))) for i in range(80)]
-    assert {r.doc.doc_id: r.text for r in line_dedup(frame(spark, docs)).collect()} == dict(docs)
+    assert {r.doc.doc_id: r.text for r in line_dedup(frame(spark, docs), min_lines=OFF).collect()} == dict(docs)
+    assert {r.doc.doc_id: r.text for r in line_dedup(frame(spark, docs[:1])).collect()} == dict(docs[:1])
 
 
 def covered(docs, min_words=50):
@@ -186,7 +251,7 @@ def test_line_dedup_removes_every_repeated_run_of_short_lines(spark):
             docs.append((2 * k + copy, "\n".join([short(rng.choice([2, 5])) for _ in range(3)] + lines + [short(rng.choice([2, 5])) for _ in range(3)])))
     want = covered(docs)
     assert sum(map(bool, want.values())) > 25
-    got = {r.doc.doc_id: r for r in line_dedup(frame(spark, docs)).collect()}
+    got = {r.doc.doc_id: r for r in line_dedup(frame(spark, docs), min_lines=OFF).collect()}
     for i, t in docs:
         kept = [x for k, x in enumerate(t.split("\n")) if k not in want[i]]
         if i // 2 % 4 == 0:  # here a line's repeats in one document can be copied chunks besides

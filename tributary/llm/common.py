@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,17 +30,70 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: cuts the lineage and computes df once."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+_OPEN = threading.local()
+
+
+@contextmanager
+def scratch():
+    """Tables that are materialized inside are deleted when the block ends, unless materialize was told that they stay;
+    those belong to the block around it. What belongs to no block is deleted when the application ends."""
+    stack = _OPEN.__dict__.setdefault("stack", [])
+    own: list[tuple[SparkSession, str]] = []
+    stack.append(own)
+    try:
+        yield own
+    finally:
+        stack.remove(own)
+        delete(own)
+
+
+def delete(tables: list[tuple[SparkSession, str]]) -> None:
+    """Deletes what materialize wrote; the list is empty afterwards."""
+    while tables:
+        spark, path = tables.pop()
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def materialize(df: DataFrame, name: str, stays: bool = False) -> DataFrame:
+    """Write df as Parquet into the shared folder and read it back: cuts the lineage and computes df once.
+
+    stays: the table outlives the innermost scratch() block, because what the block returns reads it.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    stack = _OPEN.__dict__.get("stack", [])
+    if len(stack) > stays:
+        stack[-1 - stays].append((spark, path))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+FILE, AT = "__file", "__at"
+
+
+def file_rows(docs: DataFrame) -> DataFrame:
+    """docs with FILE and AT, a row's address: a hash of its file and its place there. It is the same whenever the files
+    are read, on any cluster. docs must come straight from Parquet files: selected and filtered only."""
+    return docs.select("*", F.xxhash64("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(AT))
+
+
+def addressed(docs: DataFrame, columns: dict[str, Column], name: str) -> DataFrame:
+    """The columns with FILE and AT. A table that has no addresses is written first; addresses must be unique."""
+    if {FILE, AT} <= set(docs.columns):
+        return docs.select(*(c.alias(k) for k, c in columns.items()), FILE, AT)
+    return file_rows(materialize(docs.select(*(c.alias(k) for k, c in columns.items())), name, stays=True))
+
+
+BROADCAST_BYTES = 64 << 20
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder, for loops."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def if_small(df: DataFrame, row_bytes: int, items: str | None = None, item_bytes: int = 0, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df for a broadcast if its counted rows and array items take at most `most` bytes; else as it is, for a shuffle."""
+    rows, more = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(items)), F.lit(0)) if items else F.lit(0)).first()
+    return F.broadcast(df) if rows * row_bytes + more * item_bytes <= most else df
 
 
 def crc_mod(key: Column | str, n: int) -> Column:
@@ -57,11 +112,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pieces(batches, rows: int = 2048):
-    """Record batches of at most `rows` rows: what a task holds as Python objects stays small."""
+def pieces(batches, rows: int = 2048, most: int = 4 << 20):
+    """Record batches of at most `rows` rows and about `most` bytes (one row at least): what a task holds as Python objects stays small."""
     for b in batches:
-        for first in range(0, b.num_rows, rows):
-            yield b.slice(first, rows)
+        first = 0
+        while first < b.num_rows:
+            n = min(rows, b.num_rows - first)
+            while n > 1 and b.slice(first, n).nbytes > most:
+                n = -(-n // 2)
+            yield b.slice(first, n)
+            first += n
 
 
 def words_of(text: bytes) -> list[bytes]:

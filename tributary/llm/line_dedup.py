@@ -1,128 +1,136 @@
-"""Line deduplication by content-defined chunks and by spans of lines, in DataFrame operations only.
+"""Line deduplication by content-defined chunks of lines, in DataFrame operations only.
 
-A document's lines are cut into chunks where the lines themselves say so: a rolling hash over the hashes of two
-neighbouring lines ends a chunk, and a line of `alone` words or more is a chunk of its own. Insertions elsewhere therefore
-do not shift the cuts. Chunks that stand in several documents are found by hash, confirmed by SHA-256, and removed where
-such chunks follow each other for more than `min_words` words.
+A document's lines are cut into chunks where the lines themselves say so: a hash that rolls over the hashes of the last
+WINDOW lines ends a chunk where DIVISOR divides it. Insertions elsewhere therefore do not shift the cuts: after WINDOW
+equal lines two documents cut alike. Chunks of several lines that stand in several documents are found by hash, confirmed
+by SHA-256 of their bytes, and removed everywhere but in the first document.
 
-Where lines are short, a passage's first and last lines can share chunks with foreign neighbours. So from every line the
-shortest span of whole lines with more than `min_words` words counts too, forwards and backwards: a repeated run of lines
-above the limit is exactly the union of such spans, whatever stands around it.
+A passage can begin and end inside chunks. So the shortest span of whole lines with more than `min_words` words, from
+every line forwards and backwards, is a piece like a chunk: a repeated run of lines above that limit is exactly the union
+of such spans, whatever stands around it, and a long line is a span by itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import WORD, materialize
+from tributary.llm.common import AT, FILE, WORD, addressed, if_small, materialize, scratch
 
-ALONE, DIVISOR, MIN_WORDS = 8, 2, 50
-BROADCAST_ITEMS = 2_000_000  # pieces or line numbers
-_HIGH = 1 << 32  # a span is one long: first line * _HIGH + last line
+WINDOW, DIVISOR, MIN_LINES, MIN_WORDS = 4, 4, 2, 50
+_HIGH = 1 << 32  # a piece is one long: first line * _HIGH + last line
 
 
 def line_facts(lines: Column) -> Column:
-    """array of (h, words). Null for null."""
-    return F.transform(lines, lambda x: F.struct(F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("long").alias("h"), F.regexp_count(x, F.lit(WORD)).alias("words")))
+    """array of (h, x, words): a 32-bit hash for the cuts, a 64-bit one for the pieces. Null for null."""
+    h = lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("long")
+    return F.transform(lines, lambda x: F.struct(h(x).alias("h"), F.xxhash64(x).alias("x"), F.regexp_count(x, F.lit(WORD)).alias("words")))
 
 
-def chunk_ends(facts: Column, alone: int = ALONE, divisor: int = DIVISOR) -> Column:
+def chunk_ends(facts: Column, window: int = WINDOW, divisor: int = DIVISOR) -> Column:
     """array of the numbers of the lines that end a chunk, from line_facts."""
-    none = F.array(F.lit(None).cast("struct<h:bigint,words:int>"))
-    near = F.arrays_zip(F.concat(none, facts).alias("before"), facts.alias("own"), F.concat(F.slice(facts, F.lit(2), F.size(facts)), none).alias("after"))
-    near = F.filter(near, lambda x: x["own"].isNotNull())
 
     def end(x: Column, i: Column) -> Column:
-        before, own, after = x["before"], x["own"], x["after"]
-        rolling = F.coalesce(before["h"], F.lit(0)) * 31 + own["h"]
-        return F.when(after.isNull() | (own["words"] >= alone) | (after["words"] >= alone) | (rolling % divisor == 0), i).otherwise(-1)
+        rolling = x["h"]
+        for k in range(1, window):
+            rolling = rolling + F.coalesce(F.get(facts, i - k)["h"], F.lit(0)) * 31**k
+        return F.when((i == F.size(facts) - 1) | (rolling % divisor == 0), i).otherwise(-1)
 
-    return F.filter(F.transform(near, end), lambda i: i >= 0)
+    return F.filter(F.transform(facts, end), lambda i: i >= 0)
 
 
-def spans(worded: Column, min_words: int, alone: int) -> Column:
-    """array of the spans from and to every line; worded: (at, words) of the lines that have words.
+def part(lines: Column | str, a: Column, b: Column) -> Column:
+    """Lines a to b."""
+    return F.slice(lines, a + 1, b - a + 1)
+
+
+def coded(a: Column, b: Column) -> Column:
+    return a.cast("long") * F.lit(_HIGH) + b.cast("long")
+
 
-    Spans without a short line are left out: their lines are chunks. Every line has a word, so no span has over
-    min_words + 1 of them.
+def chunks(facts: Column, ends: Column, min_lines: int) -> Column:
+    """array of the chunks with min_lines lines with words or more, coded."""
+    every = F.transform(ends, lambda b, k: F.struct(F.when(k == 0, 0).otherwise(F.get(ends, k - 1) + 1).alias("a"), b.alias("b")))
+    many = F.filter(every, lambda c: (c["b"] - c["a"] + 1 >= min_lines) & (F.size(F.filter(part(facts, c["a"], c["b"]), lambda x: x["words"] > 0)) >= min_lines))
+    return F.transform(many, lambda c: coded(c["a"], c["b"]))
+
+
+def spans(worded: Column, min_words: int) -> Column:
+    """array of the spans from and to every line, coded; worded: (at, words) of the lines that have words.
+
+    Every line has a word, so no span has over min_words + 1 of them.
     """
     most = min_words + 1
 
-    def reach(part: Column) -> Column:
-        none = F.struct(F.lit(0).alias("words"), F.lit(-1).alias("at"), F.lit(False).alias("short"))
-        return F.aggregate(part, none, lambda s, x: F.when(s["words"] > min_words, s).otherwise(F.struct((s["words"] + x["words"]).alias("words"), x["at"].alias("at"), (s["short"] | (x["words"] < alone)).alias("short"))))
+    def reached(near: Column) -> Column:
+        """The line where more than min_words words are reached, or null."""
+        none = F.struct(F.lit(0).alias("words"), F.lit(-1).alias("at"))
+        step = lambda s, x: F.when(s["words"] > min_words, s).otherwise(F.struct((s["words"] + x["words"]).alias("words"), x["at"].alias("at")))
+        return F.aggregate(near, none, step, lambda s: F.when(s["words"] > min_words, s["at"]))
 
-    def coded(found: Column, backwards: bool) -> Column:
-        full = F.filter(found, lambda x: (x["s"]["words"] > min_words) & x["s"]["short"])
-        return F.transform(full, lambda x: (x["s"]["at"] * F.lit(_HIGH) + x["own"]) if backwards else (x["own"] * F.lit(_HIGH) + x["s"]["at"]))
+    def reach(own: Column, near, none: int = -1) -> Column:
+        """near: n -> the n nearest lines; most spans are short."""
+        return F.when(own["words"] > min_words, own["at"]).otherwise(F.coalesce(reached(near(4)), reached(near(most)), F.lit(none)))
 
-    ahead = F.transform(worded, lambda x, i: F.struct(x["at"].cast("long").alias("own"), reach(F.slice(worded, i + 1, F.lit(most))).alias("s")))
-    back = F.transform(worded, lambda x, i: F.struct(x["at"].cast("long").alias("own"), reach(F.reverse(F.slice(worded, F.greatest(i + 2 - most, F.lit(1)), F.least(i + 1, F.lit(most))))).alias("s")))
-    every = F.array_distinct(F.concat(coded(ahead, False), coded(back, True)))
-    return F.when(F.exists(worded, lambda x: x["words"] < alone), every).otherwise(F.array().cast("array<bigint>"))
+    ahead = F.transform(worded, lambda x, i: coded(x["at"], reach(x, lambda n: F.slice(worded, i + 1, F.lit(n)))))
+    back = F.transform(worded, lambda x, i: coded(reach(x, lambda n: F.reverse(F.slice(worded, F.greatest(i + 2 - n, F.lit(1)), F.least(i + 1, F.lit(n))))), x["at"]))
+    # An unreached end is -1: such a code is negative or ends in _HIGH - 1.
+    return F.filter(F.concat(ahead, back), lambda s: (s >= 0) & (F.pmod(s, F.lit(_HIGH)) != _HIGH - 1))
 
 
-def if_small(df: DataFrame, arrays: str) -> DataFrame:
-    """df for a broadcast if it was counted to be small, else as it is: the join then shuffles the documents."""
-    rows, items = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(arrays)), F.lit(0))).first()
-    return F.broadcast(df) if rows + items <= BROADCAST_ITEMS else df
+def first_line(code: Column) -> Column:
+    return F.shiftright(code, 32).cast("int")
 
 
-def part(lines: Column | str, a: Column, b: Column) -> Column:
-    """Lines a to b."""
-    return F.slice(lines, a + 1, b - a + 1)
+def last_line(code: Column) -> Column:
+    return (code % _HIGH).cast("int")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, alone: int = ALONE, divisor: int = DIVISOR) -> DataFrame:
+def line_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_lines: int = MIN_LINES, window: int = WINDOW, divisor: int = DIVISOR
+) -> DataFrame:
     """One row per row of docs: doc (a struct of its other columns), text, n_lines, lines_removed, words_removed.
 
-    The first occurrence of a chunk, by least id (null last), stays; the others go if together with the removed chunks
-    beside them they have more than min_words words, and if the chunk stands in two rows at least. Every run of whole lines
-    with more than min_words words that an earlier row has goes too, however it is cut into chunks; empty lines at its edges
-    stay. Null texts stay null with no lines; an empty text is one empty line; a text may become empty. Repeated rows count
-    as separate documents: the first in storage order stays. Columns of docs lie in the struct, so names cannot clash. No
-    rows give no rows.
+    Pieces are chunks with min_lines lines with words or more, and the shortest spans of whole lines with more than min_words words. A
+    piece that stands in several rows stays in the first of them, by least id (null last), wherever it stands there, and
+    its lines go from all others. So every run of whole lines with more than min_words words that an earlier row has goes,
+    and of shorter ones the chunks of several lines. Empty lines go inside a piece only. Null texts stay null with no
+    lines; an empty text is one empty line; a text may become empty. Repeated rows count as separate documents: the first
+    in storage order stays. Very long texts are one row each, and a line may have any length. Columns of docs lie in the
+    struct, so names cannot clash. No rows give no rows.
     """
-    others = [F.col(c) for c in docs.columns if c != text_col]
-    named = F.col(id_col) if id_col in docs.columns else F.lit(None)
-    rows = docs.select((F.struct(*others) if others else F.struct(F.lit(1).alias("none"))).alias("doc"), named.alias("id"), F.monotonically_increasing_id().alias("row"), F.split(F.col(text_col).cast("string"), "\n", -1).alias("lines"))
-    rows = rows.withColumn("facts", line_facts(F.col("lines")))
-    worded = F.filter(F.transform("facts", lambda x, i: F.struct(i.alias("at"), x["words"].alias("words"))), lambda x: x["words"] > 0)
-    rows = rows.select("doc", "id", "row", "lines", chunk_ends(F.col("facts"), alone, divisor).alias("ends"), worded.alias("worded"), F.transform("lines", lambda x: F.xxhash64(x)).alias("hs"))
-    rows = materialize(rows, "lines")
-    # Pieces are chunks, numbered k, and spans, whose k is null; both are lines a to b.
-    piece = lambda k, a, b: F.struct(k.cast("int").alias("k"), a.cast("int").alias("a"), b.cast("int").alias("b"), F.xxhash64(k.isNull(), part("hs", a.cast("int"), b.cast("int"))).alias("h"))
-    chunks = F.transform("ends", lambda b, k: piece(k, F.when(k == 0, 0).otherwise(F.get("ends", k - 1) + 1), b))
-    wide = F.transform(spans(F.col("worded"), min_words, alone), lambda s: piece(F.lit(None), F.shiftright(s, 32), s % _HIGH))
-    hashed = materialize(rows.select("id", "row", F.explode(F.concat(chunks, wide)).alias("p")).select("id", "row", "p.*"), "pieces")
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "a"))
-    shared = hashed.groupBy("h").agg(F.min("row").alias("low"), F.max("row").alias("high"), first.alias("first")).where("low != high").select("h", F.col("first.row").alias("first_row"), F.col("first.a").alias("first_a"))
-    # Only pieces that share a hash with another document's are compared by digest, each with the first; a span only with other documents'.
-    is_first = (F.col("row") == F.col("first_row")) & (F.col("a") == F.col("first_a"))
-    used = F.col("k").isNotNull() | is_first | (F.col("row") != F.col("first_row"))
-    wanted = hashed.join(shared, "h").where(used).groupBy("row").agg(F.collect_list(F.struct("k", "a", "b", "h", is_first.alias("is_first"))).alias("wanted"))
-    wanted = materialize(wanted, "wanted")
-    texts = rows.select("row", "lines").join(if_small(wanted, "wanted"), "row")
-
-    def digest(w: Column) -> Column:
-        lines = part("lines", w["a"], w["b"])
-        words = F.when(w["k"].isNotNull(), F.aggregate(lines, F.lit(0), lambda n, x: n + F.regexp_count(x, F.lit(WORD))))
-        return F.struct(w["k"].alias("k"), w["a"].alias("a"), w["b"].alias("b"), w["h"].alias("h"), w["is_first"].alias("is_first"), F.unhex(F.sha2(F.array_join(lines, "\n").cast("binary"), 256)).alias("digest"), words.alias("words"))
-
-    texts = texts.select("row", F.explode(F.transform("wanted", digest)).alias("w")).select("row", "w.*")
-    texts = materialize(texts, "texts")
-    originals = texts.where("is_first").select("h", F.col("digest").alias("original"))
-    copies = texts.where("not is_first").join(originals, "h").where(F.col("digest") == F.col("original")).select("row", "k", "a", "b", "words")
-    # Chunks next to each other make a run; a span is one by itself.
-    order = Window.partitionBy("row", F.col("k").isNull()).orderBy("k")
-    run = Window.partitionBy("row", "run")
-    copies = copies.withColumn("run", F.col("k") - F.row_number().over(order)).withColumn("run_words", F.sum("words").over(run)).where(F.col("k").isNull() | (F.col("run_words") > min_words))
-    gone = copies.groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("a", "b")))).alias("gone"))
-    gone = materialize(gone, "gone")
-    out = rows.select("doc", "row", "lines").join(if_small(gone, "gone"), "row", "left")
+    others = [F.col(c) for c in docs.columns if c not in (text_col, FILE, AT)]
+    columns = {
+        "doc": F.struct(*others) if others else F.struct(F.lit(1).alias("none")),
+        "id": F.col(id_col) if id_col in docs.columns else F.lit(None).cast("string"),
+        "text": F.col(text_col).cast("string"),
+    }
+    rows = addressed(docs, columns, "lines")
+    lines = F.split("text", "\n", -1)
+    with scratch():
+        told = rows.select("id", FILE, AT, line_facts(lines).alias("facts"))
+        worded = F.filter(F.transform("facts", lambda x, i: F.struct(i.alias("at"), x["words"].alias("words"))), lambda x: x["words"] > 0)
+        told = told.select("id", FILE, AT, "facts", chunk_ends(F.col("facts"), window, divisor).alias("ends"), worded.alias("worded"))
+        codes = F.array_distinct(F.concat(chunks(F.col("facts"), F.col("ends"), min_lines), spans(F.col("worded"), min_words)))
+        told = told.select("id", FILE, AT, codes.alias("codes"), F.transform("facts", lambda x: x["x"]).alias("xs"))
+        hashes = F.transform("codes", lambda c: F.struct(c.alias("code"), F.xxhash64(part("xs", first_line(c), last_line(c))).alias("h")))
+        pieces = materialize(told.select("id", FILE, AT, F.explode(hashes).alias("p")).select("id", FILE, AT, "p.*"), "pieces")
+        place = F.struct(FILE, AT)
+        # Written before they are joined: a hash that stands in very many rows can then be split among tasks.
+        shared = materialize(pieces.groupBy("h").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high").select("h"), "shared")
+        wanted = materialize(pieces.join(shared, "h").groupBy(FILE, AT).agg(F.first("id").alias("id"), F.collect_list("code").alias("codes")), "wanted")
+        # Only pieces whose hash another document has are digested.
+        texts = rows.select(FILE, AT, lines.alias("lines")).join(if_small(wanted, 96, "codes", 8), [FILE, AT])
+        digests = F.transform("codes", lambda c: F.struct(c.alias("code"), F.unhex(F.sha2(F.array_join(part("lines", first_line(c), last_line(c)), "\n").cast("binary"), 256)).alias("digest")))
+        texts = materialize(texts.select("id", FILE, AT, F.explode(digests).alias("d")).select("id", FILE, AT, "d.*"), "digests")
+        first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", FILE, AT))
+        firsts = materialize(texts.groupBy("digest").agg(first.alias("first")).select("digest", F.col(f"first.{FILE}").alias("own_file"), F.col(f"first.{AT}").alias("own_at")), "firsts")
+        copies = texts.join(firsts, "digest").where((F.col(FILE) != F.col("own_file")) | (F.col(AT) != F.col("own_at")))
+        numbers = F.array_distinct(F.flatten(F.collect_list(F.sequence(first_line(F.col("code")), last_line(F.col("code"))))))
+        gone = materialize(copies.groupBy(FILE, AT).agg(numbers.alias("gone")), "gone", stays=True)
+    out = rows.withColumn("lines", lines).join(if_small(gone, 64, "gone", 8), [FILE, AT], "left")
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone")), lambda i: F.get("lines", i))
-    text = F.array_join(F.when(F.col("gone").isNull(), F.col("lines")).otherwise(kept), "\n")
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     words = F.aggregate("gone", F.lit(0).cast("long"), lambda n, i: n + F.regexp_count(F.get("lines", i), F.lit(WORD)))
     count = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.size(c)), F.lit(0)).cast("long")
     return out.select("doc", text.alias("text"), count("lines").alias("n_lines"), count("gone").alias("lines_removed"), F.coalesce(words, F.lit(0)).cast("long").alias("words_removed"))

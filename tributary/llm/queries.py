@@ -134,14 +134,18 @@ ORACLE_SQL: dict[str, str] = {
     "op9_line_dedup": f"""
         WITH l AS (SELECT doc_id, i, ls[i] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL))),
         f AS (SELECT *, len(regexp_extract_all(line, '{WORDS}')) AS words, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM l),
-        e AS (SELECT *, words >= 8 OR coalesce(lead(words) OVER o, 0) >= 8 OR (coalesce(lag(h) OVER o, 0) * 31 + h) % 2 = 0 AS ends FROM f WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+        e AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS through,
+                     (h + 31 * coalesce(lag(h) OVER o, 0) + 961 * coalesce(lag(h, 2) OVER o, 0) + 29791 * coalesce(lag(h, 3) OVER o, 0)) % 4 = 0 AS ends FROM f WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
         k AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM e),
-        c AS (SELECT doc_id, k, string_agg(line, chr(10) ORDER BY i) AS chunk, sum(words) AS words, count(*) AS lines FROM k GROUP BY doc_id, k),
-        s AS (SELECT *, min(doc_id) OVER g <> max(doc_id) OVER g AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, k) > 1 AS copy FROM c WINDOW g AS (PARTITION BY chunk)),
-        r AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS run FROM s WHERE copy),
-        gone AS (SELECT doc_id, k, lines, words FROM (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS run_words FROM r) WHERE run_words > 50),
-        n AS (SELECT doc_id, CAST(sum(c.lines) AS BIGINT) AS n_lines, CAST(coalesce(sum(gone.lines), 0) AS BIGINT) AS lines_removed, CAST(coalesce(sum(gone.words), 0) AS BIGINT) AS words_removed,
-                     coalesce(string_agg(chunk, chr(10) ORDER BY c.k) FILTER (gone.k IS NULL), '') AS text FROM c LEFT JOIN gone USING (doc_id, k) GROUP BY doc_id)
+        w AS (SELECT doc_id, i, through, through - words AS before FROM e WHERE words > 0),
+        pieces AS (SELECT doc_id, min(i) AS a, max(i) AS b FROM k GROUP BY doc_id, k HAVING count(*) FILTER (words > 0) > 1
+                   UNION SELECT w.doc_id, w.i, z.i FROM w ASOF JOIN w AS z ON w.doc_id = z.doc_id AND w.before + 50 < z.through
+                   UNION SELECT z.doc_id, w.i, z.i FROM w AS z ASOF JOIN w ON w.doc_id = z.doc_id AND z.through - 50 > w.before),
+        t AS (SELECT p.*, array_to_string(ls[a:b], chr(10)) AS piece FROM pieces AS p JOIN (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL) USING (doc_id)),
+        c AS (SELECT *, min(doc_id) OVER (PARTITION BY piece) AS first FROM t),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM c WHERE doc_id <> first),
+        n AS (SELECT doc_id, count(*) AS n_lines, count(gone.i) AS lines_removed, CAST(coalesce(sum(words) FILTER (gone.i IS NOT NULL), 0) AS BIGINT) AS words_removed,
+                     coalesce(string_agg(line, chr(10) ORDER BY f.i) FILTER (gone.i IS NULL), '') AS text FROM f LEFT JOIN gone USING (doc_id, i) GROUP BY doc_id)
         SELECT documents.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(lines_removed, 0) AS lines_removed, coalesce(words_removed, 0) AS words_removed, sha256(coalesce(n.text, '')) AS text_sha256
         FROM documents LEFT JOIN n USING (doc_id)""",
     "op10_chat_format": f"""
