@@ -84,7 +84,7 @@ def addressed(docs: DataFrame, columns: dict[str, Column], name: str) -> DataFra
     """The columns with FILE and AT. A table that has no addresses is written first; addresses must be unique."""
     if {FILE, AT} <= set(docs.columns):
         return docs.select(*(c.alias(k) for k, c in columns.items()), FILE, AT)
-    return file_rows(materialize(docs.select(*(c.alias(k) for k, c in columns.items())), name, stays=True))
+    return file_rows(materialize(docs.select(*(c.alias(k) for k, c in columns.items())), name))
 
 
 BROADCAST_BYTES = 64 << 20

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.llm import setsketch as S
-from tributary.llm.common import blob, materialize, pieces, words_of
+from tributary.llm.common import AT, FILE, addressed, blob, if_small, materialize, pieces, scratch, words_of
 from tributary.llm.components import connected_components
 
 _MAX_CACHE = 1 << 18
@@ -83,15 +83,19 @@ def sketcher(size: int):
     return run
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), blob(text_col).alias("text"))
+def sketches(rows: DataFrame, size: int) -> DataFrame:
+    """src (id and address), row, n, key and bands of rows(id, text, FILE, AT)."""
+    rows = rows.select(F.struct("id", FILE, AT).alias("id"), F.monotonically_increasing_id().alias("row"), "text")
     fields = {"n": T.LongType(), "key": T.BinaryType(), "bands": T.ArrayType(T.LongType())}
-    return rows.mapInArrow(sketcher(size), T.StructType([rows.schema["id"], rows.schema["row"], *(T.StructField(k, t) for k, t in fields.items())]))
+    return rows.mapInArrow(sketcher(size), T.StructType([rows.schema["id"], rows.schema["row"], *(T.StructField(k, t) for k, t in fields.items())])).withColumnRenamed("id", "src")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """Registers and sets of the classes wanted(id, row, key), made again from the texts of their first documents."""
-    texts = docs.select(F.col(id_col).alias("id"), blob(text_col).alias("text")).join(wanted, "id").select("id", "row", "text", "key")
+def full_sets(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """Registers and sets of the classes wanted(FILE, AT, row, key), made again from the texts of their first documents.
+
+    Rows are found by address; their texts are shuffled only if the list of wanted rows is too long for a broadcast.
+    """
+    texts = rows.select(FILE, AT, "text").join(if_small(wanted, 96), [FILE, AT]).select(F.lit(0).alias("id"), "row", "text", "key")
     return texts.mapInArrow(sketcher(size), "row long, n long, regs binary, set binary, s0 long, s1 long, s2 long, s3 long")
 
 
@@ -160,15 +164,21 @@ def block_checker(percent: int):
     return run
 
 
-def family_links(families: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, block: int = 512) -> DataFrame:
-    """Links (a, b) between different components within families(head, row): outsiders against all members, in blocks."""
+def family_links(families: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, block: int = 512, block_words: int = 1 << 22) -> DataFrame:
+    """Links (a, b) between different components within families(head, row): outsiders against all members, in blocks.
+
+    A block has about `block` rows or block_words shingles, whichever is fewer rows; one larger set is a block by itself.
+    """
     named = labels.withColumnRenamed("node", "row")
-    rows = families.join(named, "row", "left").withColumn("label", F.coalesce("label", "row"))
+    rows = families.join(named, "row", "left").withColumn("label", F.coalesce("label", "row")).join(nodes.select("row", "n"), "row")
     heads = named.select(F.col("row").alias("head"), F.col("label").alias("head_label"))
     rows = materialize(rows.join(heads, "head", "left").withColumn("outsider", F.col("label") != F.coalesce("head_label", "head")).drop("head_label"), "families")
-    counts = rows.groupBy("head").agg(F.count(F.lit(1)).alias("members"), F.count_if("outsider").alias("outsiders")).where("members > 2 and outsiders > 0")
-    blocks = lambda c: F.ceil(F.col(c) / block).cast("int")
-    rows = rows.join(counts.select("head", blocks("members").alias("js"), blocks("outsiders").alias("is")), "head")
+    outside = lambda c: F.sum(F.when(F.col("outsider"), c))
+    counts = rows.groupBy("head").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("words"), outside(F.lit(1)).alias("outsiders"), outside(F.col("n")).alias("outside_words")).where("members > 2 and outsiders > 0")
+    blocks = lambda c, n: F.ceil(F.greatest(F.col(c) / block, F.col(n) / block_words)).cast("int")
+    # Written before the join: a head with very many members can then be split among tasks.
+    counts = materialize(counts.select("head", blocks("members", "words").alias("js"), blocks("outsiders", "outside_words").alias("is")), "blocks")
+    rows = rows.join(counts, "head")
     i, j = F.pmod(F.hash("row", F.lit(1)), F.col("is")), F.pmod(F.hash("row"), F.col("js"))
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     members = rows.select("head", all_of("is").alias("i"), j.alias("j"), F.lit(False).alias("outsider"), "row", "label")
@@ -182,31 +192,38 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Sets are the distinct runs of `size` words (A-Z lower-cased, split at ASCII white space); a text with fewer words is
     one run. Two rows are linked when 100 * intersection >= percent * union, found with a probability of 1 - 5e-6 or more
-    at the threshold itself and more above it. component_id is the least id that can be reached. Null and empty texts
-    have no shingles and are linked with nothing; a row with a null id links nothing and has component_id null and kept
-    true. Repeated ids with different texts are separate rows. Other columns are not read; no rows give no rows.
+    at a threshold of 80 and more above it; lower thresholds are refused. component_id is the least id that can be
+    reached. Null and empty texts have no shingles and are linked with nothing; a row with a null id links nothing and has
+    component_id null and kept true. Repeated ids with different texts are separate rows. A very long text is one set in
+    one task. Other columns are not read; no rows give no rows.
     """
-    sk = materialize(sketches(docs, id_col, text_col, size), "sketches")
-    classes = sk.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("key").agg(F.min(F.struct("id", "row")).alias("first"))
-    classes = materialize(classes.select("key", F.col("first.id").alias("id"), F.col("first.row").alias("row")), "classes")
-    bands = sk.select("row", "bands").join(classes.select("row"), "row", "left_semi").select("row", F.explode("bands").alias("band"))
-    buckets = bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = materialize(bands.join(buckets, "band"), "members")
-    # The head is the member with the most company over all its buckets: in a group of near copies one close to their origin.
-    company = members.groupBy("row").agg(F.sum("members").alias("company"))
-    heads = members.join(company, "row").groupBy("band").agg(F.max_by("row", F.struct("company", "row")).alias("head"))
-    families = materialize(members.join(heads, "band").select("head", "row").distinct(), "stars")
-    nodes = materialize(full_sets(docs, classes.join(company.select("row"), "row"), id_col, text_col, size), "sets")
-
-    star = confirmed(families.where("head != row").select(F.col("head").alias("a"), F.col("row").alias("b")), nodes, percent)
-    links = materialize(star, "links")
-    more = family_links(families, connected_components(links), nodes, percent)
-    labels = connected_components(materialize(links.unionByName(more), "links"))
-
-    placed = classes.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
-    least = placed.groupBy("label").agg(F.min("id").alias("component_id"))
-    placed = placed.join(least, "label").select("key", "component_id")
-    out = sk.select("id", "n", "key").join(placed, "key", "left")
-    component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
-    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    if not 80 <= percent <= 100:
+        raise ValueError("percent must be between 80 and 100: the bands are made for such pairs")
+    with scratch():
+        rows = addressed(docs, {"id": F.col(id_col), "text": blob(text_col)}, "texts")
+        sk = materialize(sketches(rows, size), "sketches")
+        linked = (F.col("n") > 0) & F.col("src.id").isNotNull()
+        classes = sk.where(linked).groupBy("key").agg(F.min(F.struct("src.id", "row", f"src.{FILE}", f"src.{AT}")).alias("first"))
+        classes = materialize(classes.select("key", "first.*"), "classes")
+        bands = sk.select("row", "bands").join(classes.select("row"), "row", "left_semi").select("row", F.explode("bands").alias("band"))
+        # Each grouped table is written before its rows are joined with it: very large buckets can then be split among tasks.
+        buckets = materialize(bands.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "buckets")
+        members = materialize(bands.join(buckets, "band"), "members")
+        # The head is the member with the most company over all its buckets: in a group of near copies one close to their origin.
+        company = materialize(members.groupBy("row").agg(F.sum("members").alias("company")), "company")
+        heads = materialize(members.join(company, "row").groupBy("band").agg(F.max_by("row", F.struct("company", "row")).alias("head")), "heads")
+        families = materialize(members.join(heads, "band").select("head", "row").distinct(), "stars")
+        nodes = materialize(full_sets(rows, classes.join(company.select("row"), "row").select(FILE, AT, "row", "key"), size), "sets")
+
+        star = confirmed(families.where("head != row").select(F.col("head").alias("a"), F.col("row").alias("b")), nodes, percent)
+        links = materialize(star, "links")
+        more = family_links(families, connected_components(links), nodes, percent)
+        labels = connected_components(materialize(links.unionByName(more), "links"))
+
+        placed = classes.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
+        least = materialize(placed.groupBy("label").agg(F.min("id").alias("component_id")), "least")
+        placed = materialize(placed.join(least, "label").select("key", "component_id"), "placed")
+        out = sk.select("src.id", "n", "key").join(placed, "key", "left")
+        component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
+        out = materialize(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")), "near", stays=True)
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
