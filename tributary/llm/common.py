@@ -43,7 +43,7 @@ def scratch():
     try:
         yield own
     finally:
-        stack.remove(own)
+        stack.pop()
         delete(own)
 
 
