@@ -1,9 +1,8 @@
 """Benchmark decontamination with a generalised suffix automaton over words.
 
 The items are a stated query set. They are read in blocks of bounded size; each block is broadcast, every Python worker
-builds its automaton once, and all documents stream through it in a narrow stage: documents are never shuffled. Several
-blocks take a pass each. While a
-document's words pass, the automaton tracks the longest suffix that is a run of item words; a run of `window` words or
+builds its automaton once, and all documents stream through it in a narrow stage. Several blocks take a pass each, which
+writes what it hit and no text. While a document's words pass, the automaton tracks the longest suffix that is a run of item words; a run of `window` words or
 more, or a whole shorter item, is a hit.
 """
 
@@ -11,7 +10,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from functools import reduce
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.common import ALNUM_RUN, LOWER_AZ, materialize, pieces
+from tributary.llm.common import ALNUM_RUN, AT, FILE, LOWER_AZ, addressed, if_small, materialize, pieces, scratch
 
 WINDOW = 13
 BLOCK_WORDS = 100_000
@@ -32,7 +32,7 @@ ITEMS = T.ArrayType(T.StringType())
 class SuffixAutomaton:
     """Of all items' words; each item starts at the root again, so no match crosses two items."""
 
-    def __init__(self, items: Iterable[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: Iterable[tuple[str | None, list[bytes]]], window: int = WINDOW):
         items = [(k, w) for k, w in items if w]
         self.window = window
         self.word_id: dict[bytes, int] = {}
@@ -176,17 +176,19 @@ def automaton_of(key: str, block, window: int) -> SuffixAutomaton:
     return _BUILT[key]
 
 
-def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_words: int, window: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """Items in blocks of about block_words words. A longer item is cut into parts that share window - 1 words, so that each
+    of its windows lies in one of them."""
     block, size = [], 0
     for key, text in benchmark.select(F.col(id_col).cast("string"), F.col(text_col).cast("string")).toLocalIterator():
         words = item_words(text)
-        if key is None or not words:
-            continue
-        block.append((key, words))
-        size += len(words)
-        if size >= block_words:
-            yield block
-            block, size = [], 0
+        for first in range(0, max(1, len(words) - window + 1), block_words) if words else ():
+            part = words[first : first + block_words + window - 1]
+            block.append((key, part))
+            size += len(part)
+            if size >= block_words:
+                yield block
+                block, size = [], 0
     if block:
         yield block
 
@@ -195,41 +197,42 @@ def decontaminate(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
     window: int = WINDOW, coverage: float = 0.05, span_limit: int = 50, clean: bool = True, block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """One row per row of docs: doc (a struct of its other columns), text, n_words, n_hit, item_ids, spans, contaminated, clean_text.
+    """One row per row of docs: doc (a struct of its other columns), text, n_words, n_hit, n_removed, item_ids, spans,
+    contaminated, clean_text.
 
     A window is `window` consecutive words of an item, or all words of a shorter one. Words inside an occurrence are hit.
     contaminated: at least one word is hit, and `coverage` of all words or more. spans: byte offsets in the UTF-8 text.
     clean_text (null unless clean): the text without the spans of more than span_limit words, and without any span if it
-    is contaminated. Null and empty texts have no words and are never contaminated; items without id or words are skipped;
-    items that share an id count as one. Repeated rows and ties are judged alike, each by itself. Columns of docs lie in
-    the struct, so their names cannot clash. Without items nothing is hit.
+    is contaminated; n_removed: the words of those spans. Null and empty texts have no words and are never contaminated;
+    items without words are skipped, and one without an id hits but is not listed; items that share an id count as one.
+    Very long texts and items are matched whole. Repeated rows and ties are judged alike, each by itself. Columns of docs
+    lie in the struct, so their names cannot clash. Without items nothing is hit; no rows give no rows.
     """
     sc = docs.sparkSession.sparkContext
-    others = [F.col(c) for c in docs.columns if c != text_col]
-    cur = docs.select(
-        (F.struct(*others) if others else F.struct(F.lit(1).alias("none"))).alias("doc"), F.col(text_col).cast("string").cast("binary").alias("text"),
-        F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("words"), F.lit(None).cast("array<string>").alias("item_ids"),
-    )
-    schema = T.StructType([cur.schema["doc"], T.StructField("text", T.BinaryType()), T.StructField("words", SPANS), T.StructField("item_ids", ITEMS)])
-    names = schema.fieldNames()
+    others = [F.col(c) for c in docs.columns if c not in (text_col, FILE, AT)]
+    doc, text = F.struct(*others) if others else F.struct(F.lit(1).alias("none")), F.col(text_col).cast("string").cast("binary")
+    names = ["doc", "text", "words", "item_ids"]
     span_type, item_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string())
 
-    def match(b: pa.RecordBatch, sam: SuffixAutomaton) -> tuple[list[list[bytes]], list, list]:
-        """Words, spans and items of each row, with what earlier blocks found."""
-        words, spans, items = [item_words(t) for t in b.column(1).to_pylist()], b.column(2).to_pylist(), b.column(3).to_pylist()
+    def match(texts: list, sam: SuffixAutomaton, spans: list, items: list) -> tuple[list[list[bytes]], list, list]:
+        """Words, spans and items of each row, with what other blocks found."""
+        words = [item_words(t) for t in texts]
         for i, w in enumerate(words):
             hit, found = sam.match(w)
-            if hit:
+            if hit or spans[i]:
                 spans[i] = [{"start": s, "end": e} for s, e in merged([*((x["start"], x["end"]) for x in spans[i] or ()), *hit])]
-                items[i] = sorted({*(items[i] or ()), *found})
+                items[i] = sorted({*(items[i] or ()), *found} - {None})
         return words, spans, items
 
-    def through(key: str, block):
+    def hits(key: str, block):
+        """What one block finds, of the rows with hits only."""
+
         def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sam = automaton_of(key, block, window)
             for b in pieces(batches):
-                _, spans, items = match(b, sam)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, span_type), pa.array(items, item_type)], names)
+                _, spans, items = match(b.column(2).to_pylist(), sam, [None] * b.num_rows, [None] * b.num_rows)
+                own = pa.array([i for i, s in enumerate(spans) if s], pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column(0).take(own), b.column(1).take(own), pa.array(spans, span_type).take(own), pa.array(items, item_type).take(own)], [FILE, AT, *names[2:]])
 
         return step
 
@@ -237,8 +240,8 @@ def decontaminate(
         def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sam = automaton_of(key, block, window)
             for b in pieces(batches):
-                words, spans, items = match(b, sam)
-                rows = {"n_words": [], "n_hit": [], "spans": [], "contaminated": [], "clean_text": []}
+                words, spans, items = match(b.column(1).to_pylist(), sam, b.column(2).to_pylist(), b.column(3).to_pylist())
+                rows = {"n_words": [], "n_hit": [], "n_removed": [], "spans": [], "contaminated": [], "clean_text": []}
                 for text, n, hit in zip(b.column(1), map(len, words), spans, strict=True):
                     hit = [(x["start"], x["end"]) for x in hit or ()]
                     n_hit = sum(e - s for s, e in hit)
@@ -248,23 +251,37 @@ def decontaminate(
                     cut = [(at[s][0], at[e - 1][1]) for s, e in hit]
                     rows["n_words"].append(n)
                     rows["n_hit"].append(n_hit)
+                    rows["n_removed"].append(sum(e - s for s, e in hit if bad or e - s > span_limit))
                     rows["spans"].append([{"start": s, "end": e} for s, e in cut])
                     rows["contaminated"].append(bad)
                     rows["clean_text"].append(without(text, [x for x, (s, e) in zip(cut, hit, strict=True) if bad or e - s > span_limit]) if clean and text is not None else None)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array(rows["n_words"], pa.int64()), pa.array(rows["n_hit"], pa.int64()), pa.array([x or [] for x in items], item_type), pa.array(rows["spans"], span_type), pa.array(rows["contaminated"], pa.bool_()), pa.array(rows["clean_text"], pa.string())],
-                    ["doc", "text", "n_words", "n_hit", "item_ids", "spans", "contaminated", "clean_text"],
+                    [
+                        b.column(0), b.column(1), pa.array(rows["n_words"], pa.int64()), pa.array(rows["n_hit"], pa.int64()), pa.array(rows["n_removed"], pa.int64()), pa.array([x or [] for x in items], item_type),
+                        pa.array(rows["spans"], span_type), pa.array(rows["contaminated"], pa.bool_()), pa.array(rows["clean_text"], pa.string()),
+                    ],
+                    ["doc", "text", "n_words", "n_hit", "n_removed", "item_ids", "spans", "contaminated", "clean_text"],
                 )
 
         return step
 
-    # One Python worker a task at a time: what one block found is written before the next one's pass.
-    held: list = []
-    for block in blocks_of(benchmark, item_id, item_text, block_words):
-        if held:
-            cur = materialize(cur.mapInArrow(through(uuid.uuid4().hex, sc.broadcast(held)), schema), "block")
-        held = block
-    out = T.StructType([cur.schema["doc"], T.StructField("text", T.BinaryType()), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("item_ids", ITEMS), T.StructField("spans", SPANS), T.StructField("contaminated", T.BooleanType()), T.StructField("clean_text", T.StringType())])
+    # One Python worker a task at a time. If there are several blocks, each takes a pass of its own that writes hits only.
+    blocks = blocks_of(benchmark, item_id, item_text, block_words, window)
+    held, more = next(blocks, []), next(blocks, None)
+    if more is None:
+        cur = docs.select(doc.alias("doc"), text.alias("text"), F.lit(None).cast(SPANS).alias("words"), F.lit(None).cast(ITEMS).alias("item_ids"))
+    else:
+        rows, found = addressed(docs, {"doc": doc, "text": text}, "texts"), []
+        kind = T.StructType([rows.schema[FILE], rows.schema[AT], T.StructField("words", SPANS), T.StructField("item_ids", ITEMS)])
+        with scratch():
+            for block in chain([held, more], blocks):
+                sent = sc.broadcast(block)
+                found.append(materialize(rows.select(FILE, AT, "text").mapInArrow(hits(uuid.uuid4().hex, sent), kind), "hits"))
+                sent.destroy()
+            every = reduce(DataFrame.unionByName, found).groupBy(FILE, AT).agg(F.flatten(F.collect_list("words")).alias("words"), F.flatten(F.collect_list("item_ids")).alias("item_ids"))
+            every = materialize(every, "hits", stays=True)  # a row's own spans and items, as many as its text has room for
+        cur, held = rows.join(if_small(every, 256, "words", 32), [FILE, AT], "left").select(*names), []
+    out = T.StructType([cur.schema["doc"], T.StructField("text", T.BinaryType()), *(T.StructField(k, T.LongType()) for k in ("n_words", "n_hit", "n_removed")), T.StructField("item_ids", ITEMS), T.StructField("spans", SPANS), T.StructField("contaminated", T.BooleanType()), T.StructField("clean_text", T.StringType())])
     return cur.mapInArrow(last(uuid.uuid4().hex, sc.broadcast(held)), out).withColumn("text", F.col("text").cast("string"))
 
 

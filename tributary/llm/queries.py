@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm.chat_format import chat_examples, read_back
-from tributary.llm.common import crc_mod, table
+from tributary.llm.common import crc_mod, file_rows, table
 from tributary.llm.decontaminate import decontaminate
 from tributary.llm.exact_dedup import exact_dedup
 from tributary.llm.lang_id import identify, train_model
@@ -43,7 +43,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     items = F.array_sort("item_ids")
     return decontaminate(docs, table(spark, sf_dir, "benchmark"), clean=False).select(
-        F.col("doc.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "contaminated"
+        F.col("doc.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "contaminated", "n_removed"
     )
 
 
@@ -65,15 +65,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(table(spark, sf_dir, "documents"), size=2)
+    return near_dedup(file_rows(table(spark, sf_dir, "documents")), size=2)
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents")).drop("source")
+    return mix_sources(file_rows(table(spark, sf_dir, "documents"))).drop("source")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = line_dedup(file_rows(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return done.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "lines_removed", "words_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
 
 
@@ -166,10 +166,12 @@ ORACLE_SQL: dict[str, str] = {
         dw AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
                FROM (SELECT d.*, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM wins) AS ks)),
         occ AS (SELECT doc_id, dw.k, i, item_id FROM dw JOIN wins ON dw.k = wins.k AND dw.g = wins.g),
-        hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM occ) GROUP BY doc_id),
-        its AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM occ) GROUP BY doc_id)
+        pos AS (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS p FROM occ),
+        span AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS run FROM pos) GROUP BY doc_id, run),
+        hit AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_hit, CAST(coalesce(sum(n) FILTER (n > 50), 0) AS BIGINT) AS long_words FROM span GROUP BY doc_id),
+        its AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM occ WHERE item_id IS NOT NULL) GROUP BY doc_id)
         SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated, CASE WHEN 20 * coalesce(n_hit, 0) >= len(d.w) THEN coalesce(n_hit, 0) ELSE coalesce(long_words, 0) END AS n_removed
         FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id""",
     "op6_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({LOWERED}) AS text_sha256 FROM documents)
