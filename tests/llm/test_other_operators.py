@@ -252,6 +252,32 @@ def test_lm_score(spark):
     assert math.isfinite(few.score) and math.isfinite(few.base_score)
 
 
+def test_outcomes_of_the_language_model_sum_to_one():
+    """After any state the head words, the known other words and the one unknown outcome have all of the probability."""
+    words, counts = [f"w{i}".encode() for i in range(300)], [1 + i % 7 for i in range(300)]
+    v = lm.Vocabulary(words, counts, sum(counts), len(words), counts.count(1), counts.count(2), head=130)
+    assert v.words[0] == lm.END and v.counts[0] == 0 and v.n_head == 130
+    rng = np.random.default_rng(1)
+    p = {k: rng.normal(0, 0.5, x.shape).astype(np.float32) for k, x in gru.initial(v.head_counts, v.other_total, 5).items()}
+    p["bw"].ravel()[v.n_head :] = -60  # as initial() has it: places of the last class without a word
+    h = rng.uniform(-1, 1, (3, 5)).astype(np.float32)
+    shares = sum(10 ** v.known_share(c) for c in v.counts[v.n_head :]) + 10 ** v.unknown_share()
+    for state in h:
+        each = gru.log_probs(p, np.repeat(state[None], v.n_head + 1, axis=0), np.arange(v.n_head + 1), v.n_head)
+        assert np.exp(each[:-1]).sum() + np.exp(each[-1]) * shares == pytest.approx(1, abs=1e-4)
+
+
+def test_vocabulary_takes_whole_levels(spark):
+    rows = [(b"\n", 3), *((f"w{i}".encode(), 1000 - i) for i in range(40)), *((f"x{i}".encode(), 7) for i in range(50)), (b"y" * 100, 5000)]
+    counts = spark.createDataFrame(rows, "word binary, c long")
+    assert len(lm.vocabulary(counts, known=80).words) == 41 and lm.vocabulary(counts, known=10**6).n_head == 91
+    v = lm.vocabulary(counts, known=12)  # counts of 512 and more are levels of two
+    assert 11 <= len(v.words) <= 13 and v.words[:2] == [lm.END, b"w0"] and v.counts[0] == 3 and v.total == sum(c for _, c in rows)
+    levels = [r[0] for r in spark.range(1, 5000).select(lm.count_level(F.col("id"))).collect()]
+    assert levels == sorted(levels) and levels[:600] == [*range(1, 512), *(512 + i // 2 for i in range(89))]
+    assert spark.range(1).select(lm.count_level(F.lit(2**62))).first()[0] < 1 << 14
+
+
 def brute_targets(sizes, weights=(5, 2, 1), most=3):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     w = {s: weights[i % 3] for i, s in enumerate(names)}

@@ -16,12 +16,12 @@ from math import log, log10
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.llm import gru
-from tributary.llm.common import blob, crc_mod, materialize, words_of
+from tributary.llm.common import blob, crc_mod, materialize, pieces, scratch, words_of
 
 END = b"\n"  # cannot be a word
 HEAD_WORDS = 2048
@@ -31,6 +31,7 @@ HIDDEN = 24
 ROUNDS = 3
 FAN = 64
 _FLUSH = 200_000
+BATCH_BYTES = 16 << 20  # of texts that a task holds as Python objects at once
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -41,7 +42,7 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
         return b
 
-    for b in batches:
+    for b in pieces(batches, 10_000, BATCH_BYTES):
         for text in b.column(0).to_pylist():
             held.update(words_of(text))
             held[END] += 1
@@ -54,13 +55,15 @@ class Vocabulary:
     """What every task needs to know: the commonest words with their counts, and the corpus totals."""
 
     def __init__(self, words: list[bytes], counts: list[int], total: int, distinct: int, ones: int, twos: int, head: int = HEAD_WORDS):
+        if END not in words:  # the network takes its number 0 for the end
+            words, counts = [*words, END], [*counts, 0]
         order = sorted(range(len(words)), key=lambda i: (words[i] != END, -counts[i], words[i]))
-        self.words = [words[i] for i in order] or [END]
-        self.counts = [counts[i] for i in order] or [0]
+        self.words = [words[i] for i in order]
+        self.counts = [counts[i] for i in order]
         self.total, self.distinct = total, distinct
         self.n_head = min(head, len(self.words))
         self.head_counts = np.array(self.counts[: self.n_head], np.float64)
-        self.other_total, self.other_distinct = total - int(self.head_counts.sum()), max(0, distinct - self.n_head)
+        self.other_total, self.other_distinct = total - int(self.head_counts.sum()), max(0, distinct - int((self.head_counts > 0).sum()))
         self.discount = min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones and twos else 0.5
 
     def known_share(self, c: int) -> float:
@@ -71,10 +74,28 @@ class Vocabulary:
         return log10((self.discount * self.other_distinct + 1) / (self.other_total + 1))
 
 
+def count_level(c: Column) -> Column:
+    """A number from 0 to 16,383 that grows with a count: the count itself below 512, then 256 steps for each doubling."""
+    shift = F.greatest(F.length(F.bin(c)) - 9, F.lit(0))
+    return shift * 256 + F.floor(c / F.pow(F.lit(2.0), shift)).cast("int")
+
+
 def vocabulary(counts: DataFrame, known: int = KNOWN_WORDS, head: int = HEAD_WORDS) -> Vocabulary:
-    t = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
-    top = counts.where(F.length("word") <= KNOWN_BYTES).orderBy(F.desc("c"), "word").limit(known).toArrow()
-    return Vocabulary([bytes(w) for w in top["word"].to_pylist()], top["c"].to_pylist(), *t, head=head)
+    """The end and at most `known` words: all of at most KNOWN_BYTES bytes whose counts reach a level that they fit with.
+
+    Only the number of words at each level (16,384 at most) and the words that were chosen reach the driver.
+    """
+    is_end = F.col("word") == F.lit(bytearray(END))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    *t, ends = counts.agg(zero(F.sum("c")), F.count(F.lit(1)), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), zero(F.sum(F.when(is_end, F.col("c"))))).first()
+    short = counts.where(~is_end & (F.length("word") <= KNOWN_BYTES)).withColumn("level", count_level(F.col("c")))
+    least, left = 1 << 20, known
+    for level, n in sorted(((r[0], r[1]) for r in short.groupBy("level").count().collect()), reverse=True):
+        if n > left:
+            break
+        least, left = level, left - n
+    top = short.where(F.col("level") >= least).select("word", "c").toArrow()
+    return Vocabulary([END, *map(bytes, top["word"].to_pylist())], [ends, *top["c"].to_pylist()], *t, head=head)
 
 
 def mean_block(rows: pa.Table) -> pa.Table:
@@ -123,6 +144,7 @@ def fit(train: DataFrame, vocab: Vocabulary, hidden: int = HIDDEN, rounds: int =
             parts, left = parts.groupBy("at", F.floor(F.col("shard") / FAN)).applyInArrow(mean_block, kind), -(-left // FAN)
         for row in parts.groupBy("at").applyInArrow(mean_block, kind).toLocalIterator():  # at most FAN rows a group; together one value per weight
             weights[row["at"] : row["at"] + len(row["v"])] = np.array(row["v"]) / (1 << 20)
+        now.unpersist()
     return weights
 
 
@@ -149,7 +171,7 @@ def scorer(vocab, weights, hidden: int, most: int = 2_000_000):
                 ["id", "row", "held_out", "n_tokens", "n_known", "base", "model", "rare"],
             )
 
-        for b in batches:
+        for b in pieces(batches, 10_000, BATCH_BYTES):
             first, size, ids, rare = 0, 0, [], []
             for i, text in enumerate(b.column(2).to_pylist(), 1):
                 words = words_of(text)
@@ -171,8 +193,16 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
     Tokens are the words (A-Z lower-cased, split at ASCII white space) and one end. Rows whose crc32(id) % folds is
     held_out teach nothing. base_score is the add-one unigram log10 probability, score the network's; both know one
     outcome for all words without a count. A null text is an empty one: its end alone. A null id counts as checksum 0.
-    Without training rows the score is that of an untrained network. Repeated rows are scored each. Other columns are not read.
+    Without training rows the score is that of an untrained network. Repeated rows are scored each, and words with equal
+    counts are all known or all not. A very long text is scored whole, its state carried on. The training shards are the
+    table's partitions, so scores are the same for the same files and partition settings. Other columns are not read; no
+    rows give no rows.
     """
+    with scratch():
+        return _lm_score(docs, id_col, text_col, folds, held_out, hidden, known, head)
+
+
+def _lm_score(docs: DataFrame, id_col: str, text_col: str, folds: int, held_out: int, hidden: int, known: int, head: int) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), blob(text_col).alias("text"), (crc_mod(id_col, folds) == held_out).alias("held_out"))
     train = rows.where(~F.col("held_out")).select("text", "row")
     counts = materialize(train.select("text").mapInArrow(count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "counts")
@@ -183,10 +213,11 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
     schema = rows.select("id", "row", "held_out").schema
     for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("base", "double"), ("model", "double"), ("rare", T.ArrayType(T.BinaryType()))):
         schema = schema.add(name, kind)
-    scored = materialize(rows.mapInArrow(scorer(sc.broadcast(vocab), sc.broadcast(weights), hidden), schema), "scored")
+    scored = materialize(rows.mapInArrow(scorer(sc.broadcast(vocab), sc.broadcast(weights), hidden), schema), "scored", stays=True)
     words = scored.select("row", F.explode("rare").alias("word")).join(counts, "word", "left").select("row", "c")
     log_share = F.when(F.col("c").isNull(), F.lit(vocab.unknown_share())).otherwise(F.log10(F.col("c") - F.lit(vocab.discount)) - F.lit(log10(vocab.other_total + 1)))
     late = words.groupBy("row").agg(F.count("c").alias("more"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(1.0))).alias("late_base"), F.sum(log_share).alias("late_model"))
+    late = materialize(late, "late", stays=True)
     zero = lambda c: F.coalesce(c, F.lit(0))
     out = scored.drop("rare").join(late, "row", "left")
     return out.select(
