@@ -43,6 +43,16 @@ def test_exact_dedup_matches_brute_force(spark):
     assert all(r.doc_id == r.keep_id for r in got if r.kept)
 
 
+def test_exact_dedup_with_hot_digests(spark):
+    """Two texts have a third of all rows each, one of them too few for a counter of its own."""
+    long = "Long " * 100_000
+    rows = [(i, ["Hot", "hOt", "warm", "warm", long, f"own {i}"][i % 6]) for i in range(600)]
+    for counters in (1, None):
+        got = exact_dedup(frame(spark, rows, 8), counters=counters).collect()
+        sizes = {t: sum(r.group_size for r in got if r.kept and r.text_sha256 == hashlib.sha256(t.encode()).hexdigest()) for t in ("hot", "warm", long.lower())}
+        assert sizes == {"hot": 200, "warm": 200, long.lower(): 100} and sum(r.kept for r in got) == 103 and {r.keep_id for r in got if r.group_size == 200} == {595, 597}
+
+
 def test_exact_dedup_of_null_ids_and_no_rows(spark):
     got = exact_dedup(frame(spark, [(None, "a"), (None, "A")])).collect()
     assert sorted(r.kept for r in got) == [False, True] and {r.keep_id for r in got} == {None}

@@ -8,24 +8,16 @@ rows, so their copies never meet in one task. All other digests have few rows ea
 
 from __future__ import annotations
 
-import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.common import LOWER_AZ, blob, materialize
+from tributary.llm.common import UPPER, materialize, scratch
 
-HEAVY_COUNTERS = 512
-
-
-def text_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """SHA-256 of every text with A-Z lower-cased, beside its id."""
-    for b in batches:
-        got = [hashlib.sha256(t.translate(LOWER_AZ)).digest() for t in b.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.binary())], ["id", "row", "digest"])
+HEAVY_COUNTERS, MOST_COUNTERS = 512, 65_536
 
 
 def misra_gries(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -49,21 +41,31 @@ def heavy_digests(digests: DataFrame, k: int) -> DataFrame:
     return summed.where(F.col("digest").isNotNull() & (F.col("n") >= max(2, total / (k + 1)))).select("digest")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = HEAVY_COUNTERS) -> DataFrame:
+def counters_for(spark: SparkSession) -> int:
+    """Twice as many as a shuffle has partitions, between HEAVY_COUNTERS and MOST_COUNTERS: a digest that is missed has no
+    more rows than a usual partition."""
+    return min(MOST_COUNTERS, max(HEAVY_COUNTERS, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int | None = None) -> DataFrame:
     """One row per row of docs: id_col, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when they are identical after lower-casing A-Z. Of equal texts the row with the largest id stays.
     A null text counts as empty. A null id loses to any other; a group of null ids only keeps one row with keep_id null.
-    Of rows that repeat the winning id one stays. Other columns of docs are not read. An empty table gives an empty result.
+    Of rows that repeat the winning id one stays. Very long texts are hashed whole. Other columns of docs are not read. An
+    empty table gives an empty result.
     """
-    source = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), blob(text_col).alias("text"))
-    rows = materialize(source.mapInArrow(text_digests, source.drop("text").schema.add("digest", "binary")), "digests")
+    text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, UPPER.lower())
+    source = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"))
     agg = [F.count(F.lit(1)).alias("group_size"), F.max(F.struct("id", "row")).alias("best")]  # the row number settles ids that repeat
-    heavy = F.broadcast(heavy_digests(rows, counters))  # k+1 rows at most
-    winners = materialize(rows.join(heavy, "digest").groupBy("digest").agg(*agg), "winners")
+    with scratch():
+        rows = materialize(source, "digests", stays=True)
+        heavy = F.broadcast(heavy_digests(rows, counters or counters_for(docs.sparkSession)))  # one row more than counters at most
+        winners = materialize(rows.join(heavy, "digest").groupBy("digest").agg(*agg), "winners", stays=True)
+        cold = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+        # Written before the join, so that Spark can split a partition that is still too large.
+        groups = materialize(cold.groupBy("digest").agg(*agg), "groups", stays=True)
     hot = rows.join(F.broadcast(winners), "digest")
-    cold = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
-    cold = cold.join(cold.groupBy("digest").agg(*agg), "digest")
-    return hot.unionByName(cold).select(
+    return hot.unionByName(cold.join(groups, "digest")).select(
         F.col("id").alias(id_col), F.col("best.id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
     )
