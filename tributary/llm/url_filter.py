@@ -12,9 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import UPPER
-
-BROADCAST_RULES = 100_000
+from tributary.llm.common import UPPER, if_small, materialize, scratch
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -33,9 +31,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
 
     rules(verdict, host, path): a rule fits its host and all its subdomains if the URL's path starts with the rule's; the
     longest host and path together wins, of equally long ones the longer host, then block. rule is host and path of the
-    winner, else null with the default verdict. Null urls and ones without `://` have empty host and path. Rules with
+    winner, else null with the default verdict; ties beyond that go by verdict and rule. Null urls and ones without `://` have empty host and path. Rules with
     nulls are left out; repeated rules count once; without rules all get the default. Null ids and repeated rows are
-    kept. Other columns are not read.
+    kept; urls of any length are read whole. Other columns are not read; no pages give no rows.
     """
     host, path = host_and_path(F.col(url_col))
     urls = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
@@ -44,16 +42,18 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     shapes = [tuple(r) for r in rules.select(F.size(F.split("rule_host", r"\.")), F.length("rule_path")).distinct().collect()]  # of rules, not of pages
     if not shapes:
         return urls.select(F.col("id").alias(id_col), "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    # Before the hash prefixes are joined, equal URLs count once; the rules go to all tasks only if they are few.
+    # Before the hash prefixes are joined, equal URLs count once. The shapes are one array, however many rules there are.
     labels = F.size(F.split("host", r"\."))
-    expressions = [F.when((labels >= n) & (F.length("path") >= k), F.concat(F.substring_index("host", ".", -n), F.substring("path", 1, k))) for n, k in shapes]
-    distinct = urls.select("host", "path").distinct()
-    expanded = distinct.select("host", "path", F.explode(F.array_compact(F.array(*expressions))).alias("expression"))
-    expanded = expanded.select("host", "path", F.sha2(F.col("expression").cast("binary"), 256).alias("url_digest")).withColumn("short", short("url_digest"))
-    few = keyed.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES
-    hits = expanded.join(F.broadcast(keyed) if few else keyed, "short").where(F.col("url_digest") == F.col("digest"))
-    rank = F.struct(F.length("rule_host") + F.length("rule_path"), F.length("rule_host"), F.col("verdict") == "block", "verdict", "rule_host", "rule_path")
-    best = hits.groupBy("host", "path").agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), rank).alias("best"))
+    fits = F.filter(F.array(*(F.struct(F.lit(n).alias("n"), F.lit(k).alias("k")) for n, k in shapes)), lambda s: (s["n"] <= labels) & (s["k"] <= F.length("path")))
+    parts = F.slice(F.split("host", r"\."), labels - F.col("s.n") + 1, F.col("s.n"))
+    with scratch():
+        expanded = urls.select("host", "path").distinct().select("host", "path", F.explode(fits).alias("s"))
+        expanded = expanded.select("host", "path", F.sha2(F.concat(F.array_join(parts, "."), F.substr("path", F.lit(1), F.col("s.k"))).cast("binary"), 256).alias("url_digest")).withColumn("short", short("url_digest"))
+        hits = expanded.join(if_small(keyed, 512), "short").where(F.col("url_digest") == F.col("digest"))
+        rank = F.struct(F.length("rule_host") + F.length("rule_path"), F.length("rule_host"), F.col("verdict") == "block", "verdict", "rule_host", "rule_path")
+        best = hits.groupBy("host", "path").agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), rank).alias("best"))
+        # Only URLs that some rule fits. Written before the join: a URL on very many pages can then be split among tasks.
+        best = if_small(materialize(best, "verdicts", stays=True), 512)
     out = urls.join(best, ["host", "path"], "left")
     return out.select(F.col("id").alias(id_col), "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
