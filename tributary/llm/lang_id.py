@@ -154,9 +154,16 @@ def train_histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def train_model(labelled: DataFrame, key: Column, lang_col: str, text_col: str, train_rows: int = TRAIN_ROWS) -> Model:
-    """Learns from at most train_rows histograms (a documented bound) of the labelled rows, as many for each language, picked by a hash."""
+    """Learns from at most train_rows histograms (a documented bound) of the labelled rows, as many for each language, picked by a hash.
+
+    Rows without a label or a text teach nothing; of long texts the whole and two pieces are learned from. Ties in the hash
+    go by text, and repeated rows may be picked each. Without two languages nothing is to be learned: the model knows the
+    one there is, or none. More than MAX_LANGS languages are refused.
+    """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.shiftrightunsigned(F.xxhash64(key, F.lit("lang")), 1).alias("order"), F.col(text_col).alias("text"))
-    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    known = rows.groupBy("lang").count().limit(MAX_LANGS + 1).collect()
+    if len(known) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages: is {lang_col} a label?")
     langs = sorted(r["lang"] for r in known)
     if len(langs) < 2:
         return fit(np.zeros((0, BUCKETS), np.float32), np.zeros(0, int), np.zeros(0, bool), langs)
@@ -177,7 +184,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", close: float
 
     score is the chosen language's probability; ambiguous: the second one's is less than `close` below it. A null text, or
     one without a letter, is `und` with score 0 and not ambiguous, and so is every text if no language was learned. Only
-    the text is looked at, whole; repeated rows are judged alike. Columns of docs lie in the struct, so names cannot clash.
+    the text is looked at, whole and however long; repeated rows are judged alike, and of equally likely languages the
+    first by name is chosen. No rows give no rows. Columns of docs lie in the struct, so names cannot clash.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
 
