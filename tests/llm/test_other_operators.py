@@ -66,6 +66,31 @@ def test_rare_language_gets_its_share_of_the_training_rows(spark, monkeypatch):
     assert seen[0].tolist() == [90, 90, 90]
 
 
+def test_language_decoding_matches_brute_force(spark):
+    """The same weights, one trigram and one language at a time."""
+    rng = random.Random(4)
+    rows = [(i, prose(lang, rng.choice([5, 60]), rng), lang) for i, lang in enumerate(random.Random(2).choices(list(WORDS), k=150))]
+    model = train_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.col("doc_id"), "lang", "text")
+    texts = [(i, f"{prose('aa', 3, rng)} {prose('bb', i, rng)}, É {i}!", None) for i in range(12)] + [(20, "Zug" * 30, None), (21, "é", None)]
+    got = {r.doc.doc_id: r for r in identify(frame(spark, texts), model).collect()}
+    for i, t, _ in texts:
+        data = b" " + b" ".join(re.sub(rb"[\x00-\x60\x7b-\x7f]", b" ", t.lower().encode()).split()) + b" "
+        code = [(data[k] << 16 | data[k + 1] << 8 | data[k + 2]) * 2654435761 % 2**32 >> 20 for k in range(len(data) - 2)]
+        margin = [sum(float(model.weights[c, bit]) for c in code) * li.SCALE / len(code) + model.bias[bit] for bit in range(len(model.bias))]
+        loss = [sum(w * math.log1p(math.exp(-m * c)) for m, c, w in zip(margin, word, model.trust, strict=True)) for word in model.code]
+        p = [math.exp(min(loss) - x) for x in loss]
+        p = {lang: x / sum(p) for lang, x in zip(model.langs, p, strict=True)}
+        best = sorted(p, key=lambda k: -p[k])
+        assert (got[i].lang_pred, got[i].second) == (best[0], best[1]) and got[i].score == pytest.approx(p[best[0]], abs=1e-5)
+        assert got[i].ambiguous == (p[best[0]] - p[best[1]] < 0.2)
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(li, "MAX_LANGS", 2)
+    with pytest.raises(ValueError, match="more than 2"):
+        train_model(spark.createDataFrame([(i, "a b", x) for i, x in enumerate("abc")], "doc_id long, text string, lang string"), F.col("doc_id"), "lang", "text")
+
+
 def test_codewords_are_apart():
     assert codewords(4).shape == (4, 7)
     for n in (2, 5, 20):
@@ -94,6 +119,9 @@ def test_url_filter_matches_brute_force(spark):
         if r.page_id is not None and r.page_id != 1:
             assert (r.host, r.path, r.rule, r.verdict) == brute_url(urls[r.page_id]), urls[r.page_id]
     assert filter_urls(pages.limit(0), rules_frame(spark, RULES)).count() == 0
+    hot = spark.range(900).select(F.col("id").alias("page_id"), F.when(F.col("id") % 3 > 0, "http://a.com/de/").otherwise(F.concat(F.lit("http://org/"), F.repeat(F.lit("x"), 20_000), "id")).alias("url"))
+    got = filter_urls(hot, rules_frame(spark, RULES)).groupBy("rule", "verdict").count().collect()  # two thirds of all rows are one URL, the others are long
+    assert {tuple(r) for r in got} == {("com/de/", "block", 600), ("org/", "allow", 300)}
     assert {r.verdict for r in filter_urls(pages, rules_frame(spark, RULES).limit(0), default="block").collect()} == {"block"}
 
 
@@ -123,6 +151,22 @@ def test_automaton_matches_brute_force():
             assert {i for s, e in spans for i in range(s, e)} == hit and found == want
 
 
+def test_decontaminate_with_long_items_and_without_ids(spark):
+    """Items are cut into parts when they are longer than a block; all agree with brute force."""
+    rng = random.Random(12)
+    letters = "abcde"
+    items = [(str(i) if i % 3 else None, [rng.choice(letters) for _ in range(n)]) for i, n in enumerate([90, 3, 40, 12, 14, 200, 1])]
+    texts = [(i, [rng.choice([*letters, "z"]) for _ in range(rng.randrange(5))] + items[i % 7][1][i : i + 30] + ["z"]) for i in range(40)]
+    frame_of = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id string, text string")
+    want = {i: brute_hits(items, w, 5) for i, w in texts}
+    for block_words in (7, 50, 10_000):
+        got = {r.doc.doc_id: r for r in decontaminate(frame(spark, [(i, " ".join(w), "s") for i, w in texts]), frame_of, window=5, span_limit=9, block_words=block_words).collect()}
+        for i, w in texts:
+            hit, found = want[i]
+            assert (got[i].n_words, got[i].n_hit, got[i].item_ids) == (len(w), len(hit), sorted(found - {None}))
+            assert got[i].contaminated == (0 < 20 * len(hit) >= len(w)) and got[i].n_removed == len(hit)  # all are contaminated or clean here
+
+
 def test_decontaminate(spark):
     item = " ".join(f"q{i}" for i in range(20))
     items = spark.createDataFrame([(10, item), (9, "Short one"), (8, None), (None, "x y"), (7, "...")], "item_id long, text string")
@@ -157,6 +201,56 @@ def test_license_scan(spark):
     assert license_scan(frame(spark, [])).count() == 0
 
 
+def brute_notices(scanner, text):
+    """The same weights, one window, word and template at a time."""
+    from tributary.llm.license_scan import BITS, LONG, STEP
+    import xxhash
+
+    out = {}
+    for k, line in enumerate((text or "").split("\n")):
+        words = re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", line.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+        for own in [words[i : i + 2 * STEP] for i in range(0, len(words) - STEP, STEP)] if len(words) > LONG else [words] * bool(words):
+            code = [xxhash.xxh32_intdigest(w.encode()) for w in own]
+            slots = [c * 2654435761 % 2**32 >> (32 - BITS) for c in code]
+            slots += [((a * 40503 % 2**32) ^ (b * 2246822519 % 2**32 >> 3)) * 3266489917 % 2**32 >> (32 - BITS) for a, b in zip(code, code[1:], strict=False)]
+            z = [(sum(float(scanner.w[s, y]) for s in slots) / math.sqrt(len(slots)) + float(scanner.b[y])) / scanner.temperature for y in range(len(scanner.families))]
+            p = [math.exp(x - max(z)) for x in z]
+            y = p.index(max(p))
+            if y and max(p) / sum(p) >= scanner.threshold:
+                pairs = set(zip(own, own[1:], strict=False)) or {(own[0],)}
+                like = max(len({(a.decode(), *(x.decode() for x in b)) for a, *b in t} & pairs) / min(len(t), len(pairs)) for t in scanner.templates[scanner.families[y]])
+                new = (like >= scanner.confirm, max(p) / sum(p))
+                if new > out.get((k, scanner.families[y]), (False, -1)):
+                    out[k, scanner.families[y]] = new
+    return out
+
+
+def test_license_scan_matches_brute_force(spark):
+    from tributary.llm.license_templates import NEAR_MISSES, TEMPLATES
+
+    rng = random.Random(7)
+    lines = [t for ts in TEMPLATES.values() for t in ts] + list(NEAR_MISSES) + [prose("aa", 12, rng) for _ in range(20)]
+    docs = [(i, "\n".join(" ".join(rng.sample(lines, rng.choice([1, 1, 3]))) for _ in range(4)), "s") for i in range(25)]
+    scanner = Scanner([item_words(prose("aa", 12, rng)) for _ in range(200)])
+    found = 0
+    for r in license_scan(frame(spark, docs), scanner=scanner).collect():
+        want = brute_notices(scanner, docs[r.doc_id][1])
+        assert {(n.paragraph, n.family): n.confirmed for n in r.notices} == {k: sure for k, (sure, _) in want.items()}
+        assert all(n.probability == pytest.approx(want[n.paragraph, n.family][1], abs=1e-4) for n in r.notices)
+        found += len(want)
+    assert found > 30
+
+
+def test_license_training_rows_have_any_length(spark):
+    from tributary.llm.license_scan import LONG, STEP, corpus_paragraphs
+
+    long = " ".join(f"Word{i}" for i in range(5000))  # some 44,000 characters
+    got = corpus_paragraphs(frame(spark, [(1, f"{long}\n\nshort one", "s"), (2, None, "s")]), "text", 100)
+    assert sorted(map(len, got)) == [2, 2 * STEP] and LONG > 2 * STEP
+    own = max(got, key=len)
+    assert own == [f"word{int(own[0][4:]) + i}".encode() for i in range(len(own))]
+
+
 def test_license_scan_finds_every_family_of_a_long_line():
     rng = random.Random(5)
     scanner = Scanner([item_words(prose("aa", 12, rng)) for _ in range(200)])

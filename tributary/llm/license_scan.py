@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import ALNUM_RUN, LOWER_AZ, blob
+from tributary.llm.common import ALNUM_RUN, LOWER_AZ, blob, pieces
 from tributary.llm.license_templates import NEAR_MISSES, TEMPLATES
 
 BITS = 16
@@ -160,16 +160,22 @@ class Scanner:
 
 
 def corpus_paragraphs(docs: DataFrame, text_col: str, rows: int) -> list[list[bytes]]:
-    """At most `rows` paragraphs (a documented bound), picked from all documents by a hash of the paragraph.
+    """At most `rows` paragraphs (a documented bound), picked from all documents by a hash of the paragraph, whatever its
+    length; of one with more than LONG words a window somewhere in it, as the scan looks at it.
 
     The paragraphs are counted first, so that about twice as many as wanted pass the hash and no task sends more.
     """
     text = F.col(text_col).cast("string")
     total = docs.agg(F.coalesce(F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1), F.lit(0))).first()[0]
     cut = min(1.0, 2 * rows / max(1, total)) * float(1 << 63)
-    lines = docs.select(F.explode(F.split(text, "\n")).alias("line")).where(F.length("line").between(1, 2000))
-    picked = lines.withColumn("order", F.shiftrightunsigned(F.xxhash64("line", F.lit("licence")), 1)).where(F.col("order") < cut).distinct().orderBy("order", "line").limit(rows).collect()
-    return [words_in(r["line"].encode())[:LONG] for r in picked]
+    lines = docs.select(F.explode(F.split(text, "\n")).alias("line")).where(F.length("line") > 0)
+    picked = lines.withColumn("order", F.shiftrightunsigned(F.xxhash64("line", F.lit("licence")), 1)).where(F.col("order") < cut)
+    words = F.regexp_extract_all("line", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.lit(0))
+    picked = picked.select("order", words.alias("words"))
+    at = F.pmod(F.col("order"), F.greatest(F.size("words") - 2 * STEP + 1, F.lit(1))).cast("int")
+    window = F.when(F.size("words") > LONG, F.slice("words", at + 1, F.lit(2 * STEP))).otherwise(F.col("words"))
+    picked = picked.select("order", F.array_join(window, " ").alias("line")).distinct().orderBy("order", "line").limit(rows).collect()
+    return [words_in(r["line"].encode()) for r in picked]
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_paragraphs: int = TRAIN_PARAGRAPHS, scanner: Scanner | None = None) -> DataFrame:
@@ -177,8 +183,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     notices: array of (paragraph, family, probability, likeness, confirmed), one for each family that the
     classifier gives a paragraph (line) or a window of it to; confirmed if a template of it agrees. Null and empty texts have no notices; long lines are
-    looked at in overlapping windows, all of them; repeated rows are scanned each; null ids are kept. Other columns are not
-    read; no rows give no rows.
+    looked at in overlapping windows, all of them, however long the text; of equally sure windows of a family the first
+    counts; repeated rows are scanned each; null ids are kept. Other columns are not read; no rows give no rows.
     """
     held = docs.sparkSession.sparkContext.broadcast(scanner or Scanner(corpus_paragraphs(docs, text_col, train_paragraphs)))
     rows = docs.select(F.col(id_col).alias("id"), blob(text_col).alias("text"))
@@ -188,7 +194,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s: Scanner = held.value
-        for b in batches:
+        for b in pieces(batches):
             texts = b.column(1).to_pylist()
             found = [[dict(zip(fields, x, strict=True)) for x in s.scan(t)] for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([t.count(b"\n") + 1 if t else 0 for t in texts], pa.int64()), pa.array(found, arrow)], ["id", "n_paragraphs", "notices"])
