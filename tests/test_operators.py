@@ -68,6 +68,33 @@ def test_percentile_and_target(spark):
     assert sorted((str(r.divida_total), r.y_risco_fiscal) for r in A.fiscal_target(df).collect()) == [("1.0", 0), ("2.0", 0), ("4.0", 1), ("None", 0)]
 
 
+def test_exact_percentiles_in_slices(spark):
+    """Slices of a few rows, ties, nulls, NaN and infinities: always what sorting gives."""
+    rng = random.Random(5)
+    columns = {"a": [rng.gauss(0, 1) for _ in range(3000)], "b": [rng.choice([1.0, 1.0, 2.0, 7.5, None]) for _ in range(3000)], "c": [rng.choice([float("inf"), -1.0, float("nan"), rng.random()]) for _ in range(3000)], "d": [None] * 3000, "e": [None] * 2999 + [4.0]}
+    df = spark.createDataFrame(list(zip(*columns.values(), strict=True)), ", ".join(f"{c} double" for c in columns)).repartition(5)
+    points = [0.0, 0.1, 0.5, 0.75, 0.999, 1.0]
+    for slice_rows in (2, 50, 10**6):
+        got = A.exact_percentiles(df, list(columns), points, slice_rows)
+        for c, values in columns.items():
+            own = sorted((v for v in values if v is not None), key=lambda v: (math.isnan(v), 0 if math.isnan(v) else v))
+            for q, x in zip(points, got[c], strict=True):
+                if not own:
+                    assert x is None
+                    continue
+                low, high = own[math.floor(q * (len(own) - 1))], own[math.ceil(q * (len(own) - 1))]
+                want = low if low == high else low + (high - low) * (q * (len(own) - 1) - math.floor(q * (len(own) - 1)))
+                assert x == pytest.approx(want, nan_ok=True)
+
+
+def test_ranks_of_one_score(spark):
+    """A score that all rows share is ranked by key, over several tasks."""
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("id"), F.lit(0.5).alias("s"), F.lit("x").alias("place"))
+    got = ranking.ranked(df, "s", "id")
+    assert all(r.posicao == r.id + 1 and r.place == "x" for r in got.collect()) and got.count() == 1000
+    assert ranking.ranked(df.limit(0), "s", "id").count() == 0
+
+
 def test_controls(spark):
     seen = Observation("x")
     A.with_controls(spark.range(10), seen, par=F.col("id") % 2 == 0).collect()
@@ -88,7 +115,7 @@ def test_ranking_and_metrics_against_brute_force(spark):
     rows = [(i, rng.choice([0.1, 0.25, 0.5, rng.random()]), int(rng.random() < 0.3)) for i in range(300)]
     df = spark.createDataFrame([*rows, (999, None, 1)], "id int, s double, y int")
     order = sorted(rows, key=lambda r: (-r[1], r[0]))
-    got = {r.id: r.posicao for r in ranking.ranked(df, "s", "id", buckets=7).collect()}
+    got = {r.id: r.posicao for r in ranking.ranked(df, "s", "id").collect()}
     assert got == {r[0]: k for k, r in enumerate(order, 1)}
     assert {r.id for r in ranking.top_fraction(df, "s", "id", 0.05).collect()} == {r[0] for r in order[:15]}
     m = metrics.ranking_metrics(df, "s", "y").first()
@@ -143,10 +170,50 @@ def test_tree_models(spark, labelled, tmp_path):
     m.save(spark, f"{tmp_path}/t")
     again = models.TreeModel.load(spark, f"{tmp_path}/t")
     assert again.importances() == m.importances() and again.meta == m.meta
+    seen = Observation("any")  # a session that has observed something: a forest must still be sendable
+    labelled.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 600} and models.score(labelled, m, "id").count() == 600 and models.score(labelled, m, "id").collect()
     top = ranking.top_n(models.score(labelled, m, "id"), "score", "id", 5).join(labelled, "id")
     assert explain.explain_tree(top, m, "id", "score", 2).count() == 10
 
 
+def test_train_and_evaluate(spark, labelled, tmp_path):
+    """Metrics are those of the part kept aside; a saved model says them, and is refused where it doesn't fit."""
+    for kind, more in (("linear", {}), ("tree", {"depth": 3, "leaf": 5})):
+        m = models.train_and_evaluate(labelled, ["a", "b"], "y", "id", kind, rows=400, leaking=["c"], **more)
+        split = sampling.stratified_split(sampling.stratified_sample(labelled, "y", "id", 400), "y", "id")
+        want = metrics.ranking_metrics(models.score(split.where("teste"), m, "id", keep=["y"]), "score", "y").first()
+        assert m.meta["metrics"]["roc_auc"] == pytest.approx(want.roc_auc) and want.roc_auc > 0.9
+        assert m.meta["rows"] == {"train": split.where("not teste").count(), "test": split.where("teste").count()} and m.meta["caveat"] and m.meta["excluded"] == ["c"]
+        m.save(spark, f"{tmp_path}/{kind}")
+        again = type(m).load(spark, f"{tmp_path}/{kind}")
+        assert again.meta == m.meta and models.check_usable(again, labelled, "id") is again
+        for table, key in ((labelled.drop("b"), "id"), (labelled, "a"), (labelled, "nope")):
+            with pytest.raises(ValueError):
+                models.check_usable(again, table, key)
+        again.meta["excluded"] = ["a"]
+        with pytest.raises(ValueError, match="leak"):
+            models.check_usable(again, labelled, "id")
+    with pytest.raises(ValueError, match="leak"):
+        models.train_and_evaluate(labelled, ["a"], "y", "id", leaking=["a"])
+    row = models.metric_rows(spark, {"tree": m}).first()
+    assert (row.modelo, row.roc_auc, row.top_cutoff) == ("tree", m.meta["metrics"]["roc_auc"], m.meta["metrics"]["top_cutoff"])
+
+
+def test_lookup_of_two_models(spark, labelled):
+    rows = labelled.withColumn("raiz", F.lpad(F.col("id").cast("string"), 8, "0"))
+    linear = models.train_and_evaluate(rows, ["a", "b"], "y", "raiz")
+    tree = models.train_and_evaluate(rows, ["a", "b"], "y", "raiz", "tree", depth=3, leaf=5)
+    ask = spark.createDataFrame([("00000001",), ("00000001",), ("99999999",), ("x",)], "k string")
+    got = lookup.lookup_models(ask, "k", {"um": (linear, rows), "dois": (tree, rows.where("id > 5"))}, "raiz", 2).collect()
+    assert len(got) == 4 and sorted((r.um_status, r.dois_status) for r in got) == [("invalid_key", "invalid_key"), ("ok", "unavailable"), ("ok", "unavailable"), ("unavailable", "unavailable")]
+    one = next(r for r in got if r.um_status == "ok")
+    want = models.score(rows.where("id = 1"), linear, "raiz", keep=["y"]).first()
+    assert (one.um_score, one.um_condicao, len(one.um_fatores), one.dois_score, one.dois_fatores) == (want.score, want.y, 2, None, None)
+    both = lookup.lookup_models(ask.limit(0), "k", {"um": (linear, rows)}, "raiz")
+    assert both.count() == 0 and "um_limitacao" in both.columns
+
+
 def test_strongest_breaks_ties_by_order(spark):
     part = lambda n, c: F.struct(F.lit(n).alias("variavel"), F.lit(c).alias("contribuicao"))
     got = spark.range(1).select(explain.strongest([part("a", 1.0), part("b", -3.0), part("c", -1.0)], 2).alias("f")).first().f

@@ -13,7 +13,7 @@ def ledger(tmp_path):
         (tmp_path / where).mkdir(parents=True, exist_ok=True)
         (tmp_path / where / name).write_bytes(data)
 
-    put("ano=2024/trimestre=1", "x_SIDA_AC_1.csv", 'CPF CNPJ;Nome;Valor\n1;"a;""b""";1,5\n2;curto\n3;longo;2;9\n4;longo;2;\n\n5;NULL;3\n'.encode())
+    put("ano=2024/trimestre=1", "x_SIDA_AC_1.csv", 'CPF CNPJ;Nome;Valor\n1;"a;""b""";1,5\n2;curto\n3;longo;2;9\n4;longo;2;\n7;longo;2;;9\n8;longo;2;;;\n\n5;NULL;3\n'.encode())
     put("ano=2024/trimestre=2", "y.CSV", "cpf_cnpj,valor,uf devedor\n6,7.5,São\n".encode("latin-1"))
     put("ano=2019/trimestre=1", "z_SIDA_SP_1.csv", b"cpf_cnpj;valor\n9;9\n")
     put("ano=2024/trimestre=5", "q.csv", b"cpf_cnpj;valor\n9;9\n")
@@ -35,6 +35,7 @@ def test_ledger(spark, ledger):
     assert got == {
         "1": ('a;"b"', "1,5", None, 2024, 1, "AC", "x_SIDA_AC_1.csv"), "2": ("curto", None, None, 2024, 1, "AC", "x_SIDA_AC_1.csv"), "5": (None, "3", None, 2024, 1, "AC", "x_SIDA_AC_1.csv"), "6": (None, "7.5", "São", 2024, 2, "NA", "y.CSV"),
     }
+    assert df.select("arquivo_origem").groupBy("arquivo_origem").count().count() == 2 and df.select("nome").count() == 4  # whatever is read of a line
     with pytest.raises(ValueError, match="no usable"):
         delimited.read_ledger(spark, ledger, years=(1999,))
 

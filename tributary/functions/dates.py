@@ -14,18 +14,21 @@ NO_DATE = ("", "0", "00000000", "<NA>")
 
 
 def ledger_date(c: Column) -> Column:
-    """Day first with slashes, else ISO, as a timestamp without zone."""
+    """Day first with slashes, else ISO, as a timestamp without zone. Each text is parsed once, by the pattern its marks call for."""
     t = trim_all(c)
-    return F.coalesce(F.try_to_timestamp(t, F.lit("d/M/yyyy")), F.try_to_timestamp(t, F.lit("yyyy-M-d")), F.try_to_timestamp(t, F.lit("yyyy-M-d H:m:s"))).cast("timestamp_ntz")
+    read = lambda pattern: F.try_to_timestamp(t, F.lit(pattern))
+    return F.when(F.contains(t, F.lit("/")), read("d/M/yyyy")).when(F.contains(t, F.lit(":")), read("yyyy-M-d H:m:s")).otherwise(read("yyyy-M-d")).cast("timestamp_ntz")
 
 
-def registry_date(c: Column) -> Column:
-    """Eight digits, year first."""
-    t = trim_all(c)
-    return F.when(~t.isin(*NO_DATE) & t.rlike("^[0-9]{8}$"), F.try_to_date(t, "yyyyMMdd"))
+def registry_date(c: Column, trimmed: bool = False) -> Column:
+    """Eight digits, year first. trimmed: c has no white space around it."""
+    t = c if trimmed else trim_all(c)
+    part = lambda a, n: F.substring(t, a, n)
+    return F.when(t.rlike("^[0-9]{8}$") & (t > "0001"), F.concat(part(1, 4), F.lit("-"), part(5, 2), F.lit("-"), part(7, 2)).try_cast("date"))
 
 
 def registry_date_invalid(c: Column) -> Column:
+    """Given, but no date."""
     t = trim_all(c)
     return t.isNotNull() & ~t.isin(*NO_DATE) & registry_date(c).isNull()
 

@@ -51,10 +51,15 @@ def root_of(key: Column, width: int = 8) -> Column:
     return F.substring(key, 1, width)
 
 
+def padded(d: Column, width: int) -> Column:
+    """fixed_digits of a text that has digits only, for those who make the digits in a projection of their own: Spark then
+    makes them once, however often they are used."""
+    return F.when(F.length(d).between(1, width), F.lpad(d, width, "0"))
+
+
 def fixed_digits(c: Column, width: int) -> Column:
     """1 to `width` digits, padded with zeros on the left; else null."""
-    d = digits(c)
-    return F.when(F.length(d).between(1, width), F.lpad(d, width, "0"))
+    return padded(digits(c), width)
 
 
 def company_root(c: Column, width: int = 8, empty_is_zero: bool = False) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from math import ceil, floor
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.dates import SNAPSHOT, age_days
@@ -87,24 +89,84 @@ def discontinuity_features(df: DataFrame, prefix: str = "debt_") -> DataFrame:
     })
 
 
-def percentile_value(df: DataFrame, column: str, q: float = 0.9, accuracy: int | None = None) -> float:
-    """The interpolated percentile; with accuracy an approximate one, for columns with too many distinct values. Fails without values."""
-    how = F.percentile_approx(column, q, accuracy) if accuracy else F.percentile(column, q)
-    found = df.agg(how).first()[0]
+SLICE_ROWS = 1_000_000
+
+
+def exact_percentiles(df: DataFrame, columns: list[str], points: list[float], slice_rows: int = SLICE_ROWS) -> dict[str, list[float | None]]:
+    """Interpolated percentiles of each column, exact, without bringing a column into one task; null without values.
+
+    Of a column with more than slice_rows values, approximate percentiles bound a slice around each point, until it has
+    few enough; a value that repeats counts once. Only the slices are sorted, each in a task. NaN counts as the largest
+    value. df is read twice, and two times more for each round of bounds (one for some billions of rows).
+    """
+    values = df.select(*(F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)))
+    sizes = values.agg(*(F.count(f"v{i}") for i in range(len(columns)))).first()
+    ranks = {(i, k): q * (n - 1) for i, n in enumerate(sizes) if n for k, q in enumerate(points)}
+    # What is known of each: the values from low to high (null: all), how many there are, and how many lie below.
+    slices = {key: (None, None, sizes[key[0]], 0) for key in ranks}
+
+    def inside(i: int, low: float | None, high: float | None) -> Column:
+        v = F.col(f"v{i}")
+        return v.isNotNull() if low is None else (v >= low) & (v <= high)
+
+    wide = [key for key, s in slices.items() if s[2] > slice_rows]
+    while wide:
+        around = []
+        for i, k in wide:
+            low, high, n, below = slices[i, k]
+            at, near = (ranks[i, k] - below) / n, 2 / 10_000 + 2 / n
+            around.append(F.percentile_approx(F.when(inside(i, low, high), F.col(f"v{i}")), [max(0.0, at - near), min(1.0, at + near)], 10_000))
+        cuts = values.agg(*around).first()
+        counts = values.agg(*(x for (i, _), c in zip(wide, cuts, strict=True) for x in (F.count_if(inside(i, *c)), F.count_if(F.col(f"v{i}") < c[0])))).first()
+        left = []
+        for j, (i, k) in enumerate(wide):
+            n, below = counts[2 * j], counts[2 * j + 1]
+            if n < slices[i, k][2] and below <= ranks[i, k] <= below + n - 1:
+                slices[i, k] = (*cuts[j], n, below)
+                left += [(i, k)] if n > slice_rows and cuts[j][0] < cuts[j][1] else []
+        wide = left
+
+    groups: dict[tuple, list[tuple[int, int]]] = {}
+    for (i, k), (low, high, _, below) in slices.items():
+        groups.setdefault((i, low, high, below), []).append((i, k))
+    out: dict[str, list[float | None]] = {c: [None] * len(points) for c in columns}
+    if not groups:
+        return out
+    each = F.array(*(F.when(inside(i, low, high), F.struct(F.lit(j).alias("j"), F.col(f"v{i}").alias("v"))) for j, (i, low, high, _) in enumerate(groups)))
+    counts = values.select(F.explode(F.array_compact(each)).alias("r")).select("r.*").groupBy("j", "v").agg(F.count(F.lit(1)).alias("n"))
+    through = counts.withColumn("through", F.sum("n").over(Window.partitionBy("j").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    wanted = [[r - below for key in keys for r in (floor(ranks[key]), ceil(ranks[key]))] for (_, _, _, below), keys in groups.items()]
+    asked = F.get(F.array(*(F.array(*(F.lit(r).cast("long") for r in w)) for w in wanted)), F.col("j"))
+    found = through.where(F.exists(asked, lambda r: (F.col("through") > r) & (F.col("through") - F.col("n") <= r))).collect()  # two rows a point at most
+    for j, ((i, _, _, below), keys) in enumerate(groups.items()):
+        own = sorted((r["through"], r["v"]) for r in found if r["j"] == j)
+        value = lambda r: next(v for through, v in own if through > r - below)  # noqa: E731, B023
+        for key in keys:
+            low, high = value(floor(ranks[key])), value(ceil(ranks[key]))
+            out[columns[i]][key[1]] = low if low == high else low + (high - low) * (ranks[key] - floor(ranks[key]))
+    return out
+
+
+def percentile_value(df: DataFrame, column: str, q: float = 0.9) -> float:
+    """The exact interpolated percentile. Fails without values."""
+    found = exact_percentiles(df, [column], [q])[column][0]
     if found is None:
         raise ValueError(f"{column} has no values")
-    return float(found)
+    return found
 
 
-def fiscal_target(df: DataFrame, target: str = "y_risco_fiscal", q: float = 0.9, accuracy: int | None = None) -> DataFrame:
-    """1 for a litigated debt or a total at or above the percentile; a missing total alone gives 0."""
-    cut = percentile_value(df, "divida_total", q, accuracy)
+def fiscal_target(df: DataFrame, target: str = "y_risco_fiscal", q: float = 0.9) -> DataFrame:
+    """1 for a litigated debt or a total at or above the percentile; a missing total alone gives 0. df is read more than
+    once: give a table."""
+    cut = percentile_value(df, "divida_total", q)
     return df.withColumn(target, F.when(F.col("qtd_ajuizado") > 0, 1).when(F.col("divida_total") >= F.lit(cut), 1).otherwise(0))
 
 
 def money_summary(df: DataFrame, column: str) -> DataFrame:
-    q = F.percentile(column, [0.25, 0.5, 0.75])
-    return df.agg(F.count(column).alias("n"), F.count_if(F.col(column).isNull()).alias("nulos"), F.avg(column).alias("media"), F.min(column).alias("minimo"), q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), F.max(column).alias("maximo"))
+    """One row; quartiles are exact. df is read more than once: give a table."""
+    q = exact_percentiles(df, [column], [0.25, 0.5, 0.75])[column]
+    quartiles = (F.lit(x).cast("double").alias(n) for x, n in zip(q, ("p25", "p50", "p75"), strict=True))
+    return df.agg(F.count(column).alias("n"), F.count_if(F.col(column).isNull()).alias("nulos"), F.avg(column).alias("media"), F.min(column).alias("minimo"), *quartiles, F.max(column).alias("maximo"))
 
 
 def dataset_summary(df: DataFrame, target: str, active: str = "qtd_ativos") -> DataFrame:

@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 
 from tributary.functions.numbers import finite, number
 from tributary.functions.text import label
+from tributary.operators.aggregates import exact_percentiles
 from tributary.operators.checks import check_at_least, require_both_classes, require_columns, require_rows
+from tributary.operators.metrics import ranking_metrics, top_metrics
+from tributary.operators.sampling import stratified_sample, stratified_split
+from tributary.sources.staging import materialize, scratch
 
 
 def feature_columns(features: list[str]) -> list[Column]:
@@ -42,12 +46,10 @@ class Prepared:
         return [(c - F.lit(m)) / F.lit(d or 1.0) for c, m, d in zip(self.filled(), self.means, self.deviations, strict=True)]
 
 
-def prepare(train: DataFrame, features: list[str], accuracy: int | None = None) -> Prepared:
-    """Two aggregations. accuracy: approximate medians, for columns with too many distinct values."""
-    median = (lambda c: F.percentile_approx(c, 0.5, accuracy)) if accuracy else (lambda c: F.percentile(c, 0.5))
-    rows = train.select(*feature_columns(features))
-    medians = [float(x) if x is not None else 0.0 for x in rows.agg(*(median(F.col(c)) for c in features)).first()]
-    out = Prepared(features, medians)
+def prepare(train: DataFrame, features: list[str]) -> Prepared:
+    """Exact medians, then means and deviations in one aggregation. train is read three times: give a table, not a long chain."""
+    found = exact_percentiles(train.select(*feature_columns(features)), features, [0.5])
+    out = Prepared(features, [found[c][0] or 0.0 for c in features])
     filled = train.select(*(c.alias(n) for c, n in zip(out.filled(), features, strict=True)))
     moments = filled.agg(*(x for c in features for x in (F.avg(c), F.stddev_pop(c)))).first()
     out.means, out.deviations = [float(x) for x in moments[::2]], [float(x) for x in moments[1::2]]
@@ -149,7 +151,8 @@ def train_tree(train: DataFrame, features: list[str], target: str, kind: str = "
     common = {"featuresCol": "__x", "labelCol": "__y", "weightCol": "__w", "maxDepth": depth, "minInstancesPerNode": leaf, "maxBins": 256, "seed": seed}
     made = DecisionTreeClassifier(**common) if kind == "tree" else RandomForestClassifier(**common, numTrees=trees, featureSubsetStrategy="sqrt")
     meta = {"kind": kind, "target": target, "excluded": list(leaking), "parameters": {"depth": depth, "leaf": leaf, "trees": trees if kind == "rf" else 1, "balanced": balanced, "seed": seed}}
-    return TreeModel(p, made.fit(data), meta)
+    # The copy has no training summary: that holds the session, which a scoring job cannot be sent once it has observed something.
+    return TreeModel(p, made.fit(data).copy(), meta)
 
 
 def train_choice(train: DataFrame, features: list[str], target: str, choice: str = "both", **kw) -> dict[str, TreeModel]:
@@ -158,14 +161,71 @@ def train_choice(train: DataFrame, features: list[str], target: str, choice: str
     return {k: train_tree(train, features, target, kind=k, **kw) for k in (("tree", "rf") if choice == "both" else (choice,))}
 
 
-def score(df: DataFrame, model: LinearModel | TreeModel, key: str, name: str = "score", keep: list[str] = ()) -> DataFrame:
-    """key, the columns of keep that there are (such as the target), and the probability."""
-    require_rows(require_columns(df, [key, *model.prepared.features]))
+def score(df: DataFrame, model: LinearModel | TreeModel, key: str, name: str = "score", keep: list[str] = (), need_rows: bool = False) -> DataFrame:
+    """key, the columns of keep that there are (such as the target), and the probability. need_rows: a job first sees
+    that there are any."""
+    require_columns(df, [key, *model.prepared.features])
+    if need_rows:
+        require_rows(df)
     keep = [c for c in keep if c in df.columns]
     out = df.withColumn(name, model.probability()) if isinstance(model, LinearModel) else model.scored(df, name)
     return out.select(key, *keep, name)
 
 
+#: Said with every score: what it is not.
+CAVEATS = {
+    "linear": "o score ordena empresas; não é probabilidade calibrada nem prova de causa",
+    "tree": "o score ordena empresas de um recorte; fatores descrevem, não explicam causas",
+    "rf": "o score ordena empresas de um recorte; fatores descrevem, não explicam causas",
+}
+
+
+def evaluate(model: LinearModel | TreeModel, rows: DataFrame, key: str, target: str, fraction: float = 0.1) -> dict:
+    """Metrics of the model's scores on rows it has not seen, in one dictionary: n, positives, prevalence, area under the
+    curve, average precision, Brier score, and those of the best fraction."""
+    scored = materialize(score(rows, model, key, keep=[target]), "scored")
+    return {**ranking_metrics(scored, "score", target).first().asDict(), **{f"top_{k}": v for k, v in top_metrics(scored, "score", target, key, fraction).first().asDict().items()}, "fraction": fraction}
+
+
+def train_and_evaluate(df: DataFrame, features: list[str], target: str, key: str, kind: str = "linear", rows: int | None = None, test: float = 0.2, seed: int = 42, **kw) -> LinearModel | TreeModel:
+    """Sample (if rows is given), exact split by class, fit on one part, metrics on the other; meta holds them, the sizes of
+    both parts, the split, and a caveat. df is read more than once: the split is written into the shared folder."""
+    check_features(features, kw.get("leaking", ()))
+    known = df.where(F.col(target).isNotNull()).select(key, target, *features)
+    sampled = stratified_sample(known, target, key, rows, seed) if rows else known
+    with scratch():
+        split = materialize(stratified_split(sampled, target, key, test, seed), "split")
+        fit_on, kept = split.where("not teste").drop("teste"), split.where("teste").drop("teste")
+        model = train_linear(fit_on, features, target, **kw) if kind == "linear" else train_tree(fit_on, features, target, kind=kind, **kw)
+        model.meta |= {"metrics": evaluate(model, kept, key, target), "rows": {"train": fit_on.count(), "test": kept.count()}, "split": {"test": test, "seed": seed, "sample": rows}, "caveat": CAVEATS[kind]}
+    return model
+
+
+def check_usable(model: LinearModel | TreeModel, df: DataFrame, key: str) -> LinearModel | TreeModel:
+    """Fails unless the model fits the table and itself: key and features are there once, none of them is excluded, medians
+    (and of a linear model means, deviations and coefficients) are as many as features, the caveat and the target are told."""
+    p = model.prepared
+    require_columns(df, [key, *p.features])
+    check_features(p.features, model.meta.get("excluded", ()))
+    if len(set(p.features)) < len(p.features) or not p.features:
+        raise ValueError("the model's features are empty or repeat")
+    sizes = [len(p.medians)] + ([len(p.means), len(p.deviations), len(model.coefficients)] if isinstance(model, LinearModel) else [len(model.importances())])
+    if set(sizes) != {len(p.features)}:
+        raise ValueError(f"{len(p.features)} features, but {sizes} values")
+    if gone := [k for k in ("target", "excluded", "metrics", "caveat") if not model.meta.get(k) and model.meta.get(k) != []]:
+        raise ValueError(f"the model doesn't say: {', '.join(gone)}")
+    if key in p.features or model.meta["target"] in p.features:
+        raise ValueError("key and target cannot be features")
+    return model
+
+
+def metric_rows(spark: SparkSession, models: dict[str, LinearModel | TreeModel]) -> DataFrame:
+    """One row per model with the metrics in its meta."""
+    names = ("n", "positivos", "prevalencia", "roc_auc", "average_precision", "brier", "top_cutoff", "top_lift", "top_precision", "top_recall")
+    kinds = ", ".join(f"{n} {'long' if n in ('n', 'positivos', 'top_cutoff') else 'double'}" for n in names)
+    return spark.createDataFrame([(k, *(m.meta["metrics"][n] for n in names)) for k, m in models.items()], f"modelo string, {kinds}")
+
+
 def coefficient_table(spark: SparkSession, model: LinearModel, labels: dict[str, str] | None = None) -> DataFrame:
     rows = spark.createDataFrame(list(zip(model.prepared.features, model.coefficients, strict=True)), "variavel string, coeficiente double")
     c = F.col("coeficiente")

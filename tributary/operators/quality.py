@@ -5,18 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tributary.operators.aggregates import exact_percentiles
+
 
 def schema_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema], "variavel string, tipo string, aceita_nulo boolean")
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """One row per column: rows, nulls, their percentage, distinct values. One aggregation over the table."""
+    """One row per column: rows, nulls, their percentage, distinct values. Rows are counted per column and value, so that
+    no task holds a column's values; they go by hash, long texts by two of 64 bits."""
     if not df.columns:
         raise ValueError("no columns")
-    stats = df.agg(F.count(F.lit(1)).alias("linhas"), *(x for i, c in enumerate(df.columns) for x in (F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}"), F.count_distinct(F.col(f"`{c}`")).alias(f"d{i}"))))
-    rows = F.explode(F.array(*(F.struct(F.lit(c).alias("variavel"), F.col(f"n{i}").alias("nulos"), F.col(f"d{i}").alias("distintos")) for i, c in enumerate(df.columns))))
-    out = stats.select("linhas", rows.alias("r")).select("r.variavel", "linhas", "r.nulos", "r.distintos")
+    cells = [F.struct(F.lit(i).alias("i"), F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.xxhash64(F.col(f"`{c}`")).alias("a"), F.xxhash64(F.lit(7), F.col(f"`{c}`")).alias("b"))).alias("v")) for i, c in enumerate(df.columns)]
+    counts = df.select(F.explode(F.array(*cells)).alias("r")).select("r.*").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    by_column = counts.groupBy("i").agg(F.sum("n").alias("linhas"), F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulos"), F.count("v").alias("distintos"))
+    names = df.sparkSession.createDataFrame(list(enumerate(df.columns)), "i int, variavel string")
+    out = F.broadcast(names).join(by_column, "i", "left")  # a row per column, also of an empty table
+    out = out.select("variavel", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("linhas", "nulos", "distintos")))
     return out.withColumn("pct_nulos", F.coalesce(F.round(100 * F.try_divide("nulos", "linhas"), 2), F.lit(0.0))).orderBy(F.desc("pct_nulos"), "variavel")
 
 
@@ -81,8 +87,15 @@ def geography_check(df: DataFrame, block: str, candidates: tuple[str, ...] = ("u
 
 
 def describe_numbers(df: DataFrame, columns: list[str], points: tuple[float, ...] = (0.25, 0.5, 0.75, 0.9, 0.99)) -> DataFrame:
-    """One row per column: count, mean, sd, min, percentiles, max. One aggregation."""
-    parts = [F.struct(F.lit(c).alias("variavel"), F.count(c).alias("n"), F.avg(c).alias("media"), F.stddev_samp(c).alias("desvio"), F.min(F.col(c).cast("double")).alias("minimo"), *(F.percentile(c, p).alias(f"p{round(100 * p)}") for p in points), F.max(F.col(c).cast("double")).alias("maximo")).alias(f"s{i}") for i, c in enumerate(columns)]
+    """One row per column: count, mean, sd, min, exact percentiles, max. df is read more than once: give a table."""
+    found = exact_percentiles(df, columns, list(points))
+    parts = [
+        F.struct(
+            F.lit(c).alias("variavel"), F.count(c).alias("n"), F.avg(c).alias("media"), F.stddev_samp(c).alias("desvio"), F.min(F.col(c).cast("double")).alias("minimo"),
+            *(F.lit(x).cast("double").alias(f"p{round(100 * q)}") for x, q in zip(found[c], points, strict=True)), F.max(F.col(c).cast("double")).alias("maximo"),
+        ).alias(f"s{i}")
+        for i, c in enumerate(columns)
+    ]
     stats = df.agg(*parts)
     return stats.select(F.explode(F.array(*(f"s{i}" for i in range(len(columns))))).alias("r")).select("r.*")
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.operators.checks import check_at_least, check_fraction
+from tributary.operators.running import running
 
 BUCKETS = 200
 
@@ -20,14 +21,12 @@ def score_buckets(df: DataFrame, score: str, buckets: int = BUCKETS) -> DataFram
     return df.withColumn("__bucket", number)
 
 
-def ranked(df: DataFrame, score: str, key: str, buckets: int = BUCKETS) -> DataFrame:
-    """df with `posicao`: 1 for the best score, ties by key. Rows without a score are left out. No task gets all rows."""
-    rows = score_buckets(df.where(F.col(score).isNotNull()), score, buckets)
-    counts = rows.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    above = Window.orderBy(F.desc("__bucket")).rowsBetween(Window.unboundedPreceding, -1)  # a row per bucket
-    counts = counts.select("__bucket", F.coalesce(F.sum("__n").over(above), F.lit(0)).alias("__off"))
-    inside = Window.partitionBy("__bucket").orderBy(F.desc(score), F.col(key))
-    return rows.join(F.broadcast(counts), "__bucket").withColumn("posicao", F.row_number().over(inside) + F.col("__off")).drop("__bucket", "__off")
+def ranked(df: DataFrame, score: str, key: str) -> DataFrame:
+    """df with `posicao`: 1 for the best score, ties by key. Rows without a score are left out.
+
+    Tasks get ranges of score and key together, so that a score which very many rows share is split by key.
+    """
+    return running(df.where(F.col(score).isNotNull()), [F.desc(score), F.col(key).asc()], {}, "ranked", "posicao")
 
 
 def top_n(df: DataFrame, score: str, key: str, n: int = 100) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.operators.checks import check_fraction
+from tributary.operators.running import running
 
 
 def hash_slot(key: Column, slots: int = 1000) -> Column:
@@ -33,13 +34,18 @@ def systematic_sample(df: DataFrame, rows: int, blocks: int, block_rows: int) ->
     """The first rows of evenly spread blocks of a file source: at most `rows` in all. df must come from files.
 
     A block is block_rows consecutive rows of one file; the first ceil(rows / blocks) rows of each chosen one are taken,
-    in the order of files. Only one row per block reaches the driver.
+    in the order of files. Blocks are numbered by running sums over the files; only their total reaches the driver.
     """
     at = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at")).withColumn("__block", F.floor(F.col("__at") / block_rows))
-    found = [tuple(r) for r in at.select("__file", "__block").distinct().orderBy("__file", "__block").collect()]
-    chosen = [found[i] for i in even_indices(blocks, len(found))]
+    files = at.groupBy("__file").agg((F.max("__block") + 1).alias("__blocks"))
+    placed = running(files, [F.col("__file").asc()], {"__through": F.col("__blocks")}, "files", "__place")
+    total = placed.agg(F.coalesce(F.sum("__blocks"), F.lit(0))).first()[0]
+    chosen = even_indices(blocks, total)
     each = -(-rows // max(1, len(chosen)))
-    keys = df.sparkSession.createDataFrame([(f, int(b), n) for n, (f, b) in enumerate(chosen)], "__file string, __block long, __n int")
+    numbers = F.array(*(F.struct(F.lit(i).cast("long").alias("index"), F.lit(n).alias("n")) for n, i in enumerate(chosen))).cast("array<struct<index:bigint,n:int>>")
+    before = F.col("__through") - F.col("__blocks")
+    keys = placed.select("__file", before.alias("__before"), F.explode(F.filter(numbers, lambda x: (x["index"] >= before) & (x["index"] < F.col("__through")))).alias("__c"))
+    keys = keys.select("__file", (F.col("__c.index") - F.col("__before")).alias("__block"), F.col("__c.n").alias("__n"))  # `blocks` rows
     out = at.join(F.broadcast(keys), ["__file", "__block"]).where(F.col("__at") % block_rows < each).withColumn("__take", F.col("__n") * each + F.col("__at") % block_rows)
     return out.where(F.col("__take") < rows).drop("__file", "__block", "__at", "__n", "__take")
 

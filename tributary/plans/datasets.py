@@ -12,6 +12,7 @@ from tributary.operators.checks import require_columns
 from tributary.operators.joins import left_join, unique_by_min
 from tributary.operators.projections import legal_entities
 from tributary.operators.sampling import hash_sample
+from tributary.sources.staging import materialize
 
 #: Columns of the registry table that are joined to debts.
 REGISTRY_COLUMNS = ["qtd_estabelecimentos", "qtd_ativos", "qtd_inativos", "dt_inicio_min", "dt_inicio_max", "dt_situacao_max", "idade_empresa_dias"]
@@ -21,53 +22,60 @@ DEBT_REQUIRED = ["cpf_cnpj", "tipo_pessoa", "tipo_devedor", "numero_inscricao",
 FISCAL_FEATURES = ["qtd_inscricoes", "qtd_periodos", "qtd_irregular", "qtd_beneficio_fiscal", "qtd_negociacao", "qtd_suspenso_judicial", "qtd_garantia", "qtd_estabelecimentos", "qtd_ativos", "qtd_inativos", "idade_empresa_dias", "inscricoes_por_periodo"]
 FISCAL_LEAKING = ["divida_total", "divida_media", "divida_max", "qtd_ajuizado", "pct_ajuizado", "divida_por_estabelecimento", "divida_por_estabelecimento_ativo", "proporcao_ajuizada_calculada"]
 
-#: What the discontinuity model may see (of debts without their prefix), and what its target is made from.
-DISCONTINUITY_COMPANY = ["qtd_estabelecimentos", "idade_empresa_anos"]
-DISCONTINUITY_DEBT = ["qtd_inscricoes", "divida_media", "divida_max", "qtd_ajuizadas", "pct_ajuizadas", "qtd_receitas_distintas", "qtd_situacoes_distintas", "pct_irregular", "pct_beneficio_fiscal", "pct_negociacao", "pct_suspenso_judicial", "pct_garantia"]
+#: What the discontinuity model may see, and what its target is made from.
+DISCONTINUITY_FEATURES = [
+    "qtd_estabelecimentos",
+    "idade_empresa_anos",
+    "log1p_debt_divida_total",
+    "debt_qtd_inscricoes",
+    "debt_divida_media",
+    "debt_divida_max",
+    "debt_qtd_ajuizadas",
+    "debt_pct_ajuizadas",
+    "debt_qtd_receitas_distintas",
+    "debt_qtd_situacoes_distintas",
+    "debt_pct_irregular",
+    "debt_pct_beneficio_fiscal",
+    "debt_pct_negociacao",
+    "debt_pct_suspenso_judicial",
+    "debt_pct_garantia",
+]
 DISCONTINUITY_LEAKING = ["qtd_ativos", "qtd_inativos", "pct_ativos"]
 
-#: Descriptions of features, of debts without their prefix.
+#: What the features mean, in our words.
 LABELS = {
-    "qtd_inscricoes": "Quantidade de inscrições",
-    "qtd_periodos": "Quantidade de períodos com registros",
-    "qtd_irregular": "Quantidade de inscrições irregulares",
-    "qtd_beneficio_fiscal": "Quantidade com benefício fiscal",
-    "qtd_negociacao": "Quantidade em negociação",
-    "qtd_suspenso_judicial": "Quantidade suspensa judicialmente",
-    "qtd_garantia": "Quantidade com garantia",
-    "qtd_estabelecimentos": "Quantidade de estabelecimentos",
-    "qtd_ativos": "Quantidade de estabelecimentos ativos",
-    "qtd_inativos": "Quantidade de estabelecimentos inativos",
-    "idade_empresa_dias": "Idade da empresa em dias",
-    "idade_empresa_anos": "Idade da empresa em anos",
-    "inscricoes_por_periodo": "Inscrições por período",
-    "divida_total": "Valor total da dívida",
-    "divida_media": "Valor médio das dívidas",
-    "divida_max": "Maior valor individual em dívida",
-    "qtd_ajuizadas": "Quantidade de inscrições ajuizadas",
-    "pct_ajuizadas": "Proporção de inscrições ajuizadas",
-    "qtd_receitas_distintas": "Diversidade de tipos de receita",
-    "qtd_situacoes_distintas": "Diversidade de situações das inscrições",
-    "pct_irregular": "Proporção de inscrições irregulares",
-    "pct_beneficio_fiscal": "Proporção com benefício fiscal",
-    "pct_negociacao": "Proporção em negociação",
-    "pct_suspenso_judicial": "Proporção suspensa judicialmente",
-    "pct_garantia": "Proporção com garantia",
+    "qtd_inscricoes": "Inscrições da empresa",
+    "qtd_periodos": "Trimestres em que há registro",
+    "qtd_irregular": "Inscrições em cobrança",
+    "qtd_beneficio_fiscal": "Inscrições com benefício",
+    "qtd_negociacao": "Inscrições negociadas",
+    "qtd_suspenso_judicial": "Inscrições suspensas por decisão",
+    "qtd_garantia": "Inscrições garantidas",
+    "qtd_estabelecimentos": "Estabelecimentos",
+    "qtd_ativos": "Estabelecimentos em atividade",
+    "qtd_inativos": "Estabelecimentos fora de atividade",
+    "idade_empresa_dias": "Dias desde a primeira abertura",
+    "idade_empresa_anos": "Anos desde a primeira abertura",
+    "inscricoes_por_periodo": "Inscrições a cada trimestre",
+    "log1p_debt_divida_total": "Total devido, em logaritmo",
+    "debt_qtd_inscricoes": "Inscrições distintas",
+    "debt_divida_media": "Média do valor devido",
+    "debt_divida_max": "Maior valor devido de uma vez",
+    "debt_qtd_ajuizadas": "Inscrições em juízo",
+    "debt_pct_ajuizadas": "Parte das inscrições em juízo",
+    "debt_qtd_receitas_distintas": "Receitas diferentes",
+    "debt_qtd_situacoes_distintas": "Situações diferentes",
+    "debt_pct_irregular": "Parte em cobrança",
+    "debt_pct_beneficio_fiscal": "Parte com benefício",
+    "debt_pct_negociacao": "Parte negociada",
+    "debt_pct_suspenso_judicial": "Parte suspensa por decisão",
+    "debt_pct_garantia": "Parte garantida",
 }
 
 
-def discontinuity_features_of(prefix: str = "debt_") -> list[str]:
-    return [*DISCONTINUITY_COMPANY, f"log1p_{prefix}divida_total", *(prefix + f for f in DISCONTINUITY_DEBT)]
-
-
-def labels_of(features: list[str], prefix: str = "debt_") -> dict[str, str]:
-    """Descriptions of those features that have one; a logarithm says so."""
-    out = {}
-    for f in features:
-        plain = f.removeprefix("log1p_").removeprefix(prefix)
-        if plain in LABELS:
-            out[f] = LABELS[plain] + " em escala logarítmica" * f.startswith("log1p_")
-    return out
+def labels_of(features: list[str]) -> dict[str, str]:
+    """Descriptions of those features that have one."""
+    return {f: LABELS[f] for f in features if f in LABELS}
 
 
 def consolidated(ledger: DataFrame) -> DataFrame:
@@ -82,14 +90,15 @@ def debts(rows: DataFrame) -> DataFrame:
     """Inscriptions of legal entities with key, root, situation class, flag and date."""
     require_columns(rows, DEBT_REQUIRED)
     c, e = F.col, text.empty_to_null
-    key = text.full_key(c("cpf_cnpj"))
+    plain = ("tipo_devedor", "numero_inscricao", "situacao_inscricao", "tipo_situacao_inscricao", "receita_principal", "unidade_responsavel", *(n for n in ("nome_devedor",) if n in rows.columns))
+    # What the next projection uses more than once is made first.
+    made = legal_entities(rows).select(text.digits(c("cpf_cnpj")).alias("__digits"), *(e(c(n)).alias(n) for n in plain), *(text.trim_all(c(n)).alias(n) for n in ("data_inscricao", "indicador_ajuizado")), "valor_consolidado", "ano", "trimestre")
+    key = F.when(F.length("__digits") == 14, F.col("__digits"))
     columns = [
-        key.alias("chave"), text.root_of(key).alias(KEY), e(c("tipo_devedor")).alias("tipo_devedor"), e(c("numero_inscricao")).alias("numero_inscricao"), e(c("situacao_inscricao")).alias("situacao_inscricao"),
-        text.situation(e(c("tipo_situacao_inscricao"))).alias("tipo_situacao_inscricao"), e(c("receita_principal")).alias("receita_principal"), dates.ledger_date(c("data_inscricao")).alias("data_inscricao"),
-        text.yes_no(c("indicador_ajuizado")).alias("indicador_ajuizado"), c("valor_consolidado").try_cast("double").alias("valor_consolidado"), e(c("unidade_responsavel")).alias("unidade_responsavel"), c("ano").cast("int").alias("ano"), c("trimestre").cast("byte").alias("trimestre"),
+        key.alias("chave"), text.root_of(key).alias(KEY), "tipo_devedor", "numero_inscricao", "situacao_inscricao", text.situation(c("tipo_situacao_inscricao")).alias("tipo_situacao_inscricao"), "receita_principal",
+        dates.ledger_date(c("data_inscricao")).alias("data_inscricao"), text.yes_no(c("indicador_ajuizado")).alias("indicador_ajuizado"), c("valor_consolidado").try_cast("double").alias("valor_consolidado"), "unidade_responsavel", c("ano").cast("int").alias("ano"), c("trimestre").cast("byte").alias("trimestre"),
     ]
-    optional = [e(c("nome_devedor")).alias("nome_devedor")] if "nome_devedor" in rows.columns else []
-    return legal_entities(rows).select(*columns, *optional)
+    return made.select(*columns, *plain[6:])
 
 
 def companies(raw: DataFrame, empty_is_zero: bool = True) -> DataFrame:
@@ -100,11 +109,14 @@ def companies(raw: DataFrame, empty_is_zero: bool = True) -> DataFrame:
 
 def establishments(raw: DataFrame) -> DataFrame:
     """Establishments whose three key parts are valid."""
-    c = F.col
-    root, order, check = (text.fixed_digits(c(n), w) for n, w in (("cnpj_basico", 8), ("cnpj_ordem", 4), ("cnpj_dv", 2)))
-    out = raw.select(
-        text.join_key(root, order, check).alias("chave"), root.alias(KEY), text.fixed_digits(c("situacao_cadastral"), 2).alias("situacao_cadastral"), dates.registry_date(c("data_situacao_cadastral")).alias("data_situacao_cadastral"),
-        text.fixed_digits(c("cnae_fiscal_principal"), 7).alias("cnae_fiscal_principal"), text.state(c("uf")).alias("uf"), text.fixed_digits(c("municipio"), 4).alias("municipio"), dates.registry_date(c("data_inicio_atividade")).alias("data_inicio_atividade"),
+    c, days = F.col, ("data_situacao_cadastral", "data_inicio_atividade")
+    widths = {"cnpj_basico": 8, "cnpj_ordem": 4, "cnpj_dv": 2, "situacao_cadastral": 2, "cnae_fiscal_principal": 7, "municipio": 4}
+    # Digits and trimmed dates first: what the next projection uses more than once is made once.
+    made = raw.select(*(text.digits(c(n)).alias(n) for n in widths), *(text.trim_all(c(n)).alias(n) for n in days), F.upper(text.trim_all(c("uf"))).alias("uf"))
+    part = lambda n: text.padded(c(n), widths[n])
+    out = made.select(
+        text.join_key(part("cnpj_basico"), part("cnpj_ordem"), part("cnpj_dv")).alias("chave"), part("cnpj_basico").alias(KEY), part("situacao_cadastral").alias("situacao_cadastral"), dates.registry_date(c(days[0]), True).alias(days[0]),
+        part("cnae_fiscal_principal").alias("cnae_fiscal_principal"), F.when(F.length("uf") == 2, c("uf")).alias("uf"), part("municipio").alias("municipio"), dates.registry_date(c(days[1]), True).alias(days[1]),
     )
     return out.where(F.col("chave").isNotNull())
 
@@ -114,11 +126,12 @@ def registry(establishment_rows: DataFrame, company_rows: DataFrame) -> DataFram
     return left_join(establishment_rows, unique_by_min(company_rows, KEY, ["razao_social", "porte_empresa"]), KEY)
 
 
-def registry_table(registry_rows: DataFrame, **kw) -> DataFrame:
-    """registry_by_root after the root and the status got their zeros."""
-    root = text.digits(text.trim_all(F.col(KEY)))
-    rows = registry_rows.withColumns({KEY: F.when(F.length(root).between(1, 8), F.lpad(root, 8, "0")), "situacao_cadastral": F.lpad(text.digits(text.trim_all(F.col("situacao_cadastral"))), 2, "0")})
-    return registry_by_root(rows, **kw)
+def registry_table(registry_rows: DataFrame, normal: bool = False, **kw) -> DataFrame:
+    """registry_by_root after the root and the status got their zeros. normal: they have them, as those of establishments()."""
+    if not normal:
+        root = text.digits(text.trim_all(F.col(KEY)))
+        registry_rows = registry_rows.withColumns({KEY: text.padded(root, 8), "situacao_cadastral": F.lpad(text.digits(text.trim_all(F.col("situacao_cadastral"))), 2, "0")})
+    return registry_by_root(registry_rows, **kw)
 
 
 def joined(debt_rows: DataFrame, registry_rows: DataFrame) -> DataFrame:
@@ -127,8 +140,9 @@ def joined(debt_rows: DataFrame, registry_rows: DataFrame) -> DataFrame:
 
 
 def fiscal_dataset(rows: DataFrame, threshold: int = 0, **kw) -> DataFrame:
-    """One row per company. The features are persisted (memory, else disk): the percentile and the result both read them."""
-    return fiscal_target(fiscal_features(fiscal_by_root(hash_sample(rows, KEY, threshold))).persist(), **kw)
+    """One row per company. The features are written into the shared folder first (see sources.staging), since the
+    percentile and the result both read them."""
+    return fiscal_target(materialize(fiscal_features(fiscal_by_root(hash_sample(rows, KEY, threshold))), "fiscal"), **kw)
 
 
 def discontinuity_dataset(rows: DataFrame, threshold: int = 0, prefix: str = "debt_") -> DataFrame:

@@ -32,12 +32,15 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 SITUATIONS = {"1-URGENT": "Em cobrança", "2-HIGH": "Benefício Fiscal", "3-MEDIUM": "Em negociação", "4-NOT SPECIFIED": "Suspenso por decisão judicial", "5-LOW": "Outra"}
 
 
-def raw_establishments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_establishments(spark: SparkSession, sf_dir: str, closed: bool = False) -> DataFrame:
+    """closed: every fourth company has no active establishment, and began five years earlier."""
     c, li = F.col, driver_table(spark, sf_dir, "lineitem")
+    gone = (c("l_partkey") % 4 == 0) & F.lit(closed)
+    began = F.when(gone, F.date_sub(c("l_shipdate").cast("date"), 1826)).otherwise(c("l_shipdate").cast("date")) if closed else c("l_shipdate")
     return li.select(
         c("l_partkey").cast("string").alias("cnpj_basico"), (c("l_orderkey") % 10000).cast("string").alias("cnpj_ordem"), F.when(c("l_linenumber") == 7, "").otherwise(c("l_linenumber").cast("string")).alias("cnpj_dv"),
-        F.when(c("l_linestatus") == "F", "2").otherwise("08").alias("situacao_cadastral"), F.when(c("l_orderkey") % 9 == 0, "0").otherwise(F.date_format("l_shipdate", "yyyyMMdd")).alias("data_situacao_cadastral"),
-        F.lit("4711301").alias("cnae_fiscal_principal"), F.when(c("l_returnflag") == "N", "sp").otherwise("EXT").alias("uf"), c("l_suppkey").cast("string").alias("municipio"), F.date_format("l_shipdate", "yyyyMMdd").alias("data_inicio_atividade"),
+        F.when((c("l_linestatus") == "F") & ~gone, "2").otherwise("08").alias("situacao_cadastral"), F.when(c("l_orderkey") % 9 == 0, "0").otherwise(F.date_format("l_shipdate", "yyyyMMdd")).alias("data_situacao_cadastral"),
+        F.lit("4711301").alias("cnae_fiscal_principal"), F.when(c("l_returnflag") == "N", "sp").otherwise("EXT").alias("uf"), c("l_suppkey").cast("string").alias("municipio"), F.date_format(began, "yyyyMMdd").alias("data_inicio_atividade"),
     )
 
 
@@ -55,10 +58,10 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datasets.registry(datasets.establishments(raw_establishments(spark, sf_dir)), datasets.companies(raw_companies(spark, sf_dir)))
 
 
-def registry_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def registry_table(spark: SparkSession, sf_dir: str, closed: bool = False) -> DataFrame:
     """Needs nothing of the companies' names, so that join is left out."""
-    return datasets.registry_table(datasets.establishments(raw_establishments(spark, sf_dir)), snapshot=SNAPSHOT)
+    return datasets.registry_table(datasets.establishments(raw_establishments(spark, sf_dir, closed)), normal=True, snapshot=SNAPSHOT)
 
 
-def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return datasets.joined(debts(spark, sf_dir), registry_table(spark, sf_dir))
+def joined(spark: SparkSession, sf_dir: str, closed: bool = False) -> DataFrame:
+    return datasets.joined(debts(spark, sf_dir), registry_table(spark, sf_dir, closed))

@@ -12,6 +12,7 @@ from tributary.operators import aggregates as A
 from tributary.operators import explain, joins, lookup, metrics, models, projections, quality, ranking, sampling
 from tributary.operators.aggregates import KEY
 from tributary.plans import datasets, probes
+from tributary.sources.staging import materialize, new_folder
 from tributary.sources.tables import driver_table
 from tributary.streaming.arrivals import windowed_totals
 
@@ -231,7 +232,7 @@ def a_dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("a_money_summary", f"WITH {_DEBTS} SELECT count(valor_consolidado) AS n, count(*) - count(valor_consolidado) AS nulos, round(avg(valor_consolidado), 4) AS media, round(min(valor_consolidado), 4) AS minimo, round(quantile_cont(valor_consolidado, 0.25), 4) AS p25, round(quantile_cont(valor_consolidado, 0.5), 4) AS p50, round(quantile_cont(valor_consolidado, 0.75), 4) AS p75, round(max(valor_consolidado), 4) AS maximo FROM debts")
 def a_money_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(A.money_summary(probes.debts(spark, sf_dir), "valor_consolidado"), 4)
+    return rounded(A.money_summary(materialize(probes.debts(spark, sf_dir).select("valor_consolidado"), "debts"), "valor_consolidado"), 4)
 
 
 @query("a_count_by", "SELECT event_type, count(*) AS quantidade FROM events GROUP BY event_type")
@@ -312,7 +313,10 @@ def q_date_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.date_ranges(datasets.establishments(probes.raw_establishments(spark, sf_dir)), ["data_inicio_atividade", "data_situacao_cadastral"])
 
 
-@query("q_systematic_sample")
+@query("q_systematic_sample", """WITH n AS (SELECT CAST(ceil(count(*) / 5000) AS BIGINT) AS blocks FROM events),
+    c AS (SELECT row_number() OVER (ORDER BY b) - 1 AS n, b, count(*) OVER () AS chosen FROM (SELECT DISTINCT CAST(CASE WHEN blocks <= 10 THEN i ELSE round_even(i * (blocks - 1) / 9, 0) END AS BIGINT) AS b FROM n, (SELECT unnest(range(0, 10)) AS i) WHERE i < blocks)),
+    e AS (SELECT event_id, user_id, row_number() OVER () - 1 AS pos FROM events)
+    SELECT event_id, user_id FROM e JOIN c ON pos // 5000 = b WHERE pos % 5000 < ceil(1000 / chosen) AND n * ceil(1000 / chosen) + pos % 5000 < 1000""")
 def q_systematic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.systematic_sample(driver_table(spark, sf_dir, "events").select("event_id", "user_id", "_metadata"), 1000, 10, 5000).drop("_metadata")
 
@@ -411,7 +415,14 @@ def x_linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(models.score(rows, model, "raiz", keep=["y_risco_fiscal"]))
 
 
-@query("x_linear_factors")
+_STANDARD = f"""{_FISCAL}, m AS (SELECT median(qtd_inscricoes) AS a, median(qtd_periodos) AS b, median(idade_empresa_dias) AS c FROM fiscal),
+    i AS (SELECT raiz, y_risco_fiscal, coalesce(qtd_inscricoes, a) AS x, coalesce(qtd_periodos, b) AS y, coalesce(idade_empresa_dias, c) AS z FROM fiscal, m),
+    st AS (SELECT raiz, y_risco_fiscal, (x - avg(x) OVER ()) / stddev_pop(x) OVER () * 0.5 AS k1, (y - avg(y) OVER ()) / stddev_pop(y) OVER () * -0.25 AS k2, (z - avg(z) OVER ()) / stddev_pop(z) OVER () * 0.125 AS k3 FROM i),
+    parts AS (SELECT raiz, y_risco_fiscal, 1 / (1 + exp(-(0.1 + k1 + k2 + k3))) AS score, unnest([0, 1, 2]) AS i, unnest(['qtd_inscricoes', 'qtd_periodos', 'idade_empresa_dias']) AS variavel, unnest([k1, k2, k3]) AS k FROM st),
+    factors AS (SELECT raiz, y_risco_fiscal, score, CAST(row_number() OVER (PARTITION BY raiz ORDER BY abs(k) DESC, i) AS INT) AS posicao_fator, variavel, k, CASE WHEN k > 0 THEN 'aumenta o score' WHEN k < 0 THEN 'reduz o score' ELSE 'efeito nulo' END AS direcao FROM parts)"""
+
+
+@query("x_linear_factors", f"WITH {_STANDARD} SELECT raiz, round(score, 6) AS score, posicao_fator, variavel, round(k, 6) AS contribuicao, direcao FROM factors WHERE posicao_fator <= 2")
 def x_linear_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fiscal(spark, sf_dir)
     model = models.LinearModel(models.prepare(rows, _X), _COEF, 0.1, {})
@@ -420,27 +431,56 @@ def x_linear_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("m_train_linear")
 def m_train_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fiscal model from sample and split to the metrics on the part kept aside, saved, loaded and checked again."""
     rows = fiscal(spark, sf_dir)
-    model = models.train_linear(rows, datasets.FISCAL_FEATURES, "y_risco_fiscal", leaking=datasets.FISCAL_LEAKING)
-    return models.coefficient_table(spark, model, datasets.labels_of(datasets.FISCAL_FEATURES))
+    model = models.train_and_evaluate(rows, datasets.FISCAL_FEATURES, "y_risco_fiscal", "raiz", leaking=datasets.FISCAL_LEAKING)
+    path = new_folder(spark, "fiscal-model")
+    model.save(spark, path)
+    again = models.check_usable(models.LinearModel.load(spark, path), rows, "raiz")
+    return models.coefficient_table(spark, again, datasets.labels_of(datasets.FISCAL_FEATURES))
+
+
+@query("m_fiscal_metrics")
+def m_fiscal_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of the fiscal model on the part kept aside."""
+    model = models.train_and_evaluate(fiscal(spark, sf_dir), datasets.FISCAL_FEATURES, "y_risco_fiscal", "raiz", leaking=datasets.FISCAL_LEAKING)
+    return models.metric_rows(spark, {"linear": model})
+
+
+def discontinuity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The discontinuity dataset over a registry where every fourth company has closed, written once."""
+    return materialize(datasets.discontinuity_dataset(probes.joined(spark, sf_dir, closed=True)), "discontinuity")
+
+
+def discontinuity_model(rows: DataFrame, kind: str) -> models.TreeModel:
+    return models.train_and_evaluate(rows, datasets.DISCONTINUITY_FEATURES, "y_descontinuidade", "raiz", kind, leaf=5, depth=5, trees=20, leaking=datasets.DISCONTINUITY_LEAKING)
 
 
 @query("m_train_trees")
 def m_train_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tree and forest on a split of the fiscal dataset, ranked by their metrics on the part kept aside."""
-    rows = sampling.stratified_split(fiscal(spark, sf_dir), "y_risco_fiscal", "raiz").cache()
-    made = models.train_choice(rows.where("not teste"), datasets.FISCAL_FEATURES, "y_risco_fiscal", leaf=5, depth=5, trees=20, leaking=datasets.FISCAL_LEAKING)
-    tables = [metrics.ranking_metrics(models.score(rows.where("teste"), m, "raiz", keep=["y_risco_fiscal"]), "score", "y_risco_fiscal").withColumn("modelo", F.lit(k)) for k, m in made.items()]
-    return ranking.model_ranking(projections.unify(tables))
+    """Tree and forest on the discontinuity target, ranked by their metrics on the part kept aside."""
+    rows = discontinuity(spark, sf_dir)
+    return ranking.model_ranking(models.metric_rows(spark, {kind: discontinuity_model(rows, kind) for kind in ("tree", "rf")}))
 
 
 @query("m_forest_importances")
 def m_forest_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Importances of a forest on the discontinuity dataset."""
-    rows = datasets.discontinuity_dataset(probes.joined(spark, sf_dir)).persist()
-    features = datasets.discontinuity_features_of()
-    model = models.train_tree(rows.withColumn("y", (F.col("qtd_inativos") > F.col("qtd_ativos")).cast("int")), features, "y", kind="rf", depth=5, leaf=5, trees=20, leaking=datasets.DISCONTINUITY_LEAKING)
-    return models.importance_table(spark, model, datasets.labels_of(features))
+    """Importances of a forest on the discontinuity target."""
+    return models.importance_table(spark, discontinuity_model(discontinuity(spark, sf_dir), "rf"), datasets.labels_of(datasets.DISCONTINUITY_FEATURES))
+
+
+@query("x_lookup_models")
+def x_lookup_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both models' answers for every customer number: scores, observed targets and factors."""
+    one, two = fiscal(spark, sf_dir), discontinuity(spark, sf_dir)
+    linear = models.train_and_evaluate(one, datasets.FISCAL_FEATURES, "y_risco_fiscal", "raiz", leaking=datasets.FISCAL_LEAKING)
+    ask = driver_table(spark, sf_dir, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("pedido"))
+    return lookup.lookup_models(ask, "pedido", {"fiscal": (linear, one), "descontinuidade": (discontinuity_model(two, "tree"), two)}, "raiz", 3, datasets.labels_of(datasets.DISCONTINUITY_FEATURES))
+
+
+@query("l_discontinuity_target", f"WITH {_REGISTRY}, {_DEBTS} SELECT raiz, count(*) AS debt_qtd_registros, CASE WHEN CAST(raiz AS BIGINT) % 4 = 0 OR max(ativos) = 0 THEN 1 ELSE 0 END AS y_descontinuidade FROM debts JOIN (SELECT raiz AS r, count(*) FILTER (situacao_cadastral = '02') AS ativos FROM est GROUP BY raiz) ON raiz = r GROUP BY raiz")
+def l_discontinuity_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return datasets.discontinuity_dataset(probes.joined(spark, sf_dir, closed=True)).select("raiz", "debt_qtd_registros", "y_descontinuidade")
 
 
 @query("x_lookup", f"""WITH {_FISCAL}, ask AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN CAST(c_custkey AS VARCHAR) WHEN c_custkey % 10 = 1 THEN lpad(CAST(c_custkey AS VARCHAR), 8, '0') || '000100' ELSE lpad(CAST(c_custkey AS VARCHAR), 8, '0') END AS pedido, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE lpad(CAST(c_custkey AS VARCHAR), 8, '0') END AS raiz FROM customer)
@@ -451,11 +491,15 @@ def x_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.lookup(ask, "pedido", fiscal(spark, sf_dir), "raiz", ["qtd_inscricoes", "y_risco_fiscal"])
 
 
-@query("x_lookup_scores")
+@query("x_lookup_scores", f"""WITH {_STANDARD}, ask AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS pedido FROM customer),
+    f AS (SELECT raiz, any_value(y_risco_fiscal) AS y, round(any_value(score), 6) AS score, string_agg(variavel, ',' ORDER BY posicao_fator) AS fatores FROM factors GROUP BY raiz)
+    SELECT pedido, pedido AS raiz, 'fiscal' AS modelo, CASE WHEN raiz IS NULL THEN 'unavailable' ELSE 'ok' END AS status, score, CASE WHEN y = 1 THEN 'prioritária' WHEN y = 0 THEN 'não prioritária' END AS condicao, fatores,
+           'score relativo, não é probabilidade calibrada' AS limitacao FROM ask LEFT JOIN f ON pedido = raiz""")
 def x_lookup_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fiscal(spark, sf_dir)
     model = models.LinearModel(models.prepare(rows, _X), _COEF, 0.1, {})
     ask = driver_table(spark, sf_dir, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("pedido"))
     factors = explain.strongest(explain.linear_parts(_X, model.prepared.standard(), model.coefficients), 3)
     condition = F.when(F.col("y_risco_fiscal") == 1, "prioritária").otherwise("não prioritária")
-    return lookup.lookup_scores(ask, "pedido", rows, "raiz", [*_X, "y_risco_fiscal"], model.probability(), factors, condition, "fiscal", "score relativo, não é probabilidade calibrada")
+    found = lookup.lookup_scores(ask, "pedido", rows, "raiz", [*_X, "y_risco_fiscal"], model.probability(), factors, condition, "fiscal", "score relativo, não é probabilidade calibrada")
+    return rounded(found.withColumn("fatores", F.array_join(F.transform("fatores", lambda x: x["variavel"]), ",")))

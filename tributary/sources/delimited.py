@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tributary.functions.text import CSV_MISSING, file_state, path_part
 from tributary.operators.projections import slug, unify
 
+#: Lines are judged by all of their fields, so the parser must not leave out those that nobody reads.
 _EXTRA, _BAD = "_extra", "_corrupt_record"
 
 
@@ -24,7 +25,7 @@ def probe(spark: SparkSession, folder: str, pattern: str = "*.[cC][sS][vV]", yea
     count = lambda m: F.length("cabecalho") - F.length(F.replace(F.col("cabecalho"), F.lit(m), F.lit("")))
     files = files.withColumns({
         "ano": path_part(F.col("arquivo"), "ano"), "trimestre": path_part(F.col("arquivo"), "trimestre"), "uf": file_state(F.col("nome")),
-        "cabecalho": F.regexp_replace("cabecalho", "^﻿", ""), "separador": F.when(count(";") >= count(","), ";").otherwise(","), "codificacao": F.when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1"),
+        "cabecalho": F.regexp_replace(F.when(F.col("utf8"), F.col("cabecalho")).otherwise(F.decode(F.col("cabecalho").cast("binary"), "ISO-8859-1")), "^﻿", ""), "separador": F.when(count(";") >= count(","), ";").otherwise(","), "codificacao": F.when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1"),
     }).withColumn("colunas", F.size(F.split("cabecalho", F.concat(F.lit("["), F.col("separador"), F.lit("]")))))
     files = files.where(F.col("ano").isNotNull() & F.col("trimestre").isin(1, 2, 3, 4))
     return (files.where(F.col("ano").isin(*years)) if years else files).drop("utf8")
@@ -38,6 +39,13 @@ def missing_to_null(df: DataFrame, markers: tuple[str, ...] = CSV_MISSING) -> Da
     return df.select(*(F.when(~F.col(c).isin(*markers), F.col(c)).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes))
 
 
+def short_enough(names: int, sep: str):
+    """Condition on _BAD, the line: it has no more fields than names. Quoted separators count only if there are too many."""
+    seps = lambda c: F.length(c) - F.length(F.replace(c, F.lit(sep), F.lit("")))
+    bad = F.col(_BAD)
+    return bad.isNotNull() & F.col(_EXTRA).isNull() & ((seps(bad) < names) | (seps(F.regexp_replace(bad, '"[^"]*"', "")) < names))
+
+
 def read_strings(spark: SparkSession, paths: list[str] | str, names: list[str], sep: str = ";", encoding: str = "UTF-8", header: bool = True, skip_long: bool = True, keep: list[str] | None = None, multiline: bool = False) -> DataFrame:
     """All columns as text. Short lines end in nulls; long lines are dropped, or with skip_long=False cut. Doubled quotes count as one.
 
@@ -46,10 +54,10 @@ def read_strings(spark: SparkSession, paths: list[str] | str, names: list[str],
     """
     extra = [_EXTRA, _BAD] if skip_long else []
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *extra]])
-    reader = spark.read.schema(schema).option("sep", sep).option("encoding", encoding).option("header", header).option("quote", '"').option("escape", '"').option("multiLine", multiline).option("mode", "PERMISSIVE").option("recursiveFileLookup", "true")
+    reader = spark.read.schema(schema).option("sep", sep).option("encoding", encoding).option("header", header).option("quote", '"').option("escape", '"').option("columnPruning", False).option("multiLine", multiline).option("mode", "PERMISSIVE").option("recursiveFileLookup", "true")
     rows = reader.option("columnNameOfCorruptRecord", _BAD).csv(paths)
-    if skip_long:  # exactly one field too many is no corrupt record to the parser, fewer or more fields are
-        rows = rows.where(F.col(_BAD).isNotNull() & F.col(_EXTRA).isNull())
+    if skip_long:  # exactly one field too many is no corrupt record to the parser, fewer or more fields are; of more, the first can be empty
+        rows = rows.where(short_enough(len(names), sep))
     return rows.select(*(keep or names))
 
 
@@ -70,10 +78,10 @@ def read_ledger(spark: SparkSession, folder: str, years: tuple[int, ...] | None
         names = [slug(x.strip('"')) for x in head.split(sep)]
         if "" in names or len(set(names)) < len(names):
             raise ValueError(f"{paths[0]}: empty or repeated column names")
-        raw = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in [*names, _EXTRA, _BAD]])).option("sep", sep).option("encoding", encoding).option("header", True).option("quote", '"').option("escape", '"').option("columnNameOfCorruptRecord", _BAD).csv(paths)
+        raw = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in [*names, _EXTRA, _BAD]])).option("sep", sep).option("encoding", encoding).option("header", True).option("quote", '"').option("escape", '"').option("columnPruning", False).option("columnNameOfCorruptRecord", _BAD).csv(paths)
         at = F.col("_metadata.file_path")
         rows = raw.select("*", path_part(at, "ano").alias("__ano"), path_part(at, "trimestre").alias("__tri"), file_state(F.col("_metadata.file_name")).alias("__uf"), F.col("_metadata.file_name").alias("__nome"))
-        rows = rows.where(F.col(_BAD).isNotNull() & F.col(_EXTRA).isNull()).drop(_BAD, _EXTRA)
+        rows = rows.where(short_enough(len(names), sep)).drop(_BAD, _EXTRA)
         data = [F.when(~F.col(n).isin(*CSV_MISSING), F.col(n)).alias(n) for n in names if n not in ("ano", "trimestre", "uf", "arquivo_origem")]
         frames.append(rows.select(*data, F.col("__ano").alias("ano"), F.col("__tri").cast("byte").alias("trimestre"), F.col("__uf").alias("uf"), F.col("__nome").alias("arquivo_origem")))
     order = list(dict.fromkeys(c for f in frames for c in f.columns if c not in ("ano", "trimestre", "uf", "arquivo_origem")))
