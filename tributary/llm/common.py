@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import re
-import tempfile
-import threading
-import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.sources.staging import delete, materialize, scratch, shared_dir  # noqa: F401
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: bytes.translate table that lower-cases A-Z and nothing else.
 LOWER_AZ = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
@@ -18,57 +16,11 @@ LOWER_AZ = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none (local tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-_OPEN = threading.local()
-
-
-@contextmanager
-def scratch():
-    """Tables that are materialized inside are deleted when the block ends, unless materialize was told that they stay;
-    those belong to the block around it. What belongs to no block is deleted when the application ends."""
-    stack = _OPEN.__dict__.setdefault("stack", [])
-    own: list[tuple[SparkSession, str]] = []
-    stack.append(own)
-    try:
-        yield own
-    finally:
-        stack.pop()
-        delete(own)
-
-
-def delete(tables: list[tuple[SparkSession, str]]) -> None:
-    """Deletes what materialize wrote; the list is empty afterwards."""
-    while tables:
-        spark, path = tables.pop()
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def materialize(df: DataFrame, name: str, stays: bool = False) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: cuts the lineage and computes df once.
-
-    stays: the table outlives the innermost scratch() block, because what the block returns reads it.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    stack = _OPEN.__dict__.get("stack", [])
-    if len(stack) > stays:
-        stack[-1 - stays].append((spark, path))
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def small_batches(spark: SparkSession) -> None:
+    """Rows meet Python in Arrow batches of at most 8 MB unless the session says otherwise: by rows alone, 10,000 long texts
+    would stand in the executor and in its Python worker at once."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
 FILE, AT = "__file", "__at"

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.common import ALNUM_RUN, AT, FILE, LOWER_AZ, addressed, if_small, materialize, pieces, scratch
+from tributary.llm.common import ALNUM_RUN, AT, FILE, LOWER_AZ, addressed, if_small, materialize, pieces, scratch, small_batches
 
 WINDOW = 13
 BLOCK_WORDS = 100_000
@@ -208,6 +208,7 @@ def decontaminate(
     Very long texts and items are matched whole. Repeated rows and ties are judged alike, each by itself. Columns of docs
     lie in the struct, so their names cannot clash. Without items nothing is hit; no rows give no rows.
     """
+    small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     others = [F.col(c) for c in docs.columns if c not in (text_col, FILE, AT)]
     doc, text = F.struct(*others) if others else F.struct(F.lit(1).alias("none")), F.col(text_col).cast("string").cast("binary")

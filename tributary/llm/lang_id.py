@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.common import pieces
+from tributary.llm.common import pieces, small_batches
 
 BUCKETS = 4096
 TRAIN_ROWS = 6000
@@ -167,6 +167,7 @@ def train_model(labelled: DataFrame, key: Column, lang_col: str, text_col: str,
     langs = sorted(r["lang"] for r in known)
     if len(langs) < 2:
         return fit(np.zeros((0, BUCKETS), np.float32), np.zeros(0, int), np.zeros(0, bool), langs)
+    small_batches(labelled.sparkSession)
     each = max(1, train_rows // (3 * len(langs)))  # up to three histograms a row
     # some more of each language by the hash, so that few rows are ranked; the rank inside the language makes it a bound
     cut = F.coalesce(*(F.when(F.col("lang") == r["lang"], F.lit(min(1.0, (2 * each + 20) / r["count"]))) for r in known)) * float(1 << 63)
@@ -187,6 +188,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", close: float
     the text is looked at, whole and however long; repeated rows are judged alike, and of equally likely languages the
     first by name is chosen. No rows give no rows. Columns of docs lie in the struct, so names cannot clash.
     """
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

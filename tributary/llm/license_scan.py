@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import ALNUM_RUN, LOWER_AZ, blob, pieces
+from tributary.llm.common import ALNUM_RUN, LOWER_AZ, blob, pieces, small_batches
 from tributary.llm.license_templates import NEAR_MISSES, TEMPLATES
 
 BITS = 16
@@ -186,6 +186,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     looked at in overlapping windows, all of them, however long the text; of equally sure windows of a family the first
     counts; repeated rows are scanned each; null ids are kept. Other columns are not read; no rows give no rows.
     """
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(scanner or Scanner(corpus_paragraphs(docs, text_col, train_paragraphs)))
     rows = docs.select(F.col(id_col).alias("id"), blob(text_col).alias("text"))
     kind = "array<struct<paragraph:bigint,family:string,probability:double,likeness:double,confirmed:boolean>>"

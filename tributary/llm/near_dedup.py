@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.llm import setsketch as S
-from tributary.llm.common import AT, FILE, addressed, blob, if_small, materialize, pieces, scratch, words_of
+from tributary.llm.common import AT, FILE, addressed, blob, if_small, materialize, pieces, scratch, words_of, small_batches
 from tributary.llm.components import connected_components
 
 _MAX_CACHE = 1 << 18
@@ -199,6 +199,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     if not 80 <= percent <= 100:
         raise ValueError("percent must be between 80 and 100: the bands are made for such pairs")
+    small_batches(docs.sparkSession)
     with scratch():
         rows = addressed(docs, {"id": F.col(id_col), "text": blob(text_col)}, "texts")
         sk = materialize(sketches(rows, size), "sketches")
