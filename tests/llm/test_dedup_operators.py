@@ -268,3 +268,24 @@ def test_line_dedup_removes_every_repeated_run_of_short_lines(spark):
             assert got[i].lines_removed >= len(want[i])
         else:
             assert (got[i].text, got[i].lines_removed) == ("\n".join(kept), len(want[i]))
+
+
+def test_near_dedup_of_long_texts_and_repeated_ids(spark):
+    """Many very long texts in one batch, one id on different texts, and a third of all rows alike."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(5000)}" for _ in range(30_000)]
+    docs = []
+    for i in range(30):
+        own = list(base) if i % 3 == 0 else [f"{i}x{rng.randrange(5000)}" for _ in range(30_000)]
+        for k in rng.sample(range(len(own)), 300):
+            own[k] = f"changed{i}"
+        docs.append((i, " ".join(own)))
+    docs += [(100, "one two three four five six"), (100, "seven eight nine ten eleven"), (100, "one two three four five six")]
+    got = near_dedup(frame(spark, docs, 2)).collect()
+    assert len(got) == 33
+    for r in got:
+        if r.doc_id < 100:
+            assert r.component_id == (0 if r.doc_id % 3 == 0 else r.doc_id) and r.n_shingles > 28_000
+    assert [r.component_id for r in got if r.doc_id == 100] == [100] * 3
+    with pytest.raises(ValueError, match="80"):
+        near_dedup(frame(spark, docs), percent=70)

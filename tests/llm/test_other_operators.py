@@ -439,3 +439,13 @@ def test_chat_format_round_trip(spark):
         inside = e.formatted[e.loss_start : e.loss_start + e.loss_chars]
         assert "<|" not in inside and e.formatted[e.loss_start + e.loss_chars :] in ("<|end|>",) or e.loss_chars == 0
     assert chat_examples(turns.limit(0)).count() == 0
+
+
+def test_chat_format_of_long_texts_and_a_hot_conversation(spark):
+    """Half of all turns are one conversation; texts of a million characters come back."""
+    long = "<|turn|>\\ é " * 80_000
+    rows = [(0, t, "assistant" if t % 2 else "user", f"text {t}") for t in range(300)] + [(c, t, "assistant" if t else "user", long if c < 6 else "short") for c in range(1, 150) for t in range(2)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = {r.conv_id: r for r in read_back(chat_examples(turns)).collect()}
+    assert len(got) == 150 and len(got[0].turns) == 300 and got[0].loss_text == "".join(f"text {t}" for t in range(1, 300, 2))
+    assert all(got[c].loss_text == long and got[c].turns[0].text == long for c in range(1, 6)) and got[149].loss_text == "short"
