@@ -16,11 +16,16 @@ LOWER_AZ = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Rows meet Python in Arrow batches of at most 8 MB unless the session says otherwise: by rows alone, 10,000 long texts
-    would stand in the executor and in its Python worker at once."""
-    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_GIVEN: set[str] = set()
+
+
+def small_batches(spark: SparkSession, size: str = "2m") -> None:
+    """Rows meet Python in Arrow batches of at most that size unless the session says otherwise: by rows alone, 10,000 long
+    texts would stand in the executor and in its Python worker at once."""
+    if spark.conf.get(_ARROW_BYTES, None) in (None, *_GIVEN):
+        _GIVEN.add(size)
+        spark.conf.set(_ARROW_BYTES, size)
 
 
 FILE, AT = "__file", "__at"

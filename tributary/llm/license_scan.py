@@ -30,7 +30,7 @@ class WordCodes(dict):
     """32-bit hashes of words; forgets all when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 18:
+        if len(self) > 1 << 16:
             self.clear()
         h = self[word] = xxhash.xxh32_intdigest(word)
         return h

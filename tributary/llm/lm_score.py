@@ -203,7 +203,7 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
 
 
 def _lm_score(docs: DataFrame, id_col: str, text_col: str, folds: int, held_out: int, hidden: int, known: int, head: int) -> DataFrame:
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, "16m")  # documents are scored side by side
     rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), blob(text_col).alias("text"), (crc_mod(id_col, folds) == held_out).alias("held_out"))
     train = rows.where(~F.col("held_out")).select("text", "row")
     counts = materialize(train.select("text").mapInArrow(count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "counts")

@@ -23,7 +23,7 @@ from tributary.llm import setsketch as S
 from tributary.llm.common import AT, FILE, addressed, blob, if_small, materialize, pieces, scratch, words_of, small_batches
 from tributary.llm.components import connected_components
 
-_MAX_CACHE = 1 << 18
+_MAX_CACHE = 1 << 16
 
 
 class WordHashes(dict):
@@ -164,7 +164,7 @@ def block_checker(percent: int):
     return run
 
 
-def family_links(families: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, block: int = 512, block_words: int = 1 << 22) -> DataFrame:
+def family_links(families: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, block: int = 256, block_words: int = 1 << 22) -> DataFrame:
     """Links (a, b) between different components within families(head, row): outsiders against all members, in blocks.
 
     A block has about `block` rows or block_words shingles, whichever is fewer rows; one larger set is a block by itself.
