@@ -1,6 +1,7 @@
 """Language ID, URL filters, decontamination, licences, language model, mixing and chat formatting."""
 
 import math
+import os
 import random
 import re
 import zlib
@@ -346,6 +347,13 @@ def test_lm_score(spark):
     assert math.isfinite(few.score) and math.isfinite(few.base_score)
 
 
+def test_production_model_learns_the_corpus(spark):
+    """With the parameters of the query the held-out documents of a table are far likelier than by unigrams."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet") if os.path.isdir("/root/testdata/sf0.001") else pytest.skip("no tables")
+    got = lm_score(docs).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n")).first()
+    assert (got.s - got.b) / got.n > 0.3  # log10: a token is more than twice as likely
+
+
 def test_outcomes_of_the_language_model_sum_to_one():
     """After any state the head words, the known other words and the one unknown outcome have all of the probability."""
     words, counts = [f"w{i}".encode() for i in range(300)], [1 + i % 7 for i in range(300)]

@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.llm import gru
-from tributary.llm.common import blob, crc_mod, materialize, pieces, scratch, words_of, small_batches
+from tributary.llm.common import blob, crc_mod, materialize, pieces, scratch, small_batches, words_of
 
 END = b"\n"  # cannot be a word
-HEAD_WORDS = 2048
+HEAD_WORDS = 1024
 KNOWN_WORDS = 131_072
 KNOWN_BYTES = 64
-HIDDEN = 24
+HIDDEN = 16
 ROUNDS = 3
 FAN = 64
 _FLUSH = 200_000

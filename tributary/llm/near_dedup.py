@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.llm import setsketch as S
-from tributary.llm.common import AT, FILE, addressed, blob, if_small, materialize, pieces, scratch, words_of, small_batches
+from tributary.llm.common import AT, FILE, addressed, blob, if_small, materialize, pieces, scratch, small_batches, words_of
 from tributary.llm.components import connected_components
 
 _MAX_CACHE = 1 << 16
