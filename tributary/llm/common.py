@@ -59,6 +59,11 @@ def crc_mod(key: Column | str, n: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")), F.lit(0)) % n
 
 
+def lower_az(text: Column) -> Column:
+    """A-Z in lower case and nothing else. Texts of ASCII only, whose characters are as many as their bytes, take the fast way."""
+    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
+
+
 def blob(text: Column | str) -> Column:
     """UTF-8 bytes of a text; null as empty. Python tasks get bytes and skip decoding."""
     text = F.col(text) if isinstance(text, str) else text

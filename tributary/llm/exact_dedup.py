@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.common import UPPER, materialize, scratch
+from tributary.llm.common import lower_az, materialize, scratch
 
 HEAVY_COUNTERS, MOST_COUNTERS = 512, 65_536
 
@@ -55,7 +55,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of rows that repeat the winning id one stays. Very long texts are hashed whole. Other columns of docs are not read. An
     empty table gives an empty result.
     """
-    text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, UPPER.lower())
+    text = lower_az(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     source = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"))
     agg = [F.count(F.lit(1)).alias("group_size"), F.max(F.struct("id", "row")).alias("best")]  # the row number settles ids that repeat
     with scratch():
