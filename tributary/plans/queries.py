@@ -378,6 +378,19 @@ def e_top_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(metrics.top_metrics(_scores(spark, sf_dir), "p", "y", "doc_id"))
 
 
+def _metrics_sql(name: str, score: str) -> str:
+    return f"""(WITH g AS (SELECT {score} AS p, sum(y) AS pos, sum(1 - y) AS neg FROM s GROUP BY {score}), c AS (SELECT *, sum(pos) OVER (ORDER BY p DESC) AS tp, sum(neg) OVER (ORDER BY p DESC) AS fp FROM g)
+        SELECT '{name}' AS modelo, round(sum(neg * (tp - pos / 2)) / (sum(pos) * sum(neg)), 6) AS roc_auc, round(sum(pos * tp / (tp + fp)) / sum(pos), 6) AS average_precision FROM c)"""
+
+
+@query("w_model_ranking", f"WITH {_SCORES}, m AS (SELECT * FROM {_metrics_sql('curto', 'p')} UNION ALL SELECT * FROM {_metrics_sql('inverso', '1 - p')}) SELECT *, CAST(row_number() OVER (ORDER BY average_precision DESC, roc_auc DESC, modelo) AS INT) AS posicao FROM m")
+def w_model_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two scores of the same rows compared by their metrics."""
+    rows = _scores(spark, sf_dir).withColumn("q", 1 - F.col("p"))
+    tables = [metrics.ranking_metrics(rows, s, "y").select(F.lit(n).alias("modelo"), "roc_auc", "average_precision") for n, s in (("curto", "p"), ("inverso", "q"))]
+    return rounded(ranking.model_ranking(projections.unify(tables)))
+
+
 # ---- models and explanations ---------------------------------------------------------------------------------------
 
 _X = ["qtd_inscricoes", "qtd_periodos", "idade_empresa_dias"]
