@@ -18,6 +18,7 @@ from tributary.llm.line_dedup import line_dedup
 from tributary.llm.lm_score import lm_score
 from tributary.llm.mix_sources import mix_sources
 from tributary.llm.near_dedup import near_dedup
+from tributary.llm.token_counts import token_counts
 from tributary.llm.url_filter import filter_urls, rules_frame
 
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -87,6 +88,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lang_id": op1_lang_id,
     "op2_url_filter": op2_url_filter,
@@ -98,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat_format": op10_chat_format,
+    "op13_token_counts": op13_token_counts,
 }
 
 WORDS = r"[^\x20\x09-\x0D]+"
