@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm.chat_format import chat_examples, read_back
-from tributary.llm.common import crc_mod, file_rows, table
+from tributary.llm.common import crc_mod, file_rows, lower_az, table
 from tributary.llm.decontaminate import decontaminate
 from tributary.llm.exact_dedup import exact_dedup
+from tributary.llm.filter_audit import filter_audit
 from tributary.llm.lang_id import identify, train_model
 from tributary.llm.license_scan import license_scan
 from tributary.llm.line_dedup import line_dedup
 from tributary.llm.lm_score import lm_score
+from tributary.llm.merkle import merkle_manifest
 from tributary.llm.mix_sources import mix_sources
 from tributary.llm.near_dedup import near_dedup
 from tributary.llm.token_counts import token_counts
@@ -88,6 +90,15 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle_manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], changed={"text": lower_az(F.col("text"))}, when=tampered)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -105,6 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat_format": op10_chat_format,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_filter_audit": op12_filter_audit,
     "op13_token_counts": op13_token_counts,
 }
 
@@ -112,6 +125,25 @@ WORDS = r"[^\x20\x09-\x0D]+"
 ESCAPED = "replace(replace({0}, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|')"
 RULES_SQL = ", ".join(str(r) for r in URL_RULES)
 
+
+
+def merkle_levels(name: str, levels: int) -> str:
+    """CTEs that lead {name}0 (group g, place i, digest d, nodes n of the group) and {name}p0 (rows on their way: g, i, n, node,
+    proof, id) up by so many levels."""
+    inside = "array_to_string(ds[1:i % 16], '') || {0} || array_to_string(ds[i % 16 + 2:16], '')"
+    steps = [
+        f"""{name}r{k} AS (SELECT g, i // 16 AS b, n, list(d ORDER BY i) AS ds FROM {name}{k} GROUP BY g, i // 16, n),
+        {name}{k + 1} AS (SELECT g, b AS i, CASE WHEN n > 1 THEN sha256(array_to_string(ds, '')) ELSE ds[1] END AS d, (n + 15) // 16 AS n FROM {name}r{k}),
+        {name}p{k + 1} AS (SELECT id, p.g, i // 16 AS i, (p.n + 15) // 16 AS n, CASE WHEN p.n > 1 THEN sha256({inside.format("node")}) ELSE node END AS node,
+                           CASE WHEN p.n > 1 THEN proof || {inside.format("''")} ELSE proof END AS proof FROM {name}p{k} AS p JOIN {name}r{k} AS r ON p.g = r.g AND i // 16 = b)"""
+        for k in range(levels)
+    ]
+    return ",\n        ".join(steps)
+
+
+MERKLE_FIELD = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+MERKLE_LEAF = " || ".join(MERKLE_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filter": f"""
         WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
@@ -185,4 +217,34 @@ ORACLE_SQL: dict[str, str] = {
         WITH d AS (SELECT doc_id, sha256({LOWERED}) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    "op12_filter_audit": f"""
+        WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w FROM documents),
+        l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+        f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                     CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+                     || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+                     || CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+        m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, fails),
+        x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        o AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM x AS a, x AS b, x AS c, x AS d, x AS e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        r AS (SELECT m.*, o, coalesce((SELECT min(instr(o, x)) FROM x WHERE contains(fails, x)), 9) AS gone FROM m, o),
+        s AS (SELECT part, o AS filter_order, CAST(step AS INT) AS step, substr(o, step, 1) AS letter, coalesce(sum(n) FILTER (gone > step), 0) AS kept, coalesce(sum(n) FILTER (gone = step), 0) AS removed,
+                     coalesce(sum(n) FILTER (gone < step AND contains(fails, substr(o, step, 1))), 0) AS redundant, coalesce(sum(n) FILTER (fails = substr(o, step, 1)), 0) AS unique_fails,
+                     coalesce(sum(good) FILTER (gone = step), 0) AS good_lost, coalesce(sum(toxic) FILTER (gone = step), 0) AS toxic_lost
+              FROM r, (SELECT unnest(range(1, 6)) AS step) GROUP BY part, o, step)
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM s""",
+    # Up to 16^5 rows of a source and 16^3 sources.
+    "op11_merkle_manifest": f"""
+        WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce('=' || source, '-') AS g, sha256({MERKLE_LEAF} || {MERKLE_FIELD.format("text")}) AS d, sha256({MERKLE_LEAF} || {MERKLE_FIELD.format(LOWERED.replace("coalesce(text, '')", "text"))}) AS lowered,
+                          xor(4294967295, list_reduce(flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+                              lambda c, b: CASE WHEN b < 0 THEN xor(c >> 1, 3988292384 * (c & 1)) ELSE xor(c, b) END, 4294967295)) AS crc FROM documents),
+        t0 AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d),
+        tp0 AS (SELECT id, g, i, n, CASE WHEN crc % 5 = 0 THEN lowered ELSE d END AS node, '' AS proof FROM t0),
+        {merkle_levels("t", 5)},
+        s0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS i, d, count(*) OVER () AS n, g AS name FROM t5),
+        sp0 AS (SELECT id, s0.g, s0.i, s0.n, node, proof FROM tp5 JOIN s0 ON tp5.g = name),
+        {merkle_levels("s", 3)}
+        SELECT d.doc_id, d.d AS leaf, t5.d AS subroot, s3.d AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = s3.d AS verified
+        FROM sp3 JOIN d ON sp3.id = d.id JOIN t5 ON t5.g = d.g JOIN s3 ON s3.g = sp3.g""",
 }
