@@ -1,5 +1,7 @@
 """Files in many shapes, sinks and the streaming form."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +66,16 @@ def test_sinks(spark, tmp_path):
     assert spark.sql("select count(*) from t_view").first()[0] == 3 and tables.read_table(spark, path, ["id"]).columns == ["id"]
 
 
+def test_digests_of_files_larger_than_a_chunk(spark, tmp_path):
+    data = bytes(range(256)) * 1000
+    (tmp_path / "deep").mkdir()
+    for name, content in (("deep/a.bin", data), ("b.bin", b""), ("c.txt", b"x")):
+        (tmp_path / name).write_bytes(content)
+    got = {r.arquivo.rsplit("/", 1)[1]: (r.tamanho_mb, r.sha256_16) for r in tables.file_inventory(spark, str(tmp_path), "*.bin", chunk=1000).collect()}
+    assert got == {"a.bin": (len(data) / 2**20, hashlib.sha256(data).hexdigest()[:16])}  # empty files are left out
+    assert {r.sha256_16 for r in tables.file_inventory(spark, str(tmp_path), digest=False).collect()} == {None}
+
+
 def test_run_log(spark, tmp_path):
     log = f"{tmp_path}/log"
     tables.log_run(spark, log, [{"etapa": "a", "status": "OK"}])

@@ -3,7 +3,7 @@ the operators, and compared with the table itself."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions import text
@@ -16,37 +16,53 @@ from tributary.sources.staging import new_folder
 from tributary.sources.tables import driver_table
 
 
-def put_csv(df: DataFrame, folder: str, name: str, sep: str, encoding: str, header: bool = True) -> None:
-    """df as one CSV file `name` in the folder: what an office publishes."""
-    spark, raw = df.sparkSession, f"{folder}-parts"
-    df.coalesce(1).write.option("sep", sep).option("encoding", encoding).option("header", header).option("emptyValue", "").csv(raw)
+#: Rows of a file of a published folder, about.
+FILE_ROWS = 1_000_000
+#: The number of files that put_csv makes of a table: the same in SQL.
+FILES_SQL = f"(SELECT 4 + count(*) // {FILE_ROWS} FROM {{}})"
+
+
+def put_csv(df: DataFrame, folder: str, stem: str, sep: str, encoding: str, header: bool = True, key: Column | None = None, of: DataFrame | None = None, ending: str = "") -> None:
+    """df as CSV files in the folder, {stem}_{number}{ending}: what an office publishes. A row's file is its key modulo the
+    number of files, which grows with the table `of`; without a key there is one file, {stem}{ending}, for small tables."""
+    spark, raw = df.sparkSession, f"{folder}-parts-{stem}"
+    if key is None:
+        parts = df.coalesce(1).withColumn("__p", F.lit(0))
+    else:
+        parts = df.withColumn("__p", key % (4 + of.count() // FILE_ROWS)).repartition("__p")
+    parts.write.partitionBy("__p").options(sep=sep, encoding=encoding, header=header, emptyValue="", escape='"').csv(raw)
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(raw).getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path(folder))
-    files.rename(next(f.getPath() for f in files.globStatus(path(f"{raw}/part-*"))), path(f"{folder}/{name}"))
+    for f in files.globStatus(path(f"{raw}/__p=*/part-*")):  # a name per file
+        number = f.getPath().getParent().getName().split("=")[1]
+        files.rename(f.getPath(), path(f"{folder}/{stem}{'' if key is None else '_' + number}{ending}"))
     files.delete(path(raw), True)
 
 
 def put_ledger(spark: SparkSession, sf_dir: str) -> str:
-    """Orders as three files: other separators, encodings and headers, missing markers, and one of a year nobody asks for."""
+    """Orders as files of three shapes: other separators, encodings and headers, missing markers, line breaks, separators and
+    quotes inside quotes, and a year nobody asks for."""
     o, folder, k = driver_table(spark, sf_dir, "orders"), new_folder(spark, "ledger"), F.col("o_orderkey")
     number, status = k.cast("string").alias("Número Inscrição"), F.when(k % 4 == 0, "N/A").otherwise(F.concat(F.lit("situação; "), "o_orderstatus")).alias("SITUAÇÃO")
-    one = o.where(k % 3 == 0).select(number, status, F.col("o_clerk" if "o_clerk" in o.columns else "o_orderpriority").alias("Observação"))
-    two = o.where(k % 3 == 1).select(status, number)
-    put_csv(one, f"{folder}/ano=2024/trimestre=1", "arquivo_SIDA_SP_1.csv", ";", "ISO-8859-1")
-    put_csv(two, f"{folder}/ano=2025/trimestre=4", "arquivo.csv", ",", "UTF-8")
-    put_csv(o.where(k % 3 == 2).select(number), f"{folder}/ano=2019/trimestre=2", "velho.csv", ";", "UTF-8")
+    note = F.when(k % 5 == 0, F.concat("o_orderpriority", F.lit('\n"citado";\n\nfim'))).otherwise(F.col("o_orderpriority")).alias("Observação")
+    for third, columns, where, stem, sep, encoding in (
+        (0, [number, status, note], "ano=2024/trimestre=1", "arquivo_SIDA_SP", ";", "ISO-8859-1"), (1, [status, number], "ano=2025/trimestre=4", "arquivo", ",", "UTF-8"), (2, [number], "ano=2019/trimestre=2", "velho", ";", "UTF-8"),
+    ):
+        put_csv(o.where(k % 3 == third).select(*columns), f"{folder}/{where}", stem, sep, encoding, key=F.col("Número Inscrição").cast("long"), of=o, ending=".csv")
     return folder
 
 
-_FILES = """SELECT CAST(o_orderkey AS VARCHAR) AS numero_inscricao, CASE WHEN o_orderkey % 4 <> 0 THEN 'situação; ' || o_orderstatus END AS situacao, CASE o_orderkey % 3 WHEN 0 THEN 2024 ELSE 2025 END AS ano,
-    CAST(CASE o_orderkey % 3 WHEN 0 THEN 1 ELSE 4 END AS TINYINT) AS trimestre, CASE o_orderkey % 3 WHEN 0 THEN 'SP' ELSE 'NA' END AS uf, CASE o_orderkey % 3 WHEN 0 THEN 'arquivo_SIDA_SP_1.csv' ELSE 'arquivo.csv' END AS arquivo_origem
+_FILES = f"""SELECT CAST(o_orderkey AS VARCHAR) AS numero_inscricao, CASE WHEN o_orderkey % 4 <> 0 THEN 'situação; ' || o_orderstatus END AS situacao,
+    CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority || CASE WHEN o_orderkey % 5 = 0 THEN chr(10) || '"citado";' || chr(10) || chr(10) || 'fim' ELSE '' END END AS observacao, CASE o_orderkey % 3 WHEN 0 THEN 2024 ELSE 2025 END AS ano,
+    CAST(CASE o_orderkey % 3 WHEN 0 THEN 1 ELSE 4 END AS TINYINT) AS trimestre, CASE o_orderkey % 3 WHEN 0 THEN 'SP' ELSE 'NA' END AS uf,
+    CASE o_orderkey % 3 WHEN 0 THEN 'arquivo_SIDA_SP_' ELSE 'arquivo_' END || (o_orderkey % {FILES_SQL.format("orders")}) || '.csv' AS arquivo_origem
     FROM orders WHERE o_orderkey % 3 < 2"""
 
 
 @query("s_ledger", _FILES)
 def s_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return delimited.read_ledger(spark, put_ledger(spark, sf_dir)).drop("observacao")
+    return delimited.read_ledger(spark, put_ledger(spark, sf_dir))
 
 
 @query("s_inventory", f"""WITH f AS ({_FILES}) SELECT arquivo_origem AS nome, ano, CAST(trimestre AS INT) AS trimestre, uf, CASE WHEN ano = 2024 THEN ';' ELSE ',' END AS separador, CASE WHEN ano = 2024 THEN 'ISO-8859-1' ELSE 'UTF-8' END AS codificacao,
@@ -60,24 +76,24 @@ def s_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("s_companies", "SELECT CAST(p_partkey AS VARCHAR) AS cnpj_basico, p_name AS razao_social, CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS VARCHAR) END AS porte_empresa FROM part")
 def s_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as a headerless file with the registry's fields, the last ones missing here and there."""
+    """Parts as headerless files with the registry's fields, the last ones missing here and there."""
     none = F.lit("").alias
     rows = driver_table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("a"), "p_name", none("c"), none("d"), none("e"), F.when(F.col("p_size") % 2 == 0, F.col("p_size").cast("string")).otherwise("<NA>").alias("f"), none("g"))
-    put_csv(rows, folder := new_folder(spark, "companies"), "EMPRECSV", ";", "ISO-8859-1", header=False)
-    return delimited.read_companies(spark, f"{folder}/EMPRECSV")
+    put_csv(rows, folder := new_folder(spark, "companies"), "EMPRECSV", ";", "ISO-8859-1", header=False, key=F.col("a").cast("long"), of=rows)
+    return delimited.read_companies(spark, folder)
 
 
 @query("s_establishments", "SELECT CAST(l_partkey AS VARCHAR) AS cnpj_basico, CAST(l_orderkey AS VARCHAR) AS cnpj_ordem, CAST(l_linenumber AS VARCHAR) AS cnpj_dv, CASE WHEN l_linestatus = 'F' THEN '02' ELSE '08' END AS situacao_cadastral, strftime(CAST(l_shipdate AS DATE), '%Y%m%d') AS data_situacao_cadastral, strftime(CAST(l_shipdate AS DATE), '%Y%m%d') AS data_inicio_atividade, NULL AS cnae_fiscal_principal, CASE WHEN l_returnflag = 'N' THEN 'São' END AS uf, CAST(l_suppkey AS VARCHAR) AS municipio FROM lineitem")
 def s_establishments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as a headerless file of 30 fields."""
+    """Line items as headerless files of 30 fields."""
     c, day = F.col, F.date_format("l_shipdate", "yyyyMMdd")
     own = {
         0: c("l_partkey").cast("string"), 1: c("l_orderkey").cast("string"), 2: c("l_linenumber").cast("string"), 5: F.when(c("l_linestatus") == "F", "02").otherwise("08"), 6: day, 10: day, 11: F.lit("NULL"),
         19: F.when(c("l_returnflag") == "N", "São").otherwise(""), 20: c("l_suppkey").cast("string"),
     }
     rows = driver_table(spark, sf_dir, "lineitem").select(*(own.get(i, F.lit("x")).alias(f"c{i}") for i in range(delimited.ESTABLISHMENT_WIDTH)))
-    put_csv(rows, folder := new_folder(spark, "establishments"), "ESTABELE", ";", "ISO-8859-1", header=False)
-    return delimited.read_establishments(spark, f"{folder}/ESTABELE")
+    put_csv(rows, folder := new_folder(spark, "establishments"), "ESTABELE", ";", "ISO-8859-1", header=False, key=F.col("c1").cast("long"), of=rows)
+    return delimited.read_establishments(spark, folder)
 
 
 @query("k_table", "SELECT n_name, count(*) AS clientes, round(sum(c_acctbal), 2) AS saldo FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
@@ -105,7 +121,7 @@ def k_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("k_digest", "SELECT left(sha256(string_agg(n_nationkey || ',' || n_name || chr(10), '' ORDER BY n_nationkey)), 16) AS sha256_16, round(sum(length(n_nationkey || ',' || n_name) + 1) / 1048576, 9) AS tamanho_mb FROM nation")
 def k_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size and digest of a file with the nations' names."""
-    put_csv(driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey"), folder := new_folder(spark, "nations"), "nations.csv", ",", "UTF-8", header=False)
+    put_csv(driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey"), folder := new_folder(spark, "nations"), "nations", ",", "UTF-8", header=False, ending=".csv")
     return tables.file_inventory(spark, folder, "*.csv").select("sha256_16", F.round("tamanho_mb", 9).alias("tamanho_mb"))
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.operators.checks import require_columns, require_rows
+from tributary.sources import delimited
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -40,11 +44,38 @@ def write_report(df: DataFrame, path: str, force: bool = True) -> None:
     df.coalesce(1).write.mode("overwrite" if force else "errorifexists").option("header", True).csv(path)
 
 
-def file_inventory(spark: SparkSession, folder: str, pattern: str = "*", digest: bool = True) -> DataFrame:
-    """One row per file: arquivo, tamanho_mb, sha256_16 (the first 16 hex digits; null without digest, for files over 2 GB)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
-    hashed = F.substring(F.sha2("content", 256), 1, 16) if digest else F.lit(None).cast("string")
-    return files.select(F.col("path").alias("arquivo"), (F.col("length") / 1048576).alias("tamanho_mb"), hashed.alias("sha256_16"))
+#: Bytes of a file that a task holds while it makes the file's digest.
+CHUNK_BYTES = 8 << 20
+
+
+def digests(batches, chunk: int):
+    """SHA-256 of each file, read chunk by chunk."""
+    for b in batches:
+        out = []
+        for path in b.column(0).to_pylist():
+            made = hashlib.sha256()
+            with delimited.open_stream(path) as f:
+                while data := f.read(chunk):
+                    made.update(data)
+            out.append(made.hexdigest())
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out)], ["arquivo", "sha256"])
+
+
+def file_inventory(spark: SparkSession, folder: str, pattern: str = "*", digest: bool = True, chunk: int = CHUNK_BYTES) -> DataFrame:
+    """One row per file: arquivo, tamanho_mb, sha256_16 (the first 16 hex digits; null without digest).
+
+    Files of any size are hashed in tasks, a chunk at a time. In a store that Python does not reach (see sources.delimited)
+    Spark reads them whole, which ends at 2 GB. Empty files are left out."""
+    files = delimited.listed(spark, folder, pattern)
+    size = (F.col("tamanho") / 1048576).alias("tamanho_mb")
+    if not digest:
+        return files.select("arquivo", size, F.lit(None).cast("string").alias("sha256_16"))
+    one = files.select("arquivo").first()
+    if one is None or delimited.reached_by_python(one[0]):
+        found = files.select("arquivo").repartition(max(1, files.count())).mapInArrow(lambda it: digests(it, chunk), "arquivo string, sha256 string")  # a file, a task
+    else:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder).select(F.col("path").alias("arquivo"), F.sha2("content", 256).alias("sha256"))
+    return files.join(found, "arquivo").select("arquivo", size, F.substring("sha256", 1, 16).alias("sha256_16"))
 
 
 LOG_FIELDS = ("momento", "etapa", "arquivo", "status", "mensagem")
