@@ -124,6 +124,9 @@ def test_url_filter_matches_brute_force(spark):
     got = filter_urls(hot, rules_frame(spark, RULES)).groupBy("rule", "verdict").count().collect()  # two thirds of all rows are one URL, the others are long
     assert {tuple(r) for r in got} == {("com/de/", "block", 600), ("org/", "allow", 300)}
     assert {r.verdict for r in filter_urls(pages, rules_frame(spark, RULES).limit(0), default="block").collect()} == {"block"}
+    # A rule without the slash: host and path together are another host's name.
+    got = filter_urls(pages.where("page_id = 6"), rules_frame(spark, [("block", "example.o", "rg"), ("block", "or", "g"), ("allow", "zz.net", "")]), default="none").first()
+    assert (got.host, got.rule, got.verdict) == ("org", None, "none")
 
 
 def brute_hits(items, words, window=13):

@@ -73,18 +73,20 @@ def siblings(level: Column, at: Column) -> Column:
     return F.struct(part(first, place).alias("left"), part(first + place + 1, ARITY - 1 - place).alias("right"))
 
 
-def proofs(stored: list[DataFrame], above: DataFrame, *more: str) -> DataFrame:
+def proofs(stored: list[DataFrame], above: DataFrame | None, *more: str) -> DataFrame:
     """A row for each leaf: group, digest, the leaves' columns `more`, top (its group's last node) and path: the siblings
     of every level up to the root.
 
-    above: group and path, that of the group's last node."""
-    paths = stored[-1].join(above, "group").select("group", "at", F.col("digest").alias("top"), "path", *((F.col(c) for c in ("digest", *more)) if len(stored) == 1 else ()))
+    above: group and path, that of the group's last node; None: there is nothing above it."""
+    tops = stored[-1].withColumn("path", F.array().cast(_PATH)) if above is None else stored[-1].join(above, "group")
+    paths = tops.select("group", "at", F.col("digest").alias("top"), "path", *((F.col(c) for c in ("digest", *more)) if len(stored) == 1 else ()))
     for k in range(len(stored) - 2, -1, -1):
         own = more if k == 0 else ()
         paths = materialize(paths, f"merkle-paths-{k + 1}", stays=True).withColumnRenamed("at", "block")
         levels = lambda i: F.array(*(F.when(goes_on(k), siblings(F.col(f"level{k}"), F.floor(i / ARITY**k))) for k in range(LEVELS)))
         node = lambda x, i: F.struct(x["at"].alias("at"), *(x[c].alias(c) for c in ("digest", *own)), F.filter(levels(i), lambda s: s.isNotNull()).alias("own"))  # noqa: E731, B023
-        inside = subtrees(stored[k], *own).join(paths, ["group", "block"]).select("group", "top", "path", F.explode(F.transform("nodes", node)).alias("x"))
+        # The subtrees are dealt out by group and block already; the paths are few, but too many for a broadcast.
+        inside = subtrees(stored[k], *own).join(paths.hint("shuffle_hash"), ["group", "block"]).select("group", "top", "path", F.explode(F.transform("nodes", node)).alias("x"))
         paths = inside.select("group", "x.at", "top", F.concat("x.own", "path").alias("path"), *(f"x.{c}" for c in (("digest", *own) if k == 0 else ())))
     return paths.drop("at")
 
@@ -138,13 +140,8 @@ def manifest(docs: DataFrame, columns: list[str], id_col: str = "doc_id", group_
 def all_proofs(made: Manifest) -> DataFrame:
     """A row for each row of the table: id, leaf, changed, subroot, path (array of left and right, the joined siblings of a
     level before and after its node; from the leaf up to the root)."""
-    spark = made.leaves.sparkSession
-    start = spark.range(1).select(F.lit("").alias("group"), F.array().cast(_PATH).alias("path"))
     with scratch():
-        over = proofs(made.groups, start, "name") if made.root else None
-        if over is None:
-            return made.leaves.select("id", F.col("digest").alias("leaf"), "changed", F.col("digest").alias("subroot"), F.array().cast(_PATH).alias("path"))
-        over = materialize(over.select(F.col("name").alias("group"), "path"), "group-paths", stays=True)
+        over = materialize(proofs(made.groups, None, "name").select(F.col("name").alias("group"), "path"), "group-paths", stays=True)
         return proofs(made.trees, over, "id", "changed").select("id", F.col("digest").alias("leaf"), "changed", F.col("top").alias("subroot"), "path")
 
 

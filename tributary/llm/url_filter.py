@@ -2,7 +2,7 @@
 
 A URL is expanded into its host suffixes and path prefixes, but only in the shapes (labels of the host, length of the path)
 that some rule has. Expressions meet the rules in an equi-join on the first four bytes of their SHA-256; full digests
-confirm, and the longest rule wins.
+confirm, of the same labels and path length, so that host and path cannot run into each other; the longest rule wins.
 """
 
 from __future__ import annotations
@@ -38,8 +38,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     host, path = host_and_path(F.col(url_col))
     urls = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     rules = rules.where("verdict is not null and host is not null and path is not null").select("verdict", F.translate("host", UPPER, UPPER.lower()).alias("rule_host"), F.col("path").alias("rule_path")).distinct()
+    rules = rules.withColumn("n", F.size(F.split("rule_host", r"\."))).withColumn("k", F.length("rule_path"))
     keyed = rules.withColumn("digest", F.sha2(F.concat("rule_host", "rule_path").cast("binary"), 256)).withColumn("short", short("digest"))
-    shapes = [tuple(r) for r in rules.select(F.size(F.split("rule_host", r"\.")), F.length("rule_path")).distinct().collect()]  # of rules, not of pages
+    shapes = [tuple(r) for r in rules.select("n", "k").distinct().collect()]  # of rules, not of pages
     if not shapes:
         return urls.select(F.col("id").alias(id_col), "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     # Before the hash prefixes are joined, equal URLs count once. The shapes are one array, however many rules there are.
@@ -48,8 +49,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     parts = F.slice(F.split("host", r"\."), labels - F.col("s.n") + 1, F.col("s.n"))
     with scratch():
         expanded = urls.select("host", "path").distinct().select("host", "path", F.explode(fits).alias("s"))
-        expanded = expanded.select("host", "path", F.sha2(F.concat(F.array_join(parts, "."), F.substr("path", F.lit(1), F.col("s.k"))).cast("binary"), 256).alias("url_digest")).withColumn("short", short("url_digest"))
-        hits = expanded.join(if_small(keyed, 512), "short").where(F.col("url_digest") == F.col("digest"))
+        expanded = expanded.select("host", "path", "s.n", "s.k", F.sha2(F.concat(F.array_join(parts, "."), F.substr("path", F.lit(1), F.col("s.k"))).cast("binary"), 256).alias("url_digest")).withColumn("short", short("url_digest"))
+        hits = expanded.join(if_small(keyed, 512), ["short", "n", "k"]).where(F.col("url_digest") == F.col("digest"))
         rank = F.struct(F.length("rule_host") + F.length("rule_path"), F.length("rule_host"), F.col("verdict") == "block", "verdict", "rule_host", "rule_path")
         best = hits.groupBy("host", "path").agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), rank).alias("best"))
         # Only URLs that some rule fits. Written before the join: a URL on very many pages can then be split among tasks.
