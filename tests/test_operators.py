@@ -1,5 +1,6 @@
 """Operators on small tables."""
 
+import datetime
 import math
 import random
 
@@ -50,16 +51,62 @@ def test_even_indices():
     assert sampling.even_indices(3, 4) == [0, 2, 3]  # halves go to the even number
 
 
+INSCRIPTIONS = "raiz string, numero_inscricao string, valor_consolidado double, indicador_ajuizado int, data_inscricao timestamp, ano int, trimestre int, tipo_situacao_inscricao string, situacao_inscricao string, receita_principal string"
+COMPANIES = "raiz string, qtd_estabelecimentos long, qtd_ativos long, qtd_inativos long, idade_empresa_dias long, dt_inicio_min date, dt_inicio_max date, dt_situacao_max date"
+
+
 def test_aggregates_differ_in_nulls(spark):
-    rows = spark.createDataFrame([("a", "n1", None, None, None, 2024, 1, 1, 0, 1), ("a", "n1", None, None, None, 2024, None, 1, 0, 1)], "raiz string, numero_inscricao string, valor_consolidado double, indicador_ajuizado int, data_inscricao timestamp, ano int, trimestre int, qtd_estabelecimentos long, qtd_ativos long, qtd_inativos long")
-    rows = rows.withColumns({"tipo_situacao_inscricao": F.lit("garantia"), "situacao_inscricao": F.lit("s"), "receita_principal": F.lit(None).cast("string"), "idade_empresa_dias": F.lit(5).cast("long"), **{c: F.lit(None).cast("date") for c in ("dt_inicio_min", "dt_inicio_max", "dt_situacao_max")}})
-    f = A.fiscal_features(A.fiscal_by_root(rows)).first()
-    assert (f.divida_total, f.pct_ajuizado, f.qtd_ajuizado, f.qtd_periodos, f.qtd_garantia) == (None, None, 0, 1, 2)
+    rows = spark.createDataFrame([("a", "n1", None, None, None, 2024, q, "garantia", "s", None) for q in (1, None)], INSCRIPTIONS)
+    reg = spark.createDataFrame([("a", 1, 0, 1, 5, None, None, None), ("b", 1, 1, 0, 5, None, None, None)], COMPANIES)
+    f = A.fiscal_features(A.fiscal_by_root(rows, reg)).first()
+    assert (f.divida_total, f.divida_media, f.pct_ajuizado, f.qtd_ajuizado, f.qtd_periodos, f.qtd_garantia) == (None, None, None, 0, 1, 2)
     assert f.divida_por_estabelecimento_ativo is None and f.proporcao_ajuizada_calculada == 0
-    d = A.discontinuity_features(A.discontinuity_by_root(rows)).first()
-    assert (d.debt_divida_total, d.y_descontinuidade, d.debt_qtd_inscricoes, d.debt_qtd_receitas_distintas, d.pct_ativos) == (0.0, 1, 1, 0, 0.0)
+    d = A.discontinuity_features(A.discontinuity_by_root(rows, reg)).collect()
+    assert [(d.debt_divida_total, d.y_descontinuidade, d.debt_qtd_inscricoes, d.debt_qtd_receitas_distintas, d.pct_ativos) for d in d] == [(0.0, 1, 1, 0, 0.0)]
     with pytest.raises(ValueError, match="no values"):
-        A.fiscal_target(A.fiscal_features(A.fiscal_by_root(rows)))
+        A.fiscal_target(A.fiscal_features(A.fiscal_by_root(rows, reg)))
+    unknown = A.fiscal_by_root(rows, reg.where("raiz = 'b'")).first()
+    assert unknown.qtd_ativos is None and A.discontinuity_by_root(rows, reg.where("raiz = 'b'")).count() == 0
+
+
+def random_inscriptions(spark, n=300):
+    rng = random.Random(2)
+    day = datetime.datetime(2020, 1, 1)
+    some = lambda x: None if rng.random() < 0.2 else x
+    rows = [(some(f"c{rng.randrange(9)}"), f"n{i}", some(rng.random() * 100), some(rng.randrange(2)), some(day + datetime.timedelta(i)), some(rng.randrange(1970, 2034)), some(rng.randrange(1, 5)), rng.choice(["garantia", "irregular", None]), "s", "r") for i in range(n)]
+    return spark.createDataFrame(rows, INSCRIPTIONS)
+
+
+def test_states_merge_to_the_whole(spark):
+    rows = random_inscriptions(spark).cache()
+    whole = A.fiscal_totals(A.fiscal_state(rows))
+    parts = A.fiscal_state(rows.where("numero_inscricao like '%1'")).unionByName(A.fiscal_state(rows.where("numero_inscricao not like '%1'")))
+    want = rows.where("raiz is not null").groupBy("raiz").agg(F.count_distinct(F.concat("ano", F.lit("-"), "trimestre")).alias("p"), F.avg("valor_consolidado").alias("m"), F.avg("indicador_ajuizado").alias("j"), F.max("data_inscricao").alias("d"), F.count_if(F.col("tipo_situacao_inscricao") == "garantia").alias("g"))
+    for got in (whole, A.fiscal_totals(A.merged_states(parts))):
+        both = got.join(want, "raiz").collect()
+        assert len(both) == 9
+        for r in both:
+            assert (r.qtd_periodos, r.dt_inscricao_max, r.qtd_garantia) == (r.p, r.d, r.g) and r.divida_media == pytest.approx(r.m) and r.pct_ajuizado == pytest.approx(r.j)
+    for year, quarter in ((1969, 4), (2034, 1), (2020, 5)):
+        with pytest.raises(Exception, match="no such quarter"):
+            A.fiscal_state(rows.limit(1).withColumns({"raiz": F.lit("a"), "ano": F.lit(year), "trimestre": F.lit(quarter)})).collect()
+
+
+def test_inscriptions_and_registry_are_shuffled_once_each(spark):
+    rows, reg = random_inscriptions(spark), spark.createDataFrame([("c1", "02", "2020-01-01", "2020-01-01"), ("c1", "08", None, None)], "raiz string, situacao_cadastral string, data_inicio_atividade string, data_situacao_cadastral string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = A.fiscal_by_root(rows, A.registry_by_root(reg))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange ") == 2 and "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning(raiz") == 2
+
+
+def test_bitmaps_unite_to_distinct_counts(spark):
+    rows = spark.createDataFrame([(k, q) for q in range(3) for k in ("00000001", "32768", "99999999", f"{q}", None, "x", "1" * 19, "000000000000000001")], "raiz string, t int")
+    maps = A.key_bitmaps(rows, "raiz", "t")
+    assert {r.t: r.chaves for r in A.bitmap_counts(maps, "t").collect()} == {0: 4, 1: 3, 2: 4} and A.bitmap_counts(maps).first().chaves == 5
+    assert A.bitmap_counts(A.key_bitmaps(rows.limit(0), "raiz")).first().chaves == 0
 
 
 def test_percentile_and_target(spark):

@@ -5,7 +5,9 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from tributary.operators.aggregates import fiscal_state, fiscal_totals
 from tributary.sources import delimited, tables
+from tributary.streaming import quarters
 from tributary.streaming.arrivals import windowed_totals
 
 
@@ -93,3 +95,49 @@ def test_stream_equals_batch(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(tuple, spark.table("totals").collect())) == sorted(map(tuple, windowed_totals(rows, "k", "v", "t").collect()))
+
+
+def test_quarters_are_refreshed_one_by_one(spark, tmp_path):
+    path, by = f"{tmp_path}/t", ["ano", "trimestre"]
+    rows = spark.createDataFrame([(i, 2024, q) for q in (1, 2, 3) for i in range(20)], "v int, ano int, trimestre int")
+    assert tables.refresh_partitions(rows.where("trimestre < 3"), path, by) == [("2024", "1"), ("2024", "2")]
+    files = lambda q: sorted(p.name for p in (tmp_path / "t/ano=2024" / f"trimestre={q}").iterdir() if p.name.startswith("part"))
+    first, second = files(1), files(2)
+    with pytest.raises(ValueError, match="2024/2"):
+        tables.refresh_partitions(rows.where("trimestre > 1"), path, by)
+    assert not (tmp_path / "t/ano=2024/trimestre=3").exists()
+    tables.refresh_partitions(rows.where("trimestre > 1").withColumn("v", -F.col("v")), path, by, force=True)
+    assert files(1) == first and files(2) != second
+    assert {r[0]: r[1] for r in spark.read.parquet(path).groupBy("trimestre").agg(F.sum("v")).collect()} == {1: 190, 2: -190, 3: -190}
+
+
+INSCRIPTIONS = "raiz string, valor_consolidado double, indicador_ajuizado int, data_inscricao timestamp, ano int, trimestre int, tipo_situacao_inscricao string"
+
+
+def test_quarters_that_arrive_one_by_one(spark, tmp_path):
+    rows = spark.createDataFrame([(f"c{i % 5}", float(i), i % 2, None, 2024 + i % 2, 1 + i % 4, "garantia") for i in range(80)], INSCRIPTIONS)
+    want = sorted(map(tuple, fiscal_totals(fiscal_state(rows)).collect()))
+    for k, (year, quarter) in enumerate((y, q) for y in (2024, 2025) for q in (1, 2, 3, 4)):
+        rows.where((F.col("ano") == year) & (F.col("trimestre") == quarter)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        if k % 3 == 0:  # ends and goes on, several times
+            quarters.follow(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in"), f"{tmp_path}/s", f"{tmp_path}/c").awaitTermination()
+    quarters.follow(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in"), f"{tmp_path}/s", f"{tmp_path}/c").awaitTermination()
+    assert sorted(map(tuple, quarters.totals(spark, f"{tmp_path}/s").collect())) == want
+    versions = sorted(p.name for p in (tmp_path / "s").iterdir())
+    assert len(versions) == 2
+    last = int(versions[-1].split("=")[1])
+    with pytest.raises(ValueError, match="no version"):
+        quarters.fold(rows, last + 2, f"{tmp_path}/s")
+    quarters.fold(rows, 0, f"{tmp_path}/old")
+    quarters.fold(rows, 1, f"{tmp_path}/old")
+    with pytest.raises(ValueError, match="begins"):
+        quarters.fold(rows, 0, f"{tmp_path}/old")
+
+
+def test_a_batch_delivered_twice_counts_once(spark, tmp_path):
+    rows = spark.createDataFrame([("c", 1.0, 1, None, 2024, q, "garantia") for q in (1, 2)], INSCRIPTIONS)
+    path = f"{tmp_path}/s"
+    quarters.fold(rows.where("trimestre = 1"), 0, path)
+    for _ in range(2):
+        quarters.fold(rows.where("trimestre = 2"), 1, path)
+    assert [(r.qtd_inscricoes, r.divida_total, r.qtd_periodos) for r in quarters.totals(spark, path).collect()] == [(2, 2.0, 2)]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.dates import SNAPSHOT, age_days
 from tributary.functions.numbers import log1p_positive, ratio, years
+from tributary.operators.joins import left_join
 
 SITUATION_CLASSES = ("irregular", "beneficio_fiscal", "negociacao", "suspenso_judicial", "garantia")
 KEY = "raiz"
@@ -23,6 +24,21 @@ def source_stats(df: DataFrame, key: str, valid: Column) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("linhas"), F.count_if(valid).alias("validas"), F.count_distinct(F.when(valid, F.col(key))).alias("chaves"))
 
 
+def key_bitmaps(df: DataFrame, key: str, *groups: str) -> DataFrame:
+    """Distinct keys of up to 18 digits per group, as bitmaps of 4 KB for each range of 32,768 keys that occurs: groups,
+    balde, mapa. They are exact, and those of several groups unite without the rows (see bitmap_counts). Keys that are no
+    such number are left out."""
+    number = F.when(F.col(key).rlike("^[0-9]{1,18}$"), F.col(key)).try_cast("long")
+    rows = df.select(*groups, number.alias("n")).where("n is not null")
+    return rows.groupBy(*groups, F.bitmap_bucket_number("n").alias("balde")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("mapa"))
+
+
+def bitmap_counts(bitmaps: DataFrame, *groups: str) -> DataFrame:
+    """Distinct keys per group (of all bitmaps without groups), united by OR: groups, chaves."""
+    united = bitmaps.groupBy(*groups, "balde").agg(F.bitmap_or_agg("mapa").alias("mapa"))
+    return united.groupBy(*groups).agg(F.coalesce(F.sum(F.bitmap_count("mapa")), F.lit(0)).cast("long").alias("chaves"))
+
+
 def duplicate_excess(df: DataFrame, *keys: str) -> DataFrame:
     """One row: rows beyond the first of their key."""
     again = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -44,17 +60,66 @@ def _situations(column: str, prefix: str) -> list[Column]:
     return [count_where(F.col(column) == s).alias(f"{prefix}qtd_{s}") for s in SITUATION_CLASSES]
 
 
-def fiscal_by_root(rows: DataFrame, key: str = KEY, value: str = "valor_consolidado", flag: str = "indicador_ajuizado", date: str = "data_inscricao", kind: str = "tipo_situacao_inscricao") -> DataFrame:
-    """One row per root of joined inscriptions; missing amounts and flags don't count in means, a sum of none is null."""
-    period = F.concat(F.col("ano").cast("string"), F.lit("-"), F.col("trimestre").cast("string"))
+#: Distinct quarters are bits of so many 64-bit words, from the first quarter of that year on.
+PERIOD_WORDS, FIRST_YEAR = 4, 1970
+
+
+def period_words(year: Column, quarter: Column) -> list[Column]:
+    """A quarter as one bit in PERIOD_WORDS words (null without year or quarter): the bits of many rows unite by bit_or, so
+    that distinct quarters are counted, and merged, without a shuffle by quarter. Quarters that have no bit are an error."""
+    year, quarter = year.cast("int"), quarter.cast("int")
+    at = (year - FIRST_YEAR) * 4 + quarter - 1
+    valid = quarter.between(1, 4) & at.between(0, 64 * PERIOD_WORDS - 1)
+    at = F.when(year.isNull() | quarter.isNull(), F.lit(None).cast("int")).when(valid, at).otherwise(F.raise_error(F.concat(F.lit("no such quarter: "), year.cast("string"), F.lit("-"), quarter.cast("string"))).cast("int"))
+    return [F.when(F.floor(at / 64) == i, F.call_function("shiftleft", F.lit(1).cast("long"), at % 64)) for i in range(PERIOD_WORDS)]
+
+
+_PERIODS = [f"periodos_{i}" for i in range(PERIOD_WORDS)]
+#: How two states of a company become one.
+_MERGE = {
+    **dict.fromkeys(["qtd_inscricoes", "soma", "com_valor", "marcas", "com_marca", "qtd_ajuizado", *(f"qtd_{s}" for s in SITUATION_CLASSES)], F.sum),
+    **dict.fromkeys(["divida_max", "dt_inscricao_max"], F.max), "dt_inscricao_min": F.min, **dict.fromkeys(_PERIODS, F.bit_or),
+}
+
+
+def fiscal_state(rows: DataFrame, key: str = KEY, value: str = "valor_consolidado", flag: str = "indicador_ajuizado", date: str = "data_inscricao", kind: str = "tipo_situacao_inscricao") -> DataFrame:
+    """One row per root of inscriptions, with what fiscal_totals needs and states can be merged by. Rows meet once, after they
+    are combined on the map side."""
+    words = period_words(F.col("ano"), F.col("trimestre"))
     return rows.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("qtd_inscricoes"), F.sum(value).cast("double").alias("divida_total"), F.avg(value).alias("divida_media"), F.max(value).cast("double").alias("divida_max"),
-        F.avg(flag).alias("pct_ajuizado"), count_where(F.col(flag) == 1).alias("qtd_ajuizado"), F.min(date).alias("dt_inscricao_min"), F.max(date).alias("dt_inscricao_max"),
-        F.count_distinct(period).cast("int").alias("qtd_periodos"), *_situations(kind, ""),
-        *(F.max(c).cast("int").alias(c) for c in ("qtd_estabelecimentos", "qtd_ativos", "qtd_inativos")), F.max("idade_empresa_dias").cast("long").alias("idade_empresa_dias"),
+        F.count(F.lit(1)).alias("qtd_inscricoes"), F.sum(F.col(value).cast("double")).alias("soma"), F.count(value).alias("com_valor"), F.max(value).cast("double").alias("divida_max"),
+        F.sum(F.col(flag).cast("long")).alias("marcas"), F.count(flag).alias("com_marca"), count_where(F.col(flag) == 1).alias("qtd_ajuizado"), F.min(date).alias("dt_inscricao_min"), F.max(date).alias("dt_inscricao_max"),
+        *(F.bit_or(w).alias(n) for w, n in zip(words, _PERIODS, strict=True)), *_situations(kind, ""),
     )
 
 
+def merged_states(states: DataFrame, key: str = KEY) -> DataFrame:
+    """States of several parts of the inscriptions, several rows per root, as the state of all of them."""
+    return states.groupBy(key).agg(*(how(c).alias(c) for c, how in _MERGE.items())).select(*states.columns)
+
+
+def fiscal_totals(state: DataFrame, key: str = KEY) -> DataFrame:
+    """The columns of a company's debts; missing amounts and flags don't count in means, a sum of none is null."""
+    periods = sum((F.bit_count(F.coalesce(n, F.lit(0).cast("long"))) for n in _PERIODS), F.lit(0))
+    return state.select(
+        key, "qtd_inscricoes", F.col("soma").alias("divida_total"), F.try_divide("soma", "com_valor").alias("divida_media"), "divida_max", F.try_divide("marcas", "com_marca").alias("pct_ajuizado"), "qtd_ajuizado",
+        "dt_inscricao_min", "dt_inscricao_max", periods.cast("int").alias("qtd_periodos"), *(f"qtd_{s}" for s in SITUATION_CLASSES),
+    )
+
+
+def _typed_registry(df: DataFrame) -> DataFrame:
+    return df.withColumns({**{c: F.col(c).cast("int") for c in ("qtd_estabelecimentos", "qtd_ativos", "qtd_inativos")}, "idade_empresa_dias": F.col("idade_empresa_dias").cast("long")})
+
+
+def fiscal_by_root(rows: DataFrame, registry: DataFrame, key: str = KEY, **columns: str) -> DataFrame:
+    """One row per root of inscriptions, with the registry's columns where it has the root.
+
+    registry has one row per root. Inscriptions are aggregated before they meet it: both sides are dealt out by root once,
+    the join moves nothing, and a company with very many inscriptions is one row in it."""
+    out = left_join(fiscal_totals(fiscal_state(rows, key, **columns), key), registry, key, ["qtd_estabelecimentos", "qtd_ativos", "qtd_inativos", "idade_empresa_dias"], match=None)
+    return _typed_registry(out)
+
+
 def fiscal_features(df: DataFrame) -> DataFrame:
     c = F.col
     return df.withColumns({
@@ -63,21 +128,22 @@ def fiscal_features(df: DataFrame) -> DataFrame:
     })
 
 
-def discontinuity_by_root(rows: DataFrame, key: str = KEY, prefix: str = "debt_", target: str = "y_descontinuidade", value: str = "valor_consolidado", flag: str = "indicador_ajuizado", date: str = "data_inscricao", kind: str = "tipo_situacao_inscricao") -> DataFrame:
-    """One row per root with registry data, and the target: no active establishment. Missing amounts count as 0."""
+def discontinuity_by_root(rows: DataFrame, registry: DataFrame, key: str = KEY, prefix: str = "debt_", target: str = "y_descontinuidade", value: str = "valor_consolidado", flag: str = "indicador_ajuizado", date: str = "data_inscricao", kind: str = "tipo_situacao_inscricao") -> DataFrame:
+    """One row per root of inscriptions that the registry has, and the target: no active establishment. Missing amounts
+    count as 0. Inscriptions are aggregated before they meet the registry, which has one row per root."""
     amount, p = F.coalesce(F.col(value), F.lit(0)), prefix
     litigated = count_where(F.col(flag) == 1)
-    valid = rows.dropna(subset=[key, "qtd_ativos", "qtd_estabelecimentos"])
-    return valid.groupBy(key).agg(
-        F.when(F.max("qtd_ativos") == 0, 1).otherwise(0).alias(target),
-        *(F.max(c).cast("int").alias(c) for c in ("qtd_estabelecimentos", "qtd_ativos", "qtd_inativos")), F.max("idade_empresa_dias").cast("long").alias("idade_empresa_dias"),
-        F.min("dt_inicio_min").alias("dt_inicio_min"), F.max("dt_inicio_max").alias("dt_inicio_max"), F.max("dt_situacao_max").alias("dt_situacao_max"),
+    debts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.count(F.lit(1)).alias(f"{p}qtd_registros"), F.count_distinct("numero_inscricao").alias(f"{p}qtd_inscricoes"),
         F.sum(amount).cast("double").alias(f"{p}divida_total"), F.avg(amount).alias(f"{p}divida_media"), F.max(amount).cast("double").alias(f"{p}divida_max"),
         litigated.alias(f"{p}qtd_ajuizadas"), (litigated / F.count(F.lit(1))).alias(f"{p}pct_ajuizadas"),
         F.count_distinct("receita_principal").cast("int").alias(f"{p}qtd_receitas_distintas"), F.count_distinct("situacao_inscricao").cast("int").alias(f"{p}qtd_situacoes_distintas"),
         F.min(date).alias("dt_inscricao_min"), F.max(date).alias("dt_inscricao_max"), *_situations(kind, p),
     )
+    known = _typed_registry(registry.dropna(subset=[key, "qtd_ativos", "qtd_estabelecimentos"])).select(
+        key, F.when(F.col("qtd_ativos") == 0, 1).otherwise(0).alias(target), "qtd_estabelecimentos", "qtd_ativos", "qtd_inativos", "idade_empresa_dias", "dt_inicio_min", "dt_inicio_max", "dt_situacao_max"
+    )
+    return known.join(debts, key)
 
 
 def discontinuity_features(df: DataFrame, prefix: str = "debt_") -> DataFrame:

@@ -139,11 +139,11 @@ def joined(debt_rows: DataFrame, registry_rows: DataFrame) -> DataFrame:
     return left_join(debt_rows, registry_rows, KEY, REGISTRY_COLUMNS, match=None)
 
 
-def fiscal_dataset(rows: DataFrame, threshold: int = 0, **kw) -> DataFrame:
-    """One row per company. The features are written into the shared folder first (see sources.staging), since the
-    percentile and the result both read them."""
-    return fiscal_target(materialize(fiscal_features(fiscal_by_root(hash_sample(rows, KEY, threshold))), "fiscal"), **kw)
+def fiscal_dataset(debt_rows: DataFrame, registry_rows: DataFrame, threshold: int = 0, **kw) -> DataFrame:
+    """One row per company with inscriptions. The features are written into the shared folder first (see sources.staging),
+    since the percentile and the result both read them."""
+    return fiscal_target(materialize(fiscal_features(fiscal_by_root(hash_sample(debt_rows, KEY, threshold), registry_rows)), "fiscal"), **kw)
 
 
-def discontinuity_dataset(rows: DataFrame, threshold: int = 0, prefix: str = "debt_") -> DataFrame:
-    return discontinuity_features(discontinuity_by_root(hash_sample(rows, KEY, threshold), prefix=prefix), prefix)
+def discontinuity_dataset(debt_rows: DataFrame, registry_rows: DataFrame, threshold: int = 0, prefix: str = "debt_") -> DataFrame:
+    return discontinuity_features(discontinuity_by_root(hash_sample(debt_rows, KEY, threshold), registry_rows, prefix=prefix), prefix)

@@ -12,8 +12,10 @@ from tributary.operators import aggregates as A
 from tributary.operators import explain, joins, lookup, metrics, models, projections, quality, ranking, sampling
 from tributary.operators.aggregates import KEY
 from tributary.plans import datasets, probes
+from tributary.sources import tables
 from tributary.sources.staging import materialize, new_folder
 from tributary.sources.tables import driver_table
+from tributary.streaming import quarters
 from tributary.streaming.arrivals import windowed_totals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -195,7 +197,7 @@ _FISCAL_REST = "raiz, qtd_inscricoes, qtd_ajuizado, dt_inscricao_min, dt_inscric
 
 
 def fiscal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return datasets.fiscal_dataset(probes.joined(spark, sf_dir))
+    return datasets.fiscal_dataset(probes.debts(spark, sf_dir), probes.registry_table(spark, sf_dir))
 
 
 @query("l_fiscal_dataset", _round_sql(_FISCAL_REST, _FISCAL_DOUBLES, "fiscal", _FISCAL, 4))
@@ -222,7 +224,7 @@ _DISC_REST = "raiz, y_descontinuidade, qtd_estabelecimentos, qtd_ativos, qtd_ina
 
 @query("l_discontinuity_dataset", _round_sql(_DISC_REST, _DISC_DOUBLES, "disc", _DISC, 4))
 def l_discontinuity_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(datasets.discontinuity_dataset(probes.joined(spark, sf_dir)), 4, 1e-7)
+    return rounded(datasets.discontinuity_dataset(probes.debts(spark, sf_dir), probes.registry_table(spark, sf_dir)), 4, 1e-7)
 
 
 @query("a_dataset_summary", f"WITH {_FISCAL} SELECT count(*) AS empresas, CAST(sum(y_risco_fiscal) AS BIGINT) AS positivas, round(avg(y_risco_fiscal), 6) AS taxa_positiva, count(*) FILTER (qtd_ativos > 0) AS com_ativos FROM fiscal")
@@ -250,6 +252,39 @@ def a_windowed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(windowed_totals(driver_table(spark, sf_dir, "events"), "user_id", "value", "ts").drop("fim"), 4)
 
 
+@query("a_streamed_quarters", f"""WITH {_DEBTS} SELECT raiz, count(*) AS qtd_inscricoes, CAST(count(DISTINCT ano || '-' || trimestre) AS INT) AS qtd_periodos, CAST(sum(CASE WHEN indicador_ajuizado = 1 THEN 1 ELSE 0 END) AS BIGINT) AS qtd_ajuizado,
+    round(sum(valor_consolidado), 2) AS divida_total, round(max(valor_consolidado), 2) AS divida_max, min(data_inscricao) AS dt_inscricao_min, max(data_inscricao) AS dt_inscricao_max, CAST(sum(CASE WHEN tipo_situacao_inscricao = 'negociacao' THEN 1 ELSE 0 END) AS BIGINT) AS qtd_negociacao
+    FROM debts WHERE raiz IS NOT NULL GROUP BY raiz""")
+def a_streamed_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarters of inscriptions that arrive as files, four files a batch, folded into one state per company."""
+    path = new_folder(spark, "quarters")
+    rows = probes.debts(spark, sf_dir)
+    tables.refresh_partitions(rows, f"{path}/in", ["ano", "trimestre"])
+    arrivals = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{path}/in")
+    quarters.follow(arrivals, f"{path}/state", f"{path}/checkpoint").awaitTermination()
+    out = quarters.totals(spark, f"{path}/state").select("raiz", "qtd_inscricoes", "qtd_periodos", "qtd_ajuizado", "divida_total", "divida_max", "dt_inscricao_min", "dt_inscricao_max", "qtd_negociacao")
+    return rounded(out, 2)
+
+
+@query("a_merged_distinct", f"""WITH {_DEBTS}, d AS (SELECT * FROM debts WHERE raiz IS NOT NULL) SELECT ano || '-' || trimestre AS periodo, count(DISTINCT raiz) AS chaves FROM d GROUP BY ALL
+    UNION ALL SELECT CAST(ano AS VARCHAR), count(DISTINCT raiz) FROM d GROUP BY ano UNION ALL SELECT 'total', count(DISTINCT raiz) FROM d""")
+def a_merged_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct companies of each quarter as bitmaps, and those of years and of all quarters united from them."""
+    maps = materialize(A.key_bitmaps(probes.debts(spark, sf_dir), "raiz", "ano", "trimestre"), "bitmaps")
+    named = ((A.bitmap_counts(maps, "ano", "trimestre"), F.concat_ws("-", "ano", "trimestre")), (A.bitmap_counts(maps, "ano"), F.col("ano").cast("string")), (A.bitmap_counts(maps), F.lit("total")))
+    return projections.unify([t.select(name.alias("periodo"), "chaves") for t, name in named])
+
+
+@query("k_quarters", f"""WITH {_DEBTS} SELECT ano, trimestre, count(*) AS linhas, round(sum(valor_consolidado * CASE WHEN ano = 1995 AND trimestre = 2 THEN 2 ELSE 1 END), 2) AS total FROM debts GROUP BY ALL""")
+def k_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All quarters written, one of them written again with other amounts: the others stay as they are."""
+    rows, path = probes.debts(spark, sf_dir).select("numero_inscricao", "valor_consolidado", "ano", "trimestre"), new_folder(spark, "by-quarter")
+    tables.refresh_partitions(rows, path, ["ano", "trimestre"])
+    again = rows.where("ano = 1995 and trimestre = 2").withColumn("valor_consolidado", 2 * F.col("valor_consolidado"))
+    tables.refresh_partitions(again, path, ["ano", "trimestre"], force=True)
+    return rounded(spark.read.parquet(path).groupBy("ano", "trimestre").agg(F.count(F.lit(1)).alias("linhas"), F.sum("valor_consolidado").alias("total")), 2)
+
+
 # ---- quality -------------------------------------------------------------------------------------------------------
 
 _CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -462,7 +497,7 @@ def m_fiscal_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def discontinuity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The discontinuity dataset over a registry where every fourth company has closed, written once."""
-    return materialize(datasets.discontinuity_dataset(probes.joined(spark, sf_dir, closed=True)), "discontinuity")
+    return materialize(datasets.discontinuity_dataset(probes.debts(spark, sf_dir), probes.registry_table(spark, sf_dir, closed=True)), "discontinuity")
 
 
 def discontinuity_model(rows: DataFrame, kind: str) -> models.TreeModel:
@@ -493,7 +528,7 @@ def x_lookup_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("l_discontinuity_target", f"WITH {_REGISTRY}, {_DEBTS} SELECT raiz, count(*) AS debt_qtd_registros, CASE WHEN CAST(raiz AS BIGINT) % 4 = 0 OR max(ativos) = 0 THEN 1 ELSE 0 END AS y_descontinuidade FROM debts JOIN (SELECT raiz AS r, count(*) FILTER (situacao_cadastral = '02') AS ativos FROM est GROUP BY raiz) ON raiz = r GROUP BY raiz")
 def l_discontinuity_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return datasets.discontinuity_dataset(probes.joined(spark, sf_dir, closed=True)).select("raiz", "debt_qtd_registros", "y_descontinuidade")
+    return datasets.discontinuity_dataset(probes.debts(spark, sf_dir), probes.registry_table(spark, sf_dir, closed=True)).select("raiz", "debt_qtd_registros", "y_descontinuidade")
 
 
 @query("x_lookup", f"""WITH {_FISCAL}, ask AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN CAST(c_custkey AS VARCHAR) WHEN c_custkey % 10 = 1 THEN lpad(CAST(c_custkey AS VARCHAR), 8, '0') || '000100' ELSE lpad(CAST(c_custkey AS VARCHAR), 8, '0') END AS pedido, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE lpad(CAST(c_custkey AS VARCHAR), 8, '0') END AS raiz FROM customer)

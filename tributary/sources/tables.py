@@ -39,6 +39,23 @@ def write_table(df: DataFrame, path: str, force: bool = False, partition_by: lis
     return rows
 
 
+def partition_values(df: DataFrame, columns: list[str]) -> set[tuple]:
+    return {tuple(r) for r in df.select(*(F.col(c).cast("string") for c in columns)).distinct().collect()}  # as many as there are folders
+
+
+def refresh_partitions(df: DataFrame, path: str, partition_by: list[str], force: bool = False) -> list[tuple]:
+    """Writes only the partitions that df has rows of, and leaves the others as they are. Without force it fails, before it
+    writes, if one of them is there already. Returns the partitions written, as text. df is read twice."""
+    spark, new = df.sparkSession, partition_values(df, partition_by)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    if there and not force and (both := sorted(new & partition_values(spark.read.parquet(path), partition_by), key=str)):
+        raise ValueError(f"{path} has already: {', '.join('/'.join(map(str, b)) for b in both)}")
+    dealt = df.hint("rebalance", *partition_by)  # a partition's rows together, large ones in several files
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*partition_by).parquet(path)
+    return sorted(new, key=str)
+
+
 def write_report(df: DataFrame, path: str, force: bool = True) -> None:
     """A small table as one CSV file with a header."""
     df.coalesce(1).write.mode("overwrite" if force else "errorifexists").option("header", True).csv(path)
