@@ -62,7 +62,7 @@ def lookup_models(requests: DataFrame, request: str, models: dict[str, tuple], k
         own = requested(check_usable(model, data, key) and data, asked, key)
         target = model.meta["target"]
         condition = F.col(target).cast("int") if target in data.columns else F.lit(None).cast("int")
-        scored = own.withColumn("__score", model.probability()) if isinstance(model, LinearModel) else model.scored(own, "__score")
+        scored = own.withColumn("__score", model.probability())
         p = model.prepared
         parts = linear_parts(p.features, p.standard(), model.coefficients) if isinstance(model, LinearModel) else tree_parts(p.features, p.filled(), p.medians, model.importances(), labels, by_value=True)
         scored = scored.select(key, F.col("__score").alias("score"), condition.alias("condicao"), strongest(parts, k).alias("fatores"))

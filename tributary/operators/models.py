@@ -5,9 +5,8 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +16,8 @@ from tributary.operators.aggregates import exact_percentiles
 from tributary.operators.checks import check_at_least, require_both_classes, require_columns, require_rows
 from tributary.operators.metrics import ranking_metrics, top_metrics
 from tributary.operators.sampling import stratified_sample, stratified_split
-from tributary.sources.staging import materialize, scratch
+from tributary.operators.trees import MOST_NODES, Node, check_nodes, node_frame, saved_nodes, tree_importances, tree_probability
+from tributary.sources.staging import materialize, new_folder, scratch
 
 
 def feature_columns(features: list[str]) -> list[Column]:
@@ -108,32 +108,38 @@ def train_linear(train: DataFrame, features: list[str], target: str, c: float =
 
 @dataclass
 class TreeModel:
+    """A tree or a forest as its nodes. fitted: the pyspark.ml model, of a model that was fitted in this session."""
+
     prepared: Prepared
-    model: object
+    nodes: list[Node]
     meta: dict
+    fitted: object = None
+
+    def probability(self) -> Column:
+        return tree_probability(self.nodes, self.prepared.filled())
 
     def scored(self, df: DataFrame, score: str) -> DataFrame:
-        names = [f"__f{i}" for i in range(len(self.prepared.features))]
-        rows = df.withColumns(dict(zip(names, self.prepared.filled(), strict=True)))
-        out = self.model.transform(VectorAssembler(inputCols=names, outputCol="__x").transform(rows))
-        return out.withColumn(score, vector_to_array(out.probability)[1]).select(*df.columns, score)
+        return df.withColumn(score, self.probability()).select(*df.columns, score)
 
     def importances(self) -> list[float]:
-        return [float(x) for x in self.model.featureImportances.toArray()]
+        spark = SparkSession.active()
+        found = {r[0]: r[1] for r in tree_importances(node_frame(spark, self.nodes)).collect()}  # a row per feature
+        return [float(found.get(i) or 0.0) for i in range(len(self.prepared.features))]
 
     def save(self, spark: SparkSession, path: str, force: bool = False) -> None:
-        writer = self.model.write()
-        (writer.overwrite() if force else writer).save(f"{path}/model")
+        mode = "overwrite" if force else "errorifexists"
+        node_frame(spark, self.nodes).coalesce(1).write.mode(mode).parquet(f"{path}/nodes")
         meta = json.dumps({"prepared": asdict(self.prepared), "meta": self.meta})
-        spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite" if force else "errorifexists").parquet(f"{path}/meta")
+        spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode(mode).parquet(f"{path}/meta")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> TreeModel:
         raw = json.loads(spark.read.parquet(f"{path}/meta").first()[0])
         if gone := {"prepared", "meta"} - raw.keys():
             raise ValueError(f"no usable model, it lacks: {', '.join(sorted(gone))}")
-        kind = DecisionTreeClassificationModel if raw["meta"]["kind"] == "tree" else RandomForestClassificationModel
-        return TreeModel(Prepared(**raw["prepared"]), kind.load(f"{path}/model"), raw["meta"])
+        prepared = Prepared(**raw["prepared"])
+        nodes = [Node(*r) for r in spark.read.parquet(f"{path}/nodes").limit(MOST_NODES).collect()]
+        return TreeModel(prepared, check_nodes(sorted(nodes), len(prepared.features)), raw["meta"])
 
 
 def train_tree(train: DataFrame, features: list[str], target: str, kind: str = "tree", depth: int = 12, leaf: int | None = None, trees: int = 300, balanced: bool = True, seed: int = 42, leaking: list[str] = ()) -> TreeModel:
@@ -151,8 +157,12 @@ def train_tree(train: DataFrame, features: list[str], target: str, kind: str = "
     common = {"featuresCol": "__x", "labelCol": "__y", "weightCol": "__w", "maxDepth": depth, "minInstancesPerNode": leaf, "maxBins": 256, "seed": seed}
     made = DecisionTreeClassifier(**common) if kind == "tree" else RandomForestClassifier(**common, numTrees=trees, featureSubsetStrategy="sqrt")
     meta = {"kind": kind, "target": target, "excluded": list(leaking), "parameters": {"depth": depth, "leaf": leaf, "trees": trees if kind == "rf" else 1, "balanced": balanced, "seed": seed}}
-    # The copy has no training summary: that holds the session, which a scoring job cannot be sent once it has observed something.
-    return TreeModel(p, made.fit(data).copy(), meta)
+    fitted = made.fit(data)
+    with scratch():
+        path = new_folder(train.sparkSession, "fitted-tree")
+        fitted.save(path)
+        nodes = check_nodes(saved_nodes(train.sparkSession, path), len(features))
+    return TreeModel(p, nodes, meta, fitted)
 
 
 def train_choice(train: DataFrame, features: list[str], target: str, choice: str = "both", **kw) -> dict[str, TreeModel]:
@@ -161,6 +171,27 @@ def train_choice(train: DataFrame, features: list[str], target: str, choice: str
     return {k: train_tree(train, features, target, kind=k, **kw) for k in (("tree", "rf") if choice == "both" else (choice,))}
 
 
+def optimality(model: LinearModel, train: DataFrame) -> DataFrame:
+    """How far a fitted linear model is from the optimum of its objective: variavel, coeficiente, gradiente, residuo.
+
+    gradiente: of the weighted mean loss and the ridge part, at the coefficients, in one aggregation over the training rows.
+    residuo: the distance of 0 from the gradient and the subgradients of the lasso part, 0 for all features (and the
+    intercept, which has no penalty) at the optimum and nowhere else."""
+    p, how = model.prepared, model.meta["parameters"]
+    target = model.meta["target"]
+    rows = class_weights(train.where(F.col(target).isNotNull()), target, how["balanced"])
+    x = [c.alias(f"x{i}") for i, c in enumerate(p.standard())]
+    slope = F.col("__w") * (model.probability() - F.col(target))
+    cols = rows.select(*x, slope.alias("d"), "__w")
+    sums = cols.agg(F.count(F.lit(1)), F.sum("__w"), F.sum("d"), *(F.sum(F.col("d") * F.col(f"x{i}")) for i in range(len(x)))).first()
+    strength, ratio_ = 1 / (how["c"] * sums[0]), how["l1_ratio"]
+    out = [("(intercepto)", model.intercept, sums[2] / sums[1], abs(sums[2] / sums[1]))]
+    for name, b, g in zip(p.features, model.coefficients, sums[3:], strict=True):
+        g, lasso = g / sums[1] + strength * (1 - ratio_) * b, strength * ratio_
+        out.append((name, b, g, abs(g + lasso * (1 if b > 0 else -1)) if b else max(0.0, abs(g) - lasso)))
+    return train.sparkSession.createDataFrame(out, "variavel string, coeficiente double, gradiente double, residuo double")
+
+
 def score(df: DataFrame, model: LinearModel | TreeModel, key: str, name: str = "score", keep: list[str] = (), need_rows: bool = False) -> DataFrame:
     """key, the columns of keep that there are (such as the target), and the probability. need_rows: a job first sees
     that there are any."""
@@ -168,7 +199,7 @@ def score(df: DataFrame, model: LinearModel | TreeModel, key: str, name: str = "
     if need_rows:
         require_rows(df)
     keep = [c for c in keep if c in df.columns]
-    out = df.withColumn(name, model.probability()) if isinstance(model, LinearModel) else model.scored(df, name)
+    out = df.withColumn(name, model.probability())
     return out.select(key, *keep, name)
 
 
