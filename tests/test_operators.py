@@ -261,6 +261,22 @@ def test_lookup_of_two_models(spark, labelled):
     assert both.count() == 0 and "um_limitacao" in both.columns
 
 
+def test_running_keeps_other_columns(spark):
+    df = spark.range(50).select("id", F.lit(7).alias("__part"), F.lit(8).alias("place_off"), (F.col("id") % 3).alias("v"))
+    got = ranking.running(df, [F.col("id").asc()], {"soma": F.col("v")}).orderBy("id").collect()
+    assert [(r.place, r.soma, r["__part"], r.place_off) for r in got] == [(i + 1, sum(k % 3 for k in range(i + 1)), 7, 8) for i in range(50)]
+    with pytest.raises(ValueError, match="posicao"):
+        ranking.ranked(df.withColumn("posicao", F.lit(1)), "v", "id")
+
+
+def test_features_without_values_are_left_out_and_named(spark, labelled):
+    rows = labelled.withColumn("vazia", F.lit(None).cast("double"))
+    for m in (models.train_linear(rows, ["a", "vazia", "b"], "y"), models.train_tree(rows, ["vazia", "a", "b"], "y", depth=2, leaf=5)):
+        assert m.prepared.features == ["a", "b"] and m.meta["empty"] == ["vazia"] and models.score(rows, m, "id").count() == rows.count()
+    with pytest.raises(ValueError, match="no feature"):
+        models.train_linear(rows, ["vazia"], "y")
+
+
 def test_strongest_breaks_ties_by_order(spark):
     part = lambda n, c: F.struct(F.lit(n).alias("variavel"), F.lit(c).alias("contribuicao"))
     got = spark.range(1).select(explain.strongest([part("a", 1.0), part("b", -3.0), part("c", -1.0)], 2).alias("f")).first().f

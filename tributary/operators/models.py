@@ -47,9 +47,13 @@ class Prepared:
 
 
 def prepare(train: DataFrame, features: list[str]) -> Prepared:
-    """Exact medians, then means and deviations in one aggregation. train is read three times: give a table, not a long chain."""
+    """Exact medians, then means and deviations in one aggregation. Features without any value are left out (see `empty` in a
+    model's meta); none at all is an error. train is read three times: give a table, not a long chain."""
     found = exact_percentiles(train.select(*feature_columns(features)), features, [0.5])
-    out = Prepared(features, [found[c][0] or 0.0 for c in features])
+    features = [c for c in features if found[c][0] is not None]
+    if not features:
+        raise ValueError("no feature has any value")
+    out = Prepared(features, [found[c][0] for c in features])
     filled = train.select(*(c.alias(n) for c, n in zip(out.filled(), features, strict=True)))
     moments = filled.agg(*(x for c in features for x in (F.avg(c), F.stddev_pop(c)))).first()
     out.means, out.deviations = [float(x) for x in moments[::2]], [float(x) for x in moments[1::2]]
@@ -98,11 +102,12 @@ def train_linear(train: DataFrame, features: list[str], target: str, c: float =
         raise ValueError("c must be above 0 and l1_ratio between 0 and 1")
     check_features(features, leaking)
     require_both_classes(require_columns(train, [*features, target]), target)
-    p = prepare(train, features)
+    asked, p = features, prepare(train, features)
+    features = p.features
     rows = class_weights(train.where(F.col(target).isNotNull()), target, balanced).select(*(x.alias(n) for x, n in zip(p.standard(), features, strict=True)), F.col(target).cast("double").alias("__y"), "__w")
     data = VectorAssembler(inputCols=features, outputCol="__x").transform(rows).select("__x", "__y", "__w")
     m = LogisticRegression(featuresCol="__x", labelCol="__y", weightCol="__w", elasticNetParam=l1_ratio, regParam=1 / (c * data.count()), maxIter=max_iter, tol=tol, standardization=False).fit(data)
-    meta = {"target": target, "excluded": list(leaking), "parameters": {"c": c, "l1_ratio": l1_ratio, "max_iter": max_iter, "tol": tol, "balanced": balanced}}
+    meta = {"target": target, "excluded": list(leaking), "empty": [c for c in asked if c not in features], "parameters": {"c": c, "l1_ratio": l1_ratio, "max_iter": max_iter, "tol": tol, "balanced": balanced}}
     return LinearModel(p, [float(x) for x in m.coefficients.toArray()], float(m.intercept), meta)
 
 
@@ -151,18 +156,20 @@ def train_tree(train: DataFrame, features: list[str], target: str, kind: str = "
         check_at_least(value, 1, name)
     check_features(features, leaking)
     require_both_classes(require_columns(train, [*features, target]), target)
-    p = prepare(train, features)
+    asked, p = features, prepare(train, features)
+    features = p.features
     rows = class_weights(train.where(F.col(target).isNotNull()), target, balanced).select(*(x.alias(n) for x, n in zip(p.filled(), features, strict=True)), F.col(target).cast("double").alias("__y"), "__w")
     data = VectorAssembler(inputCols=features, outputCol="__x").transform(rows).select("__x", "__y", "__w")
     common = {"featuresCol": "__x", "labelCol": "__y", "weightCol": "__w", "maxDepth": depth, "minInstancesPerNode": leaf, "maxBins": 256, "seed": seed}
     made = DecisionTreeClassifier(**common) if kind == "tree" else RandomForestClassifier(**common, numTrees=trees, featureSubsetStrategy="sqrt")
-    meta = {"kind": kind, "target": target, "excluded": list(leaking), "parameters": {"depth": depth, "leaf": leaf, "trees": trees if kind == "rf" else 1, "balanced": balanced, "seed": seed}}
+    meta = {"kind": kind, "target": target, "excluded": list(leaking), "empty": [c for c in asked if c not in features], "parameters": {"depth": depth, "leaf": leaf, "trees": trees if kind == "rf" else 1, "balanced": balanced, "seed": seed}}
     fitted = made.fit(data)
     with scratch():
         path = new_folder(train.sparkSession, "fitted-tree")
         fitted.save(path)
         nodes = check_nodes(saved_nodes(train.sparkSession, path), len(features))
-    return TreeModel(p, nodes, meta, fitted)
+    # The copy has no training summary: that holds the session, which a scoring job cannot be sent once it has observed something.
+    return TreeModel(p, nodes, meta, fitted.copy())
 
 
 def train_choice(train: DataFrame, features: list[str], target: str, choice: str = "both", **kw) -> dict[str, TreeModel]:

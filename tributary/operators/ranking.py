@@ -22,7 +22,8 @@ def score_buckets(df: DataFrame, score: str, buckets: int = BUCKETS) -> DataFram
 
 
 def ranked(df: DataFrame, score: str, key: str) -> DataFrame:
-    """df with `posicao`: 1 for the best score, ties by key. Rows without a score are left out.
+    """df with `posicao`: 1 for the best score, ties by key. Rows without a score are left out; an own column `posicao` is an
+    error.
 
     Tasks get ranges of score and key together, so that a score which very many rows share is split by key.
     """

@@ -50,7 +50,7 @@ def m_tree_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     for kind in ("tree", "rf"):
         m = models.train_tree(rows, names, target, kind=kind, depth=5, leaf=5, trees=20, balanced=False)
         filled = rows.select(m.probability().alias("p"), *(c.alias(n) for c, n in zip(m.prepared.filled(), names, strict=True)))
-        other = m.fitted.copy().transform(VectorAssembler(inputCols=names, outputCol="__x").transform(filled)).withColumn("q", vector_to_array("probability")[1])
+        other = m.fitted.transform(VectorAssembler(inputCols=names, outputCol="__x").transform(filled)).withColumn("q", vector_to_array("probability")[1])
         n, total, far = other.agg(F.count(F.lit(1)), F.round(F.sum("p"), 6), F.max(F.abs(F.col("p") - F.col("q")))).first()
         same = all(abs(a - b) < 1e-9 for a, b in zip(m.importances(), m.fitted.featureImportances.toArray(), strict=True))
         by = {(x.arvore, x.no): x for x in m.nodes}
@@ -66,7 +66,7 @@ def m_linear_optimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fiscal model, learned to the end: no feature's gradient is away from the optimum by more than a hundredth of the
     penalty's own size. The objective is strictly convex, so no other coefficients would pass."""
     rows = fiscal(spark, sf_dir)
-    m = models.train_linear(rows, datasets.FISCAL_FEATURES, "y_risco_fiscal", c=0.01, tol=1e-12, max_iter=1000, leaking=datasets.FISCAL_LEAKING)
+    m = models.train_linear(rows, datasets.FISCAL_FEATURES, "y_risco_fiscal", c=0.01, tol=1e-10, max_iter=500, leaking=datasets.FISCAL_LEAKING)
     n = rows.count()
     return models.optimality(m, rows).select("variavel", (F.col("residuo") <= 0.01 / (0.01 * n)).alias("otima"), F.lit(n).cast("long").alias("linhas"))
 
