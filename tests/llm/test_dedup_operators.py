@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm import exact_dedup as X
 from tributary.llm import setsketch as S
+from tributary.llm.common import FILE, file_rows
 from tributary.llm.components import connected_components
 from tributary.llm.exact_dedup import exact_dedup, misra_gries
 from tributary.llm.line_dedup import line_dedup
@@ -289,3 +290,13 @@ def test_near_dedup_of_long_texts_and_repeated_ids(spark):
     assert [r.component_id for r in got if r.doc_id == 100] == [100] * 3
     with pytest.raises(ValueError, match="80"):
         near_dedup(frame(spark, docs), percent=70)
+
+
+def test_columns_named_like_addresses_are_plain_columns(spark):
+    """__file and __at of the user stay in `doc` and address nothing, even where they repeat."""
+    text = "one two three four five six\n" * 12
+    rows = spark.createDataFrame([(i, text + f"end {i}", 1, 1) for i in range(4)], "doc_id long, text string, __file long, __at long")
+    got = line_dedup(rows).select("doc.doc_id", "doc.__file", "doc.__at", "lines_removed").collect()
+    assert sorted((r.doc_id, r["__file"], r["__at"], r.lines_removed > 0) for r in got) == [(i, 1, 1, i > 0) for i in range(4)]
+    with pytest.raises(ValueError, match="reserved"):
+        file_rows(rows.withColumn(FILE, F.lit(1)))

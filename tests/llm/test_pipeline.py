@@ -124,3 +124,14 @@ def test_stages(spark):
         taken[d.source] = taken.get(d.source, 0) + d.words
         assert size(d.text) == d.words and own[d.doc_id].text.startswith(d.text) and 0 <= d.epoch < 3
     assert all(abs(taken.get(s, 0) - t) <= 0.5 for s, t in brute_targets(sizes).items())
+
+
+def test_stages_can_be_composed_lazily(spark):
+    """A stage whose input still reads what the stage before it left keeps that."""
+    docs = table(spark, DATA, "documents").where("doc_id < 60")
+    want = lazy = docs
+    for name, stage in P.STAGES[1:]:
+        want = materialize(stage(spark, want, DATA), f"want-{name}")
+    for _, stage in P.STAGES[1:]:
+        lazy = stage(spark, lazy, DATA)
+    assert sorted(map(str, lazy.collect())) == sorted(map(str, want.collect()))

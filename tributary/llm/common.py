@@ -28,12 +28,16 @@ def small_batches(spark: SparkSession, size: str = "2m") -> None:
         spark.conf.set(_ARROW_BYTES, size)
 
 
-FILE, AT = "__file", "__at"
+#: Reserved names: a table that has both is taken for one with addresses.
+FILE, AT = "__tributary_file", "__tributary_at"
 
 
 def file_rows(docs: DataFrame) -> DataFrame:
     """docs with FILE and AT, a row's address: a hash of its file and its place there. It is the same whenever the files
-    are read, on any cluster. docs must come straight from Parquet files: selected and filtered only."""
+    are read, on any cluster. docs must come straight from Parquet files: selected and filtered only. Own columns of those
+    names are an error."""
+    if {FILE, AT} & set(docs.columns):
+        raise ValueError(f"{FILE} and {AT} are reserved names of columns")
     return docs.select("*", F.xxhash64("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(AT))
 
 
