@@ -2,8 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and returns the documents that it keeps, with the columns of documents; the last
 adds epoch (0, 1, ...: the document's repeats) and words (how many of its words that repeat gives). What a stage writes
-for itself into the shared folder is deleted by the next one, since its result has been written and read again by then;
-so the stages of one thread run one after the other.
+for itself into the shared folder is deleted by the first later stage whose input does not read it: at once where results
+are written and read again, as run() does, and when the application ends where stages are composed lazily.
 
 All stages: a table without rows gives none; repeated rows are documents of their own, each judged by itself unless the
 stage is about repeats; null and empty texts and very long ones are ordinary rows, read whole; documents may have further
@@ -30,12 +30,20 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 _LEFT = threading.local()
 
 
+def unread(left: list, docs: DataFrame) -> list:
+    """Takes those tables out of the list that docs do not read any more."""
+    read = {part for f in docs.inputFiles() for part in f.split("/")} if left else set()
+    done = [t for t in left if t[1].rstrip("/").rsplit("/", 1)[1] not in read]
+    left[:] = [t for t in left if t not in done]
+    return done
+
+
 def stage(f):
-    """Deletes what the stage before has left in the shared folder, and keeps account of what this one leaves."""
+    """Deletes what stages before have left in the shared folder and docs don't need, and keeps account of what this one leaves."""
 
     @wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        delete(_LEFT.__dict__.setdefault("tables", []))
+        delete(unread(_LEFT.__dict__.setdefault("tables", []), docs))
         with scratch() as own:
             out = f(spark, docs, sf_dir)
             _LEFT.tables.extend(own)
