@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from tributary.operators import lookup, sampling
 from tributary.operators.aggregates import fiscal_state, fiscal_totals
 from tributary.sources import delimited, tables
 from tributary.streaming import quarters
@@ -141,3 +142,42 @@ def test_a_batch_delivered_twice_counts_once(spark, tmp_path):
     for _ in range(2):
         quarters.fold(rows.where("trimestre = 2"), 1, path)
     assert [(r.qtd_inscricoes, r.divida_total, r.qtd_periodos) for r in quarters.totals(spark, path).collect()] == [(2, 2.0, 2)]
+
+
+def scanned(df):
+    """Rows that the scans of a plan gave, after it has run."""
+    df.collect()
+    plan, out = df._jdf.queryExecution().executedPlan(), []
+    plan = plan.executedPlan() if "AdaptiveSparkPlan" in plan.getClass().getName() else plan
+    leaves = plan.collectLeaves()
+    for i in range(leaves.size()):
+        node = leaves.apply(i)
+        node = node.plan().collectLeaves().apply(0) if "QueryStage" in node.getClass().getName() else node
+        if "FileSourceScan" in node.getClass().getName():
+            out.append(node.metrics().apply("numOutputRows").value())
+    return sum(out)
+
+
+def test_lookups_read_few_row_groups(spark, tmp_path):
+    data = spark.range(20_000).select(F.lpad(F.col("id").cast("string"), 8, "0").alias("raiz"), F.col("id").alias("v"))
+    tables.write_clustered(data, f"{tmp_path}/t", "raiz", group_rows=500)
+    ask = lambda keys: spark.createDataFrame([(k,) for k in keys], "k string")
+    few = lookup.pruned(spark.read.parquet(f"{tmp_path}/t"), "raiz", lookup.requests_of(ask(["00000007", "00012345", "99999999", "x", None]), "k"))
+    assert sorted(r.v for r in few.collect()) == [7, 12345] and scanned(few) <= 2 * 500
+    near = lookup.pruned(spark.read.parquet(f"{tmp_path}/t"), "raiz", lookup.requests_of(ask([f"{i:08}" for i in range(3000, 4000, 3)]), "k"))  # more than there are conditions
+    assert near.count() >= 334 and scanned(near) <= 1500
+    got = {r.pedido: (r.status, r.v) for r in lookup.lookup_stored(ask(["00000007", "x", "99999999"]), "k", f"{tmp_path}/t", "raiz", ["v"]).collect()}
+    assert got == {"00000007": ("ok", 7), "x": ("invalid_key", None), "99999999": ("unavailable", None)}
+    assert lookup.pruned(data, "raiz", lookup.requests_of(ask(["x"]), "k")).count() == 0
+
+
+def test_sample_of_row_groups(spark, tmp_path):
+    rows = spark.range(1000).select("id", F.concat(F.lit("t"), "id").alias("t"), F.timestamp_seconds("id").alias("when"))
+    for k in range(2):
+        rows.where(f"id % 2 = {k}").coalesce(1).write.option("parquet.block.row.count.limit", 100).parquet(f"{tmp_path}/in/p={k}")
+    got = sampling.row_group_sample(spark, f"{tmp_path}/in", 7, 3, ["id", "t", "when"])
+    # Groups 0, 4 (half to even) and 9 of ten.
+    assert sorted(r.id for r in got.collect()) == [0, 2, 4, 800, 801, 802, 804] and [f.dataType for f in got.schema] == [f.dataType for f in rows.schema]
+    assert all(r.t == f"t{r.id}" and r.when.timestamp() == r.id for r in got.collect())
+    assert sampling.row_group_sample(spark, f"{tmp_path}/in", 0, 3).count() == 0 and sampling.row_group_sample(spark, f"{tmp_path}/in", 5000, 99, ["id"]).count() == 1000
+    assert scanned(got) <= 10  # the table of row groups, not the rows

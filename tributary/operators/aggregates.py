@@ -64,14 +64,19 @@ def _situations(column: str, prefix: str) -> list[Column]:
 PERIOD_WORDS, FIRST_YEAR = 4, 1970
 
 
-def period_words(year: Column, quarter: Column) -> list[Column]:
-    """A quarter as one bit in PERIOD_WORDS words (null without year or quarter): the bits of many rows unite by bit_or, so
-    that distinct quarters are counted, and merged, without a shuffle by quarter. Quarters that have no bit are an error."""
+def period_number(year: Column, quarter: Column) -> Column:
+    """Quarters since the first one of FIRST_YEAR; null without year or quarter. Quarters that have no bit are an error."""
     year, quarter = year.cast("int"), quarter.cast("int")
     at = (year - FIRST_YEAR) * 4 + quarter - 1
-    valid = quarter.between(1, 4) & at.between(0, 64 * PERIOD_WORDS - 1)
-    at = F.when(year.isNull() | quarter.isNull(), F.lit(None).cast("int")).when(valid, at).otherwise(F.raise_error(F.concat(F.lit("no such quarter: "), year.cast("string"), F.lit("-"), quarter.cast("string"))).cast("int"))
-    return [F.when(F.floor(at / 64) == i, F.call_function("shiftleft", F.lit(1).cast("long"), at % 64)) for i in range(PERIOD_WORDS)]
+    wrong = F.raise_error(F.concat(F.lit("no such quarter: "), year.cast("string"), F.lit("-"), quarter.cast("string"))).cast("int")
+    return F.when(~quarter.between(1, 4) | ~at.between(0, 64 * PERIOD_WORDS - 1), wrong).otherwise(at)
+
+
+def period_words(number: str) -> list[Column]:
+    """A quarter's number as one bit in PERIOD_WORDS words: the bits of many rows unite by bit_or, so that distinct quarters
+    are counted, and merged, without a shuffle by quarter."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col(number).bitwiseAND(63))
+    return [F.when(F.shiftright(number, 6) == i, bit) for i in range(PERIOD_WORDS)]
 
 
 _PERIODS = [f"periodos_{i}" for i in range(PERIOD_WORDS)]
@@ -85,11 +90,12 @@ _MERGE = {
 def fiscal_state(rows: DataFrame, key: str = KEY, value: str = "valor_consolidado", flag: str = "indicador_ajuizado", date: str = "data_inscricao", kind: str = "tipo_situacao_inscricao") -> DataFrame:
     """One row per root of inscriptions, with what fiscal_totals needs and states can be merged by. Rows meet once, after they
     are combined on the map side."""
-    words = period_words(F.col("ano"), F.col("trimestre"))
-    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("qtd_inscricoes"), F.sum(F.col(value).cast("double")).alias("soma"), F.count(value).alias("com_valor"), F.max(value).cast("double").alias("divida_max"),
+    # What the aggregates use more than once is made in a projection of its own, so that it is made once.
+    made = rows.where(F.col(key).isNotNull()).select(key, F.col(value).cast("double").alias("v"), flag, date, kind, period_number(F.col("ano"), F.col("trimestre")).alias("p"))
+    return made.groupBy(key).agg(
+        F.count(F.lit(1)).alias("qtd_inscricoes"), F.sum("v").alias("soma"), F.count("v").alias("com_valor"), F.max("v").alias("divida_max"),
         F.sum(F.col(flag).cast("long")).alias("marcas"), F.count(flag).alias("com_marca"), count_where(F.col(flag) == 1).alias("qtd_ajuizado"), F.min(date).alias("dt_inscricao_min"), F.max(date).alias("dt_inscricao_max"),
-        *(F.bit_or(w).alias(n) for w, n in zip(words, _PERIODS, strict=True)), *_situations(kind, ""),
+        *(F.bit_or(w).alias(n) for w, n in zip(period_words("p"), _PERIODS, strict=True)), *_situations(kind, ""),
     )
 
 

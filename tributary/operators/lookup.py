@@ -23,6 +23,31 @@ def requested(data: DataFrame, asked: DataFrame, key: str) -> DataFrame:
     return data.join(asked.select(F.col("raiz_pedida").alias(key)).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
 
 
+#: Requested keys that are pushed to a scan, and conditions they become at most (more would be too much generated code).
+PUSHED_KEYS, CONDITIONS = 100_000, 32
+
+
+def pruned(data: DataFrame, key: str, asked: DataFrame) -> DataFrame:
+    """data without row groups that no request can be in, where data is a table written by write_clustered: the requested keys
+    go to the scan as equalities, or, if they are many, as ranges of keys next to each other. More requests than PUSHED_KEYS
+    read all of data. What is left may have other keys too."""
+    found = sorted(r[0] for r in asked.select("raiz_pedida").where("raiz_pedida is not null").distinct().limit(PUSHED_KEYS + 1).collect())
+    if len(found) > PUSHED_KEYS:
+        return data
+    size = max(1, -(-len(found) // CONDITIONS))
+    ranges = [(found[i], found[min(i + size, len(found)) - 1]) for i in range(0, len(found), size)]
+    tests = [F.col(key) == low if low == high else F.col(key).between(low, high) for low, high in ranges] or [F.lit(False)]
+    while len(tests) > 1:  # a balanced tree of ORs
+        tests = [a | b for a, b in zip(tests[::2], tests[1::2], strict=False)] + tests[len(tests) // 2 * 2 :]
+    return data.where(tests[0])
+
+
+def lookup_stored(requests: DataFrame, request: str, path: str, key: str, columns: list[str]) -> DataFrame:
+    """lookup in a table that write_clustered has written: row groups without a requested key are not read."""
+    data = requests.sparkSession.read.parquet(path)
+    return lookup(requests, request, pruned(data, key, requests_of(requests, request)), key, columns)
+
+
 def attach(asked: DataFrame, data: DataFrame, key: str, columns: list[str], prefix: str = "") -> DataFrame:
     """asked with `status` and the columns of data, all under the prefix; null unless ok.
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tributary.operators.checks import check_fraction
 from tributary.operators.running import running
+from tributary.sources.delimited import FILES_A_TASK, listed, open_stream, reached_by_python
 
 
 def hash_slot(key: Column, slots: int = 1000) -> Column:
@@ -50,6 +55,51 @@ def systematic_sample(df: DataFrame, rows: int, blocks: int, block_rows: int) ->
     return out.where(F.col("__take") < rows).drop("__file", "__block", "__at", "__n", "__take")
 
 
+def footers(batches):
+    """A row for each row group of the files, from their footers alone."""
+    for b in batches:
+        for path in b.column(0).to_pylist():
+            with open_stream(path) as f:
+                meta = pq.ParquetFile(f).metadata
+                sizes = [meta.row_group(i).num_rows for i in range(meta.num_row_groups)]
+            yield pa.RecordBatch.from_arrays([pa.array([path] * len(sizes), pa.string()), pa.array(range(len(sizes)), pa.int32()), pa.array(sizes, pa.int64())], ["arquivo", "grupo", "linhas"])
+
+
+def first_of_groups(batches, columns: list[str], schema: pa.Schema, each: int, rows: int):
+    """The first rows of each chosen row group; nothing else of its file is read."""
+    for b in batches:
+        for path, group, number in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            most = min(each, rows - number * each)
+            with open_stream(path) as f:
+                part = next(pq.ParquetFile(f).iter_batches(batch_size=most, row_groups=[group], columns=columns), None) if most > 0 else None
+            if part is not None:
+                yield from pa.Table.from_batches([part]).select(columns).cast(schema).to_batches()
+
+
+def row_group_sample(spark: SparkSession, path: str, rows: int, groups: int, columns: list[str] | None = None) -> DataFrame:
+    """systematic_sample over the row groups that Parquet files have: the first ceil(rows / groups) rows of evenly spread
+    ones, at most `rows` in all. Tasks read the footers, then of each chosen group its first pages; other groups and
+    columns are not touched. Files in the order of their paths; empty groups count. The files have to be where Python
+    reaches them; elsewhere use systematic_sample, whose blocks have a fixed number of rows."""
+    schema = spark.read.parquet(path).schema
+    columns = columns or schema.names
+    kept = T.StructType([schema[c] for c in columns])
+    files = listed(spark, path, "*.parquet")
+    one = files.select("arquivo").first()
+    if one is not None and not reached_by_python(one[0]):
+        raise ValueError(f"{path} is not within Python's reach")
+    found = files.select("arquivo").repartition(max(1, -(-files.count() // FILES_A_TASK))).mapInArrow(footers, "arquivo string, grupo int, linhas long")
+    placed = running(found, [F.col("arquivo").asc(), F.col("grupo").asc()], {}, "row-groups")
+    chosen = even_indices(groups, placed.count())
+    if not chosen or rows < 1:
+        return spark.createDataFrame([], kept)
+    each = -(-rows // len(chosen))
+    number = F.array_position(F.array(*(F.lit(i + 1).cast("long") for i in chosen)), F.col("place")).cast("int") - 1
+    take = placed.select("arquivo", "grupo", number.alias("numero")).where("numero >= 0").repartition(len(chosen))  # a row per chosen group
+    target = to_arrow_schema(kept)
+    return take.mapInArrow(lambda it: first_of_groups(it, columns, target, each, rows), kept)
+
+
 def _order(key: str, seed: int) -> list[Column]:
     return [F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary")), F.col(key)]
 

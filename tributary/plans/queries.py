@@ -356,6 +356,27 @@ def q_systematic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.systematic_sample(driver_table(spark, sf_dir, "events").select("event_id", "user_id", "_metadata"), 1000, 10, 5000).drop("_metadata")
 
 
+@query("q_row_group_sample", """WITH e AS (SELECT event_id, user_id, event_id % 4 AS f, row_number() OVER (PARTITION BY event_id % 4 ORDER BY event_id) - 1 AS pos FROM events),
+    g AS (SELECT *, dense_rank() OVER (ORDER BY f, pos // 500) - 1 AS g FROM e), n AS (SELECT max(g) + 1 AS groups FROM g),
+    c AS (SELECT row_number() OVER (ORDER BY b) - 1 AS n, b, count(*) OVER () AS chosen FROM (SELECT DISTINCT CAST(CASE WHEN groups <= 7 THEN i ELSE round_even(i * (groups - 1) / 6, 0) END AS BIGINT) AS b FROM n, (SELECT unnest(range(0, 7)) AS i) WHERE i < groups))
+    SELECT event_id, user_id FROM g JOIN c ON g = b WHERE pos % 500 < ceil(100 / chosen) AND n * ceil(100 / chosen) + pos % 500 < 100""")
+def q_row_group_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample from the row groups of four files of events."""
+    rows, path = driver_table(spark, sf_dir, "events").withColumn("f", F.col("event_id") % 4), new_folder(spark, "events")
+    rows.repartition("f").sortWithinPartitions("f", "event_id").write.option("parquet.block.row.count.limit", 500).partitionBy("f").parquet(path)
+    return sampling.row_group_sample(spark, path, 100, 7, ["event_id", "user_id"])
+
+
+@query("x_lookup_stored", f"""WITH {_FISCAL} SELECT CAST(s_suppkey AS VARCHAR) AS pedido, NULL AS raiz, 'invalid_key' AS status, NULL AS qtd_inscricoes, NULL AS y_risco_fiscal FROM supplier WHERE s_suppkey % 10 = 0
+    UNION ALL SELECT lpad(CAST(s_suppkey AS VARCHAR), 8, '0'), lpad(CAST(s_suppkey AS VARCHAR), 8, '0'), CASE WHEN raiz IS NULL THEN 'unavailable' ELSE 'ok' END, qtd_inscricoes, y_risco_fiscal FROM supplier LEFT JOIN fiscal ON raiz = lpad(CAST(s_suppkey AS VARCHAR), 8, '0') WHERE s_suppkey % 10 <> 0""")
+def x_lookup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' numbers looked up in a stored table that is clustered by root."""
+    tables.write_clustered(fiscal(spark, sf_dir), path := new_folder(spark, "by-root"), "raiz", group_rows=10_000)
+    key = F.col("s_suppkey").cast("string")
+    ask = driver_table(spark, sf_dir, "supplier").select(F.when(F.col("s_suppkey") % 10 == 0, key).otherwise(F.lpad(key, 8, "0")).alias("pedido"))
+    return lookup.lookup_stored(ask, "pedido", path, "raiz", ["qtd_inscricoes", "y_risco_fiscal"])
+
+
 # ---- ranking, splits, metrics --------------------------------------------------------------------------------------
 
 

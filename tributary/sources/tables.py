@@ -39,6 +39,14 @@ def write_table(df: DataFrame, path: str, force: bool = False, partition_by: lis
     return rows
 
 
+def write_clustered(df: DataFrame, path: str, key: str, force: bool = False, group_rows: int = 1_000_000) -> None:
+    """Parquet for lookups by key: files are ranges of the key, sorted, so that a key is in one row group or a few next to
+    each other, and each has a Bloom filter of its keys."""
+    dealt = df.repartitionByRange(key).sortWithinPartitions(key)
+    options = {"parquet.block.row.count.limit": group_rows, f"parquet.bloom.filter.enabled#{key}": "true", f"parquet.bloom.filter.expected.ndv#{key}": group_rows, "compression": "snappy"}
+    dealt.write.mode("overwrite" if force else "errorifexists").options(**options).parquet(path)
+
+
 def partition_values(df: DataFrame, columns: list[str]) -> set[tuple]:
     return {tuple(r) for r in df.select(*(F.col(c).cast("string") for c in columns)).distinct().collect()}  # as many as there are folders
 
