@@ -9,6 +9,7 @@ from tributary.functions.text import lookup_root
 from tributary.operators.checks import require_columns
 from tributary.operators.explain import linear_parts, strongest, tree_parts
 from tributary.operators.models import LinearModel, check_usable
+from tributary.sources.staging import materialize
 
 OK, INVALID, MISSING, DUPLICATE = "ok", "invalid_key", "unavailable", "duplicate_key"
 
@@ -23,7 +24,7 @@ def requested(data: DataFrame, asked: DataFrame, key: str) -> DataFrame:
     return data.join(asked.select(F.col("raiz_pedida").alias(key)).where(F.col(key).isNotNull()).distinct(), key, "left_semi")
 
 
-#: Requested keys that are pushed to a scan, and conditions they become at most (more would be too much generated code).
+#: Requested keys that are pushed to a scan, and conditions they become at most.
 PUSHED_KEYS, CONDITIONS = 100_000, 32
 
 
@@ -42,12 +43,6 @@ def pruned(data: DataFrame, key: str, asked: DataFrame) -> DataFrame:
     return data.where(tests[0])
 
 
-def lookup_stored(requests: DataFrame, request: str, path: str, key: str, columns: list[str]) -> DataFrame:
-    """lookup in a table that write_clustered has written: row groups without a requested key are not read."""
-    data = requests.sparkSession.read.parquet(path)
-    return lookup(requests, request, pruned(data, key, requests_of(requests, request)), key, columns)
-
-
 def attach(asked: DataFrame, data: DataFrame, key: str, columns: list[str], prefix: str = "") -> DataFrame:
     """asked with `status` and the columns of data, all under the prefix; null unless ok.
 
@@ -60,12 +55,23 @@ def attach(asked: DataFrame, data: DataFrame, key: str, columns: list[str], pref
     return out.select(*asked.columns, status.alias(f"{prefix}status"), *(F.when(F.col("__n") == 1, F.col(f"__{c}")).alias(prefix + c) for c in columns))
 
 
+def answers(asked: DataFrame, data: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    return attach(asked, data, key, columns).select("pedido", F.col("raiz_pedida").alias("raiz"), "status", *columns)
+
+
 def lookup(requests: DataFrame, request: str, data: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """One row per request: pedido, raiz, status (see attach) and the columns of the company. Keys in data are stored with
     their zeros, so the join is on the bare column."""
     require_columns(data, [key, *columns])
-    found = attach(requests_of(requests, request), data, key, columns)
-    return found.select("pedido", F.col("raiz_pedida").alias("raiz"), "status", *columns)
+    return answers(requests_of(requests, request), data, key, columns)
+
+
+def lookup_stored(requests: DataFrame, request: str, path: str, key: str, columns: list[str]) -> DataFrame:
+    """lookup in a table that write_clustered has written: row groups without a requested key are not read. The requests are
+    written first: Spark carries the conditions on the key over to them, where it should be a plain column."""
+    data = require_columns(requests.sparkSession.read.parquet(path), [key, *columns])
+    asked = materialize(requests_of(requests, request), "asked")
+    return answers(asked, pruned(data, key, asked), key, columns)
 
 
 def lookup_scores(requests: DataFrame, request: str, data: DataFrame, key: str, features: list[str], score: Column, factors: Column, condition: Column, name: str, caveat: str) -> DataFrame:
