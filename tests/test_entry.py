@@ -17,7 +17,7 @@ def test_names():
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
-@pytest.mark.parametrize("name", ["f_keys", "f_money", "f_classes", "f_dates", "r_unify", "a_registry", "j_audit", "q_profile", "q_domains", "w_ranked", "e_ranking_metrics", "l_fiscal_dataset", "x_lookup", "s_ledger", "s_inventory", "s_companies", "k_table", "k_digest", "x_linear_factors", "x_lookup_scores", "q_systematic_sample", "l_discontinuity_target", "a_controls"])
+@pytest.mark.parametrize("name", ["f_keys", "f_money", "f_classes", "f_dates", "r_unify", "a_registry", "j_audit", "q_profile", "q_domains", "w_ranked", "e_ranking_metrics", "l_fiscal_dataset", "x_lookup", "s_ledger", "s_inventory", "s_companies", "k_table", "k_digest", "x_linear_factors", "x_lookup_scores", "q_systematic_sample", "l_discontinuity_target", "a_controls", "a_streamed_quarters", "a_merged_distinct", "k_quarters", "q_row_group_sample", "m_tree_split", "m_tree_checks", "m_linear_optimal", "x_forest_score", "x_lookup_two", "x_lookup_stored", "c_guards"])
 def test_query_equals_sql(spark, name, tmp_path):
     entry.queries()[name](spark, DATA).write.parquet(f"{tmp_path}/out")
     c = duckdb.connect()

@@ -20,7 +20,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.when(c("o_custkey") % 17 == 0, "XXX123.456XX").when(c("o_orderkey") % 2 == 0, F.concat(F.substring(digits, 1, 2), F.lit("."), F.substring(digits, 3, 3), F.lit("."), F.substring(digits, 6, 3), F.lit("/"), F.substring(digits, 9, 4), F.lit("-"), F.substring(digits, 13, 2))).otherwise(digits).alias("cpf_cnpj"),
         F.when(c("o_orderkey") % 11 == 0, "Pessoa física").when(c("o_orderkey") % 3 == 0, " pj ").otherwise("Pessoa jurídica").alias("tipo_pessoa"), F.lit("PRINCIPAL").alias("tipo_devedor"), c("o_orderkey").cast("string").alias("numero_inscricao"),
-        F.element_at(F.create_map(*(F.lit(x) for kv in SITUATIONS.items() for x in kv)), c("o_orderpriority")).alias("tipo_situacao_inscricao"), c("o_orderpriority").alias("situacao_inscricao"), c("o_orderstatus").alias("receita_principal"),
+        F.when((c("o_orderpriority") == "5-LOW") & (c("o_orderkey") % 2 == 0), "Com Garantia").otherwise(F.element_at(F.create_map(*(F.lit(x) for kv in SITUATIONS.items() for x in kv)), c("o_orderpriority"))).alias("tipo_situacao_inscricao"), c("o_orderpriority").alias("situacao_inscricao"), c("o_orderstatus").alias("receita_principal"),
         F.when(c("o_orderkey") % 5 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("data_inscricao"),
         F.when(c("o_orderstatus") == "F", " sim").when(c("o_orderstatus") == "O", "NÃO").otherwise("talvez").alias("indicador_ajuizado"),
         F.when(c("o_orderkey") % 13 == 0, "").when(c("o_orderkey") % 7 == 0, F.concat(F.lit("R$ "), F.replace(price, F.lit("."), F.lit(",")))).otherwise(price).alias("valor_consolidado"),
@@ -28,7 +28,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Texts of a situation for the order priorities.
+#: Texts of a situation for the order priorities; half of the last one's orders have a guarantee.
 SITUATIONS = {"1-URGENT": "Em cobrança", "2-HIGH": "Benefício Fiscal", "3-MEDIUM": "Em negociação", "4-NOT SPECIFIED": "Suspenso por decisão judicial", "5-LOW": "Outra"}
 
 

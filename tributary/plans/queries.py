@@ -42,7 +42,7 @@ _KEY14 = "lpad(CAST(o_custkey AS VARCHAR), 8, '0') || '0001' || lpad(CAST(o_cust
 _DEBTS = f"""
     debts AS (
         SELECT CASE WHEN o_custkey % 17 <> 0 THEN {_KEY14} END AS chave, CASE WHEN o_custkey % 17 <> 0 THEN lpad(CAST(o_custkey AS VARCHAR), 8, '0') END AS raiz, CAST(o_orderkey AS VARCHAR) AS numero_inscricao,
-               CASE o_orderpriority WHEN '1-URGENT' THEN 'irregular' WHEN '2-HIGH' THEN 'beneficio_fiscal' WHEN '3-MEDIUM' THEN 'negociacao' WHEN '4-NOT SPECIFIED' THEN 'suspenso_judicial' WHEN '5-LOW' THEN 'outros' END AS tipo_situacao_inscricao,
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'irregular' WHEN '2-HIGH' THEN 'beneficio_fiscal' WHEN '3-MEDIUM' THEN 'negociacao' WHEN '4-NOT SPECIFIED' THEN 'suspenso_judicial' WHEN '5-LOW' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'garantia' ELSE 'outros' END END AS tipo_situacao_inscricao,
                o_orderpriority AS situacao_inscricao, o_orderstatus AS receita_principal, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS data_inscricao,
                CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS indicador_ajuizado, CASE WHEN o_orderkey % 13 <> 0 THEN CAST(printf('%.2f', o_totalprice) AS DOUBLE) END AS valor_consolidado,
                CAST(year(o_orderdate) AS INT) AS ano, CAST(quarter(o_orderdate) AS INT) AS trimestre
