@@ -10,7 +10,7 @@ from tributary.operators import checks, lookup, models, trees
 from tributary.operators.trees import Node
 from tributary.plans import datasets, probes
 from tributary.plans.queries import _DEBTS, _DISC, _FISCAL, _REGISTRY, _X, discontinuity, fiscal, query, rounded
-from tributary.sources.staging import materialize
+from tributary.sources.staging import materialize, new_folder
 from tributary.sources.tables import driver_table
 
 _SPLIT_FEATURES = ["qtd_estabelecimentos", "debt_qtd_inscricoes", "debt_qtd_situacoes_distintas"]
@@ -37,18 +37,17 @@ def m_tree_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.createDataFrame([out], "variavel string, limiar double, linhas_esquerda long, linhas_direita long, peso_positivas_esquerda double, peso_positivas_direita double, ganho double, importancia double"), 9)
 
 
-@query("m_tree_checks", f"""WITH {_CLOSED} SELECT unnest(['tree', 'rf']) AS modelo, count(*) AS linhas, unnest([CAST(sum(y) AS DOUBLE), NULL]) AS soma_dos_scores, true AS scores_da_biblioteca, true AS importancias_da_biblioteca, true AS filhos_somam, true AS folhas_conferem FROM closed""")
+@query("m_tree_checks", f"""WITH {_CLOSED} SELECT unnest(['tree', 'rf']) AS modelo, count(*) AS linhas, unnest([CAST(sum(y) AS DOUBLE), NULL]) AS soma_dos_scores, true AS scores_da_biblioteca, true AS importancias_da_biblioteca, true AS filhos_somam, true AS folhas_conferem, true AS salvo_confere FROM closed""")
 def m_tree_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tree and a forest on the discontinuity target. Scores from their nodes are the library's for every company, and so
     are importances; children add up to their parents; the leaves of the tree hold the companies that end in them, so that
-    its scores add up to the positives."""
+    its scores add up to the positives; what is saved is loaded and fits the table."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
     rows, names, target = discontinuity(spark, sf_dir), datasets.DISCONTINUITY_FEATURES, "y_descontinuidade"
     out = []
-    for kind in ("tree", "rf"):
-        m = models.train_tree(rows, names, target, kind=kind, depth=5, leaf=5, trees=20, balanced=False)
+    for kind, m in models.train_choice(rows, names, target, "both", depth=5, leaf=5, trees=20, balanced=False).items():
         filled = rows.select(m.probability().alias("p"), *(c.alias(n) for c, n in zip(m.prepared.filled(), names, strict=True)))
         other = m.fitted.transform(VectorAssembler(inputCols=names, outputCol="__x").transform(filled)).withColumn("q", vector_to_array("probability")[1])
         n, total, far = other.agg(F.count(F.lit(1)), F.round(F.sum("p"), 6), F.max(F.abs(F.col("p") - F.col("q")))).first()
@@ -57,18 +56,26 @@ def m_tree_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         add_up = all(x.leaf or x.n == sum(by[x.arvore, c].n for c in (x.esquerda, x.direita)) for x in m.nodes)
         leaves = {x.no: (x.n, int(x.peso1)) for x in m.nodes if x.leaf}
         right = kind == "rf" or {r.no: (r.linhas, r.positivas) for r in trees.leaf_counts(rows, m.nodes, m.prepared.filled(), target).collect()} == leaves  # a row per leaf
-        out.append((kind, n, total if kind == "tree" else None, far < 1e-9, same, add_up, right))
-    return spark.createDataFrame(out, "modelo string, linhas long, soma_dos_scores double, scores_da_biblioteca boolean, importancias_da_biblioteca boolean, filhos_somam boolean, folhas_conferem boolean")
+        m.meta |= _SAID
+        m.save(spark, path := new_folder(spark, f"saved-{kind}"))
+        again = models.check_usable(models.TreeModel.load(spark, path), rows, "raiz")
+        out.append((kind, n, total if kind == "tree" else None, far < 1e-9, same, add_up, right, (again.nodes, again.prepared, again.meta) == (m.nodes, m.prepared, m.meta)))
+    return spark.createDataFrame(out, "modelo string, linhas long, soma_dos_scores double, scores_da_biblioteca boolean, importancias_da_biblioteca boolean, filhos_somam boolean, folhas_conferem boolean, salvo_confere boolean")
 
 
-@query("m_linear_optimal", f"""WITH {_FISCAL} SELECT unnest(['(intercepto)', {", ".join(f"'{f}'" for f in datasets.FISCAL_FEATURES)}]) AS variavel, true AS otima, count(*) AS linhas FROM fiscal""")
+@query("m_linear_optimal", f"""WITH {_FISCAL} SELECT unnest(['(intercepto)', {", ".join(f"'{f}'" for f in datasets.FISCAL_FEATURES)}]) AS variavel, true AS otima, true AS tabela_confere, count(*) AS linhas FROM fiscal""")
 def m_linear_optimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fiscal model, learned to the end: no feature's gradient is away from the optimum by more than a hundredth of the
-    penalty's own size. The objective is strictly convex, so no other coefficients would pass."""
+    penalty's own size. The objective is strictly convex, so no other coefficients would pass. Beside it, whether the table
+    of coefficients has each feature's size, odds ratio, direction and description (the intercept has no row there)."""
     rows = fiscal(spark, sf_dir)
     m = models.train_linear(rows, datasets.FISCAL_FEATURES, "y_risco_fiscal", c=0.01, tol=1e-10, max_iter=500, leaking=datasets.FISCAL_LEAKING)
-    n = rows.count()
-    return models.optimality(m, rows).select("variavel", (F.col("residuo") <= 0.01 / (0.01 * n)).alias("otima"), F.lit(n).cast("long").alias("linhas"))
+    n, c = rows.count(), F.col("coeficiente")
+    told = models.coefficient_table(spark, m, datasets.labels_of(datasets.FISCAL_FEATURES)).drop("coeficiente")
+    both = models.optimality(m, rows).join(told, "variavel", "left")
+    direction = F.when(c > 0, "aumenta o score").when(c < 0, "reduz o score").otherwise("efeito nulo")
+    right = (F.col("coeficiente_absoluto") == F.abs(c)) & (F.abs(F.ln("razao_chances") - c) < 1e-9) & (F.col("direcao") == direction) & (F.length("descricao") > 0) & (F.col("descricao") != F.col("variavel"))
+    return both.select("variavel", (F.col("residuo") <= 0.01 / (0.01 * n)).alias("otima"), (right | (F.col("variavel") == "(intercepto)")).alias("tabela_confere"), F.lit(n).cast("long").alias("linhas"))
 
 
 #: A fixed forest: (arvore, no, variavel, limiar, esquerda, direita, n, peso0, peso1, ganho).
