@@ -48,7 +48,10 @@ def chat_examples(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", r
 
 
 def read_back(examples: DataFrame, conv: str = "conv_id") -> DataFrame:
-    """One row per conversation, from the examples alone: conv, turns (array of role and text), loss_text, formatted_chars."""
+    """One row per conversation, from the examples alone: conv, turns (array of role and text), loss_text, formatted_chars.
+
+    Roles and texts that were null come back as empty ones, as chat_examples writes them; rows without a conversation's id
+    come back each by itself; empty texts are turns as others; no examples give no rows."""
     loss = F.when(F.col("loss_chars") > 0, unescaped(F.substr("formatted", (F.col("loss_start") + 1).cast("int"), F.col("loss_chars").cast("int")))).otherwise("")
     whole = examples.groupBy(conv, "alone").agg(
         F.max_by("formatted", "example").alias("longest"), F.sort_array(F.collect_list(F.struct("example", loss.alias("loss")))).alias("losses"), F.sum(F.length("formatted")).cast("long").alias("formatted_chars")

@@ -47,7 +47,8 @@ ORDER = ("key", "size", FILE, AT)
 
 def source_cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS) -> DataFrame:
     """rows(source, size, key, FILE, AT) -> one row per source: own (its name), source_size, target, epochs, and the cut: the
-    ORDER of the document that reaches the budget in the epoch after them, and cut_words, what it gives. Null without a cut."""
+    ORDER of the document that reaches the budget in the epoch after them, and cut_words, what it gives. Null without a cut.
+    A null source is one; sources without words have the target 0 and no cut; no rows give no sources."""
     targets = materialize(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "targets")
     placed = running(rows.select("source", *ORDER), [F.col("source").asc_nulls_last(), *(F.col(c).asc() for c in ORDER)], {"through": F.col("size")}, "mixed")
     # A source begins where all smaller ones end.

@@ -93,7 +93,8 @@ def sketches(rows: DataFrame, size: int) -> DataFrame:
 def full_sets(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """Registers and sets of the classes wanted(FILE, AT, row, key), made again from the texts of their first documents.
 
-    Rows are found by address; their texts are shuffled only if the list of wanted rows is too long for a broadcast.
+    Rows are found by address; their texts are shuffled only if the list of wanted rows is too long for a broadcast. Nothing
+    wanted, or no rows, give none.
     """
     texts = rows.select(FILE, AT, "text").join(if_small(wanted, 96), [FILE, AT]).select(F.lit(0).alias("id"), "row", "text", "key")
     return texts.mapInArrow(sketcher(size), "row long, n long, regs binary, set binary, s0 long, s1 long, s2 long, s3 long")
@@ -167,7 +168,8 @@ def block_checker(percent: int):
 def family_links(families: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, block: int = 256, block_words: int = 1 << 22) -> DataFrame:
     """Links (a, b) between different components within families(head, row): outsiders against all members, in blocks.
 
-    A block has about `block` rows or block_words shingles, whichever is fewer rows; one larger set is a block by itself.
+    A block has about `block` rows or block_words shingles, whichever is fewer rows; one larger set is a block by itself. No
+    families, or families of one component each, give no links.
     """
     named = labels.withColumnRenamed("node", "row")
     rows = families.join(named, "row", "left").withColumn("label", F.coalesce("label", "row")).join(nodes.select("row", "n"), "row")
