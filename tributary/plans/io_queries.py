@@ -109,13 +109,14 @@ def k_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, again, ["n_name", "clientes", "saldo"])
 
 
-@query("k_report", "SELECT o_orderpriority AS prioridade, count(*) AS quantidade, sha256(string_agg(linha, chr(10) ORDER BY linha) || chr(10)) IS NOT NULL AS com_digest FROM (SELECT *, o_orderpriority AS linha FROM orders) GROUP BY o_orderpriority")
+@query("k_report", """WITH c AS (SELECT o_orderpriority AS prioridade, count(*) AS quantidade FROM orders GROUP BY o_orderpriority)
+    SELECT *, (SELECT left(sha256('prioridade,quantidade' || chr(10) || string_agg(prioridade || ',' || quantidade || chr(10), '' ORDER BY prioridade)), 16) FROM c) AS sha256_16 FROM c""")
 def k_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report written as CSV and read again, beside the inventory of its one file."""
-    counts = A.count_by(driver_table(spark, sf_dir, "orders"), "o_orderpriority").withColumnRenamed("o_orderpriority", "prioridade")
+    """A report written as CSV in the order of its rows and read again, beside the digest of its one file."""
+    counts = A.count_by(driver_table(spark, sf_dir, "orders"), "o_orderpriority").withColumnRenamed("o_orderpriority", "prioridade").orderBy("prioridade")
     tables.write_report(counts, path := new_folder(spark, "report"))
-    files = tables.file_inventory(spark, path, "part-*").select((F.length("sha256_16") == 16).alias("com_digest"))
-    return spark.read.option("header", True).schema("prioridade string, quantidade long").csv(path).crossJoin(F.broadcast(files.limit(1)))  # one file
+    digest = tables.file_inventory(spark, path, "part-*").first()["sha256_16"]  # of one file
+    return spark.read.option("header", True).schema("prioridade string, quantidade long").csv(path).withColumn("sha256_16", F.lit(digest))
 
 
 @query("k_digest", "SELECT left(sha256(string_agg(n_nationkey || ',' || n_name || chr(10), '' ORDER BY n_nationkey)), 16) AS sha256_16, round(sum(length(n_nationkey || ',' || n_name) + 1) / 1048576, 9) AS tamanho_mb FROM nation")
