@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tributary.functions import numbers
+from tributary.functions import dates, numbers, text
 from tributary.plans import datasets
 
 
@@ -29,3 +29,25 @@ def test_a_ledger_is_cleaned_once(spark):
     want = [r.v for r in rows.select("i", numbers.money(F.col("valor_consolidado")).alias("v")).orderBy("i").collect()]
     assert [r.valor_consolidado for r in out.orderBy("i").collect()] == want
     assert out.columns == rows.columns and plan(out).count("regexp_replace") == 1
+
+
+def test_methods_that_the_jvm_would_interpret_are_not_made(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(limit)
+    ledger = spark.createDataFrame([], ", ".join(f"{c} string" for c in datasets.DEBT_REQUIRED))
+    datasets.debts(datasets.consolidated(ledger))
+    assert int(spark.conf.get(limit)) <= 8000
+    spark.conf.set(limit, 9000)
+    datasets.debts(ledger)
+    assert spark.conf.get(limit) == "9000"
+    spark.conf.unset(limit)
+
+
+def test_shorter_ways_of_the_cleaning_give_the_same(spark):
+    days = ["01/02/2020", "31/02/2020", "2020-02-29", "2020-02-30", "01/01/0000", "1/2/2020", "1T/01/2020", "2020-01-1T", "01/01/2020 10:00", "2020-01-01 10:11:12", "　01/01/2020\t", "é", "", None]
+    rows = spark.createDataFrame([(x,) for x in days], "t string").repartition(1)
+    t = F.btrim("t", F.lit(text.WHITE))
+    read = lambda p: F.try_to_timestamp(t, F.lit(p))
+    slow = F.when(F.contains(t, F.lit("/")), read("d/M/yyyy")).when(F.contains(t, F.lit(":")), read("yyyy-M-d H:m:s")).otherwise(read("yyyy-M-d")).cast("timestamp_ntz")
+    found = rows.select(text.trim_all(F.col("t")).alias("a"), t.alias("b"), dates.ledger_date(F.col("t")).alias("c"), slow.alias("d"))
+    assert found.where("not (a <=> b) or not (c <=> d)").count() == 0
