@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tributary.functions import dates, numbers, text
-from tributary.plans import datasets
+from tributary.plans import datasets, model_queries, probes
 
 
 def plan(df) -> str:
@@ -51,3 +51,10 @@ def test_shorter_ways_of_the_cleaning_give_the_same(spark):
     slow = F.when(F.contains(t, F.lit("/")), read("d/M/yyyy")).when(F.contains(t, F.lit(":")), read("yyyy-M-d H:m:s")).otherwise(read("yyyy-M-d")).cast("timestamp_ntz")
     found = rows.select(text.trim_all(F.col("t")).alias("a"), t.alias("b"), dates.ledger_date(F.col("t")).alias("c"), slow.alias("d"))
     assert found.where("not (a <=> b) or not (c <=> d)").count() == 0
+
+
+def test_both_datasets_clean_the_ledger_once(spark, monkeypatch):
+    made, ledger = [], probes.ledger
+    monkeypatch.setattr(probes, "ledger", lambda *a: made.append(1) or ledger(*a))
+    model_queries.x_lookup_two(spark, "/root/testdata/sf0.001")
+    assert len(made) == 1

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tributary.operators import checks, lookup, models, trees
 from tributary.operators.trees import Node
 from tributary.plans import datasets, probes
-from tributary.plans.queries import _DEBTS, _DISC, _FISCAL, _REGISTRY, _X, discontinuity, fiscal, query, rounded
+from tributary.plans.queries import _DEBTS, _DISC, _FISCAL, _REGISTRY, _X, discontinuity, fiscal, query, rounded, stored_debts
 from tributary.sources.staging import materialize, new_folder
 from tributary.sources.tables import driver_table
 
@@ -117,8 +117,8 @@ _SAID = {"excluded": [], "metrics": {"n": 0}, "caveat": "score relativo"}
     FROM ask LEFT JOIN fs ON ask.raiz = fs.raiz LEFT JOIN ts ON ask.raiz = ts.raiz""")
 def x_lookup_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer number looked up in a fixed linear model and a fixed tree."""
-    one = fiscal(spark, sf_dir)
-    two = materialize(datasets.discontinuity_dataset(probes.debts(spark, sf_dir), probes.registry_table(spark, sf_dir)), "discontinuity")
+    debts, registry = stored_debts(spark, sf_dir), materialize(probes.registry_table(spark, sf_dir), "registry")
+    one, two = datasets.fiscal_dataset(debts, registry), materialize(datasets.discontinuity_dataset(debts, registry), "discontinuity")
     linear = models.LinearModel(models.prepare(one, _X), [0.5, -0.25, 0.125], 0.1, {"target": "y_risco_fiscal", **_SAID})
     tree = models.TreeModel(models.prepare(two, _TREE_X), trees.check_nodes(_TREE, 2), {"target": "y_descontinuidade", **_SAID})
     key = F.col("c_custkey")
