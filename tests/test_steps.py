@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tributary.functions import dates, numbers, text
+from tributary.operators import aggregates
 from tributary.plans import datasets, model_queries, probes
 
 
@@ -58,3 +59,35 @@ def test_both_datasets_clean_the_ledger_once(spark, monkeypatch):
     monkeypatch.setattr(probes, "ledger", lambda *a: made.append(1) or ledger(*a))
     model_queries.x_lookup_two(spark, "/root/testdata/sf0.001")
     assert len(made) == 1
+
+
+def test_datasets_carry_no_test_of_the_root_down_to_the_raw_texts(spark):
+    sf = "/root/testdata/sf0.001"
+    registry = probes.registry_table(spark, sf)
+    plans = [plan(x) for x in (aggregates.fiscal_by_root(probes.debts(spark, sf, keyed=True), registry), aggregates.discontinuity_by_root(probes.debts(spark, sf, keyed=True), registry))]
+    kept = [line for p in plans for line in p.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+    assert kept and all("regexp_replace" not in line and "lpad(regexp" not in line for line in kept)
+    assert probes.debts(spark, sf, keyed=True).exceptAll(probes.debts(spark, sf).where("raiz is not null")).isEmpty()
+
+
+def test_a_ledger_filtered_before_its_texts_are_cleaned_is_the_same(spark):
+    keys = ["12.345.678/0001-99", "12.345.678/0001-9x", "12345678000199", "1234567800019F", " 12.345.678/0001-99\t", "12.34a.678/0001-99", "12.345.678/0001-995", "１２345678000199", "nan", "", None]
+    days = ["01/02/2020", "31/02/2020", "2000-02-29", "1900-02-29", "31/04/2020", "0999-01-01", "1T/01/2020", "AB/01/2020", "1/2/2020", "2020-01-01 10:11:12", None]
+    kinds = ["Pessoa jurídica", " pj ", "PESSOA JURIDICA", "　PJ", "Pessoa física", "nan", None]
+    said = [*text.USUAL_SITUATIONS, "EM COBRANÇA", "x negociada", "Garantia em cobrança", "Outra", "", None]
+    flags = ["sim", "Sim", "S", "1", "True", "nao", "NÃO", "Não", "0", "talvez", "", None]
+    cells = spark.range(3000).repartition(2).select(*(F.get(F.array(*(F.lit(x).cast("string") for x in v)), (F.abs(F.xxhash64("id", F.lit(n))) % len(v)).cast("int")).alias(n) for n, v in (("cpf_cnpj", keys), ("data_inscricao", days), ("tipo_pessoa", kinds), ("tipo_situacao_inscricao", said), ("indicador_ajuizado", flags))))
+    ledger = cells.withColumns({n: F.lit("7") for n in datasets.DEBT_REQUIRED if n not in cells.columns})
+    rows = datasets.consolidated(ledger).where(text.is_legal_entity(F.col("tipo_pessoa")))
+    key = text.full_key(F.col("cpf_cnpj"))
+    want = rows.select(key.alias("chave"), text.situation(F.col("tipo_situacao_inscricao")).alias("s"), dates.ledger_date(F.col("data_inscricao")).alias("d"), text.yes_no(F.col("indicador_ajuizado")).alias("f"))
+    for keyed in (False, True):
+        found = datasets.ledger_debts(ledger, keyed).select("chave", F.col("tipo_situacao_inscricao").alias("s"), F.col("data_inscricao").alias("d"), F.col("indicador_ajuizado").alias("f"))
+        asked = want.where("chave is not null") if keyed else want
+        assert not asked.isEmpty() and found.exceptAll(asked).isEmpty() and asked.exceptAll(found).isEmpty()
+
+
+def test_registry_days_are_calendar_days(spark):
+    days = ["20000229", "19000229", "20240431", "20240430", "20241231", "20241301", "20240001", "20240100", "00010101", "00000101", "2024010a", "abcdef12", "2024010", "", None]
+    rows = spark.createDataFrame([(x,) for x in days], "t string").repartition(1)
+    assert rows.where(~dates.day_of(dates.day_number(F.col("t"))).eqNullSafe(dates.registry_date(F.col("t"), True))).isEmpty()
