@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import dates, numbers, text
 from tributary.operators import aggregates
-from tributary.plans import datasets, model_queries, probes
+from tributary.plans import datasets, model_queries, probes, queries
 
 
 def plan(df) -> str:
@@ -91,3 +91,20 @@ def test_registry_days_are_calendar_days(spark):
     days = ["20000229", "19000229", "20240431", "20240430", "20241231", "20241301", "20240001", "20240100", "00010101", "00000101", "2024010a", "abcdef12", "2024010", "", None]
     rows = spark.createDataFrame([(x,) for x in days], "t string").repartition(1)
     assert rows.where(~dates.day_of(dates.day_number(F.col("t"))).eqNullSafe(dates.registry_date(F.col("t"), True))).isEmpty()
+
+
+def written(monkeypatch, module):
+    """The plans of what the module writes from now on."""
+    plans, write = [], module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, *a, **kw: plans.append(plan(df)) or write(df, *a, **kw))
+    return plans
+
+
+def test_a_discontinuity_table_is_made_of_what_is_read_of_it(spark, monkeypatch):
+    sf, plans = "/root/testdata/sf0.001", written(monkeypatch, queries)
+    model_queries.m_tree_split(spark, sf)
+    assert len(plans) == 1 and not any(c in plans[0] for c in ("valor_consolidado", "data_inscricao", "indicador_ajuizado", "receita_principal", "data_inicio_atividade"))
+    some = queries.discontinuity(spark, sf, features=["debt_qtd_inscricoes", "debt_divida_max"])
+    whole = datasets.discontinuity_dataset(probes.debts(spark, sf, keyed=True), probes.registry_table(spark, sf, closed=True))
+    assert some.columns == ["raiz", "y_descontinuidade", "debt_qtd_inscricoes", "debt_divida_max"]
+    assert some.count() == whole.count() > 0 and some.exceptAll(whole.select(some.columns)).isEmpty()

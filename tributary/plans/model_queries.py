@@ -30,7 +30,7 @@ _GINI = "(1 - power({p} / ({p} + {q}), 2) - power({q} / ({p} + {q}), 2))"
 def m_tree_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tree of one split, learned with balanced classes: the split with the largest gain of all, and its feature's
     importance."""
-    rows = discontinuity(spark, sf_dir)
+    rows = discontinuity(spark, sf_dir, features=_SPLIT_FEATURES)
     m = models.train_tree(rows, _SPLIT_FEATURES, "y_descontinuidade", depth=1, leaf=5)
     root, left, right = m.nodes
     out = (_SPLIT_FEATURES[root.variavel], root.limiar, left.n, right.n, round(left.peso1, 6), round(right.peso1, 6), root.ganho, m.importances()[root.variavel])
