@@ -108,3 +108,14 @@ def test_a_discontinuity_table_is_made_of_what_is_read_of_it(spark, monkeypatch)
     whole = datasets.discontinuity_dataset(probes.debts(spark, sf, keyed=True), probes.registry_table(spark, sf, closed=True))
     assert some.columns == ["raiz", "y_descontinuidade", "debt_qtd_inscricoes", "debt_divida_max"]
     assert some.count() == whole.count() > 0 and some.exceptAll(whole.select(some.columns)).isEmpty()
+
+
+def test_a_fiscal_table_is_made_of_what_is_read_of_it(spark, monkeypatch):
+    sf, plans = "/root/testdata/sf0.001", written(monkeypatch, datasets)
+    model_queries.x_forest_score(spark, sf)
+    assert len(plans) == 1 and not any(c in plans[0] for c in ("valor_consolidado", "data_inscricao", "indicador_ajuizado", "situacao", "receita_principal"))
+    whole = queries.fiscal(spark, sf)
+    some = queries.fiscal(spark, sf, ["qtd_inscricoes", "idade_empresa_dias"])
+    assert some.columns == ["raiz", "qtd_inscricoes", "idade_empresa_dias", "y_risco_fiscal"]
+    assert some.count() == whole.count() > 0 and some.exceptAll(whole.select(some.columns)).isEmpty()
+    assert queries.fiscal(spark, sf, ["divida_total"]).columns == ["raiz", "divida_total", "y_risco_fiscal"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tributary.operators import checks, lookup, models, trees
 from tributary.operators.trees import Node
 from tributary.plans import datasets, probes
-from tributary.plans.queries import _DEBTS, _DISC, _FISCAL, _REGISTRY, _X, discontinuity, fiscal, query, rounded, stored_debts
+from tributary.plans.queries import _DEBTS, _DISC, _FISCAL, _REGISTRY, _X, discontinuity, fiscal, fiscal_rows, query, rounded, stored_debts
 from tributary.sources.staging import materialize, new_folder
 from tributary.sources.tables import driver_table
 
@@ -68,7 +68,7 @@ def m_linear_optimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fiscal model, learned to the end: no feature's gradient is away from the optimum by more than a hundredth of the
     penalty's own size. The objective is strictly convex, so no other coefficients would pass. Beside it, whether the table
     of coefficients has each feature's size, odds ratio, direction and description (the intercept has no row there)."""
-    rows = fiscal(spark, sf_dir)
+    rows = fiscal(spark, sf_dir, datasets.FISCAL_FEATURES)
     m = models.train_linear(rows, datasets.FISCAL_FEATURES, "y_risco_fiscal", c=0.01, tol=1e-10, max_iter=500, leaking=datasets.FISCAL_LEAKING)
     n, c = rows.count(), F.col("coeficiente")
     told = models.coefficient_table(spark, m, datasets.labels_of(datasets.FISCAL_FEATURES)).drop("coeficiente")
@@ -93,7 +93,7 @@ _FOREST_SQL = "nodes(arvore, no, variavel, limiar, esquerda, direita, peso0, pes
     SELECT raiz, round(avg(peso1 / (peso0 + peso1)), 6) AS score FROM w JOIN nodes ON w.arvore = nodes.arvore AND w.no = nodes.no WHERE variavel < 0 GROUP BY raiz""")
 def x_forest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fixed forest's score of every company."""
-    rows = fiscal(spark, sf_dir)
+    rows = fiscal_rows(spark, sf_dir, _X)
     found = models.TreeModel(models.prepare(rows, _X), trees.check_nodes(_FOREST, len(_X)), {})
     return rounded(models.score(rows, found, "raiz"))
 
@@ -118,7 +118,7 @@ _SAID = {"excluded": [], "metrics": {"n": 0}, "caveat": "score relativo"}
 def x_lookup_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer number looked up in a fixed linear model and a fixed tree."""
     debts, registry = stored_debts(spark, sf_dir), materialize(probes.registry_table(spark, sf_dir), "registry")
-    one, two = datasets.fiscal_dataset(debts, registry), materialize(datasets.discontinuity_dataset(debts, registry), "discontinuity")
+    one, two = datasets.fiscal_dataset(debts, registry, columns=_X), materialize(datasets.discontinuity_dataset(debts, registry, columns=["y_descontinuidade", *_TREE_X]), "discontinuity")
     linear = models.LinearModel(models.prepare(one, _X), [0.5, -0.25, 0.125], 0.1, {"target": "y_risco_fiscal", **_SAID})
     tree = models.TreeModel(models.prepare(two, _TREE_X), trees.check_nodes(_TREE, 2), {"target": "y_descontinuidade", **_SAID})
     key = F.col("c_custkey")
