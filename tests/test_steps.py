@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tributary.functions import dates, numbers, text
-from tributary.operators import aggregates
+from tributary.operators import aggregates, models
 from tributary.plans import datasets, model_queries, probes, queries
 
 
@@ -119,3 +119,25 @@ def test_a_fiscal_table_is_made_of_what_is_read_of_it(spark, monkeypatch):
     assert some.columns == ["raiz", "qtd_inscricoes", "idade_empresa_dias", "y_risco_fiscal"]
     assert some.count() == whole.count() > 0 and some.exceptAll(whole.select(some.columns)).isEmpty()
     assert queries.fiscal(spark, sf, ["divida_total"]).columns == ["raiz", "divida_total", "y_risco_fiscal"]
+
+
+def test_numeric_features_are_not_read_from_their_texts(spark):
+    cells = "(double('nan'), 9007199254740993L, float('0.1'), '12', true), (-0.0D, -7L, float('inf'), ' 1e3 ', false), (1e-310D, null, null, 'x', null)"
+    df = spark.sql(f"select * from values {cells} t(d, l, f, s, b)").repartition(1)
+    got = df.select(*models.feature_columns(df.columns, ["d", "l"]))
+    assert "as string" in plan(got) and "as string" not in plan(got.select("d", "l"))
+    slow = [numbers.finite(numbers.number(F.col(c).cast("string"))).alias(c) for c in df.columns]
+    assert got.exceptAll(df.select(*slow)).isEmpty() and df.select(*slow).exceptAll(got).isEmpty()
+    # A column that has become text or another kind of number is read as before.
+    other = df.select(F.col("s").alias("d"), F.col("f").alias("l"))
+    assert other.select(*models.feature_columns(["d", "l"], ["d", "l"])).exceptAll(other.select(*models.feature_columns(["d", "l"]))).isEmpty()
+
+
+def test_a_tree_and_a_forest_share_what_is_prepared(spark, monkeypatch):
+    made, prepare = [], models.prepare
+    monkeypatch.setattr(models, "prepare", lambda *a: made.append(1) or prepare(*a))
+    rows = spark.range(200).selectExpr("cast(id % 7 as double) as a", "cast(id as string) as b", "cast(null as double) as c", "cast(id % 7 > 3 as int) as y")
+    both = models.train_choice(rows, ["a", "b", "c"], "y", leaf=5, depth=2, trees=3)
+    assert len(made) == 1 and both["tree"].prepared == both["rf"].prepared and both["rf"].meta["empty"] == ["c"] and both["rf"].prepared.numbers == ["a"]
+    alone = models.train_choice(rows, ["a", "b", "c"], "y", choice="rf", leaf=5, depth=2, trees=3)["rf"]
+    assert (alone.nodes, alone.prepared, alone.meta) == (both["rf"].nodes, both["rf"].prepared, both["rf"].meta)
