@@ -70,6 +70,18 @@ def test_datasets_carry_no_test_of_the_root_down_to_the_raw_texts(spark):
     assert probes.debts(spark, sf, keyed=True).exceptAll(probes.debts(spark, sf).where("raiz is not null")).isEmpty()
 
 
+def test_bitmaps_carry_no_test_of_the_key_down_to_the_raw_texts(spark):
+    maps = aggregates.key_bitmaps(probes.debts(spark, "/root/testdata/sf0.001"), "raiz", "ano", "trimestre")
+    assert len(plan(maps)) < 20_000 and plan(maps).count("regexp_replace") == plan(maps).count("try_cast") == 1
+
+
+def test_groups_without_a_number_have_no_bitmap(spark):
+    keys = {0: ("x", None), 1: (None, "", "0"), 2: ("1" * 19, "-1"), 3: ("32768", "x", None)}
+    maps = aggregates.key_bitmaps(spark.createDataFrame([(k, t) for t, some in keys.items() for k in some], "raiz string, t int"), "raiz", "t")
+    assert sorted((r.t, r.balde is None) for r in maps.collect()) == [(1, False), (3, False)]
+    assert {r.t: r.chaves for r in aggregates.bitmap_counts(maps, "t").collect()} == {1: 1, 3: 1} and aggregates.bitmap_counts(maps).first().chaves == 2
+
+
 def test_a_ledger_filtered_before_its_texts_are_cleaned_is_the_same(spark):
     keys = ["12.345.678/0001-99", "12.345.678/0001-9x", "12345678000199", "1234567800019F", " 12.345.678/0001-99\t", "12.34a.678/0001-99", "12.345.678/0001-995", "１２345678000199", "nan", "", None]
     days = ["01/02/2020", "31/02/2020", "2000-02-29", "1900-02-29", "31/04/2020", "0999-01-01", "1T/01/2020", "AB/01/2020", "1/2/2020", "2020-01-01 10:11:12", None]
